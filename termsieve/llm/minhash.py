@@ -79,7 +79,7 @@ def band_keys(sig: np.ndarray, bands: int, rows: int) -> np.ndarray:
 def _sign(s: Settings):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, texts = batch.column(0), batch.column(1).to_pylist()
+            ids, texts = batch.column(0), T.utf8(batch.column(1))
             for first, raw in T.blocks(texts):
                 sets = T.shingles(*T.word_hashes(raw), s.shingle)
                 full = [i for i, x in enumerate(sets) if len(x)]
@@ -135,7 +135,7 @@ def _sets_of(s: Settings, shared):
             if not len(inside):
                 continue
             few = batch.take(pa.array(inside))
-            texts = few.column(1).to_pylist()
+            texts = T.utf8(few.column(1))
             for first, raw in T.blocks(texts):
                 sets = T.shingles(*T.word_hashes(raw), s.shingle)
                 yield pa.RecordBatch.from_arrays([few.column(0).slice(first, len(raw)), pa.array([x.tobytes() for x in sets], pa.binary())], ["id", "set"])

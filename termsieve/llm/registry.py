@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from termsieve.llm import minhash
+from termsieve.llm import exact_dedup, minhash, mixing, packing
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,9 +17,22 @@ def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_documents(spark, sf_dir))
 
 
+def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_duplicates(_documents(spark, sf_dir))
+
+
+def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed(_documents(spark, sf_dir))
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.digest(packing.packed(_documents(spark, sf_dir)))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op3_minhash_near_dedup": op3_minhash_near_dedup}
+    own = (op3_minhash_near_dedup, op7_exact_dedup, op9_source_mixing, op10_packing)
+    return {f.__name__: f for f in own}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op7_exact_dedup": exact_dedup.ORACLE_SQL}

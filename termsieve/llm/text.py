@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 
 U64 = np.uint64
 SPACE = np.zeros(256, bool)
@@ -40,11 +41,16 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0], _powers[1]
 
 
-def blocks(texts: list[str | None], limit: int = BLOCK) -> Iterator[tuple[int, list[bytes]]]:
+def utf8(column: pa.Array) -> list[bytes | None]:
+    """The texts of an Arrow column as UTF-8, without decoding them."""
+    return column.cast(pa.binary()).to_pylist()
+
+
+def blocks(texts: list[bytes | None], limit: int = BLOCK) -> Iterator[tuple[int, list[bytes]]]:
     """Runs of consecutive texts as lower-cased UTF-8 of about `limit` bytes, each with the index of its first text."""
     first, held, size = 0, [], 0
     for i, t in enumerate(texts):
-        raw = (t or "").encode("utf-8", "surrogatepass").lower()  # bytes.lower() changes A-Z alone
+        raw = (t or b"").lower()  # bytes.lower() changes A-Z alone
         if held and size + len(raw) > limit:
             yield first, held
             first, held, size = i, [], 0
@@ -94,9 +100,3 @@ def shingles(words: np.ndarray, first: np.ndarray, size: int = 5) -> list[np.nda
         else:
             out.append(np.empty(0, U64))
     return out
-
-
-def shingle_sets(texts: list[str | None], size: int = 5) -> Iterator[np.ndarray]:
-    """The distinct shingle hashes of each text, in order."""
-    for _, raw in blocks(texts):
-        yield from shingles(*word_hashes(raw), size)
