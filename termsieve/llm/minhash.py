@@ -2,7 +2,7 @@
 
 Two fixed permutations of the 32-bit universe are drawn: sigma scatters the shingles, and pi, circularly shifted by
 k, gives coordinate k of every signature: min over the set of pi(sigma(x) - k). Bands of the signature put
-documents into buckets; pairs from a bucket count only when their full shingle sets reach the similarity.
+documents into buckets; documents that meet there link only when their full shingle sets reach the similarity.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from termsieve.llm import text as T
 from termsieve.llm.components import agg_by, connected_components
-from termsieve.llm.runtime import discard, ship, stored
+from termsieve.llm.runtime import discard, ship, shuffle_partitions, stored
 
 _SIGNED = "id long, n_shingles long, d0 long, d1 long, bands array<long>"
 
@@ -154,72 +154,107 @@ def candidate_sets(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str,
     return few.join(ids, "id", "left_semi").groupBy("id").agg(F.max("set").alias("set"))
 
 
-def _overlap(num: int, den: int):
+def linked(left: list[np.ndarray], right: list[np.ndarray], s: Settings) -> np.ndarray:
+    """Which sets of the left block reach the similarity with which of the right one, on their full contents."""
+    sizes = [len(x) for x in (*left, *right)]
+    tokens, column, df = np.unique(np.concatenate((*left, *right)), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    common = df[column] > 1  # other shingles are in no intersection
+    row, column = row[common], (np.cumsum(df > 1) - 1)[column[common]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    both = np.zeros((len(left), len(right)))
+    width = 2048
+    for first in range(0, int((df > 1).sum()), width):
+        a, z = np.searchsorted(column, (first, first + width))
+        dense = np.zeros((len(sizes), width), np.float32)
+        dense[row[a:z], column[a:z] - first] = 1
+        both += dense[: len(left)] @ dense[len(left) :].T
+    n, m = np.array(sizes[: len(left)], float), np.array(sizes[len(left) :], float)
+    return s.den * both >= s.num * (n[:, None] + m[None, :] - both)
+
+
+def _block_links(s: Settings):
+    """Edges that connect what the links inside a block, or between two blocks, connect: one a document at most."""
+
+    def edges(rows: list[tuple[int, int, int, int, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        i, j = rows[0][0], rows[0][1]
+        left = [r for r in rows if r[2] == i]
+        right = [r for r in rows if r[2] == j]
+        ids = np.array([r[3] for r in left] + ([] if i == j else [r[3] for r in right]), np.int64)
+        link = linked([r[4] for r in left], [r[4] for r in right], s) if left and right else np.zeros((0, 0), bool)
+        n = len(ids)
+        full = np.zeros((n, n), bool)
+        if link.size:
+            full[: len(left), n - len(right) :] = link
+            full |= full.T
+        np.fill_diagonal(full, True)
+        low = ids.copy()
+        while True:
+            after = np.where(full, low[None, :], np.iinfo(np.int64).max).min(1) if n else low
+            if (after == low).all():
+                break
+            low = after
+        apart = low != ids
+        return low[apart], ids[apart]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, rows = None, []
+
+        def done() -> pa.RecordBatch:
+            low, high = edges(rows)
+            return pa.RecordBatch.from_arrays([pa.array(low), pa.array(high)], ["a", "b"])
+
         for batch in batches:
-            keep, left, last = [], None, None
-            a, sa, sb = batch.column(0).to_pylist(), batch.column(2), batch.column(3)
-            for i, center in enumerate(a):
-                if center != last:
-                    left, last = np.frombuffer(sa[i].as_buffer(), T.U64), center
-                right = np.frombuffer(sb[i].as_buffer(), T.U64)
-                at = np.searchsorted(left, right)
-                at[at == len(left)] = 0
-                both = int(np.count_nonzero(left[at] == right))
-                keep.append(den * both >= num * (len(left) + len(right) - both))
-            few = batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
-            if len(few):
-                yield few
+            keys = list(zip(*(batch.column(k).to_pylist() for k in range(5)), strict=True))
+            sets = batch.column(5)
+            for k, (center, i, j, part, doc) in enumerate(keys):
+                if (center, i, j) != key:
+                    if len(rows) > 1:
+                        yield done()
+                    key, rows = (center, i, j), []
+                rows.append((i, j, part, doc, np.frombuffer(sets[k].as_buffer(), T.U64)))
+        if len(rows) > 1:
+            yield done()
 
     return run
 
 
-def verified(pairs: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough; a's many partners are split over tasks by the join."""
-    right = pairs.join(sets.select(F.col("id").alias("b"), F.col("set").alias("sb")), "b")
-    both = right.join(sets.select(F.col("id").alias("a"), F.col("set").alias("sa")), "a")
-    return both.select("a", "b", "sa", "sb").mapInArrow(_overlap(s.num, s.den), "a long, b long")
+#: Documents and bytes of sets in a block of a group.
+BLOCK_DOCS, BLOCK_BYTES = 128, 1 << 20
 
 
 def similar_components(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str, s: Settings) -> DataFrame:
     """(id, component) of every class that links with another one.
 
-    Within a bucket, rounds of comparison replace the pairs: first the member with the most company elsewhere is
-    compared with the rest, and members that it links are then one component. While a bucket still holds members
-    of several components that were not compared, 16 times as many of them are compared with the others. So no
-    candidate pair across components stays unchecked, and a group of near copies costs one comparison a member.
+    Each bucket is put under the member with the most company in all its buckets, its center; a group is all that
+    share a bucket of one center, so members of a bucket meet in a group. Copies of one text have few centers
+    between them, and a document is in few groups. A group is compared in blocks, all pairs of blocks in tasks of
+    their own, and gives edges that connect what its links connect: no pair of documents becomes a row.
     """
     spark = docs.sparkSession
     member = classes.select("id", "n_shingles", F.explode("bands").alias("key"))
     crowd = agg_by(member, "key", F.count("*").alias("crowd")).where("crowd > 1")
     member = stored(member.join(crowd, "key"), "buckets")
-    fame = agg_by(member, "id", F.sum("crowd").alias("fame"))
-    ids = stored(fame, "candidates")
-    member = stored(member.join(ids, "id").select("key", "id", "n_shingles", "fame"), "buckets")
-    sets = stored(candidate_sets(docs, ids.select("id"), id_col, text_col, s), "sets")
-    links, label = None, None
-    open_ = member.withColumn("component", F.col("id"))
-    width = 1
-    while True:
-        crowd = agg_by(open_, "key", F.count("*").alias("n"), F.max(F.struct("fame", -F.col("id"))).alias("top"))
-        chosen = open_.join(crowd, "key").where((F.col("id") == -F.col("top.col2")) | (F.pmod(F.xxhash64("id", "key"), F.col("n")) < F.lit(width if width > 1 else 0)))
-        chosen = stored(chosen.select("key", F.col("id").alias("a"), F.col("n_shingles").alias("na"), F.col("component").alias("ca")), "centers")
-        met = open_.select("key", F.col("id").alias("b"), F.col("n_shingles").alias("nb"), F.col("component").alias("cb")).join(chosen, "key")
-        met = met.where("a <> b and ca <> cb").where(s.den * F.least("na", "nb") >= s.num * F.greatest("na", "nb"))
-        found = stored(verified(met.select("a", "b").distinct(), sets, s), "links")
-        old = links
-        links = found if links is None else links.union(found)
-        label = stored(connected_components(links), "labels")
-        named = open_.drop("component").join(chosen.select("key", F.col("a").alias("id")), ["key", "id"], "left_anti").join(
-            label, "id", "left").withColumn("component", F.coalesce("component", "id"))
-        named = stored(named, "open")
-        mixed = agg_by(named, "key", F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
-        left = stored(named.join(mixed, "key", "left_semi"), "open")
-        discard(spark, [chosen, named, open_ if old is not None else member])
-        open_ = left
-        if left.isEmpty():
-            return label
-        width *= 16
+    fame = stored(agg_by(member, "id", F.sum("crowd").alias("fame"), F.max("n_shingles").alias("n_shingles")), "candidates")
+    sets = stored(candidate_sets(docs, fame.select("id"), id_col, text_col, s), "sets")
+    known = stored(member.select("key", "id").join(fame, "id"), "buckets")
+    top = agg_by(known, "key", F.max(F.struct("fame", -F.col("id"))).alias("top")).select("key", (-F.col("top.col2")).alias("center"))
+    group = known.join(top, "key").groupBy("center", "id").agg(F.max("n_shingles").alias("n_shingles"))
+    group = stored(group, "groups")
+    size = agg_by(group, "center", F.count("*").alias("n"), F.sum("n_shingles").alias("m"))
+    by_docs = F.ceil(F.col("n") / F.greatest(F.lit(BLOCK_DOCS), F.least(F.lit(8 * BLOCK_DOCS), F.col("n") / 32)))
+    size = size.select("center", F.greatest(by_docs, F.ceil(8 * F.col("m") / F.lit(BLOCK_BYTES))).cast("int").alias("blocks"))
+    dealt = group.join(size, "center").withColumn("part", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    pairs = dealt.select("center", "id", "part", other.alias("other"))
+    pairs = pairs.select("center", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "id")
+    full = stored(pairs, "block-pairs").join(sets, "id").select("center", "i", "j", "part", "id", "set")
+    parts = max(shuffle_partitions(spark), -(-8 * (group.agg(F.sum("n_shingles")).first()[0] or 0) // (32 << 20)))
+    tasks = full.repartition(parts, "center", "i", "j").sortWithinPartitions("center", "i", "j")
+    edges = stored(tasks.mapInArrow(_block_links(s), "a long, b long"), "edges")
+    discard(spark, [member, known])
+    return stored(connected_components(edges), "labels")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", settings: Settings | None = None) -> DataFrame:
