@@ -4,16 +4,36 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from termsieve.llm import minhash
+from termsieve.llm import exact_dedup, minhash, mixing, packing, toxicity
 from termsieve.llm.runtime import stored
 
 
-def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: the one with the smallest doc_id."""
+def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents predicted toxic go; labels come from the labels table."""
+    return toxicity.without_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts the document with the largest doc_id stays."""
+    return exact_dedup.keep_one(docs)
+
+
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies the document with the smallest doc_id stays."""
     return minhash.keep_one(docs)
 
 
-STAGES = [("near dedup", near_dedup)]
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The sources mixed to their target weights; a document comes once for each pass over it."""
+    return mixing.mix(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sequences of at most 4096 tokens, a row per piece of a document."""
+    return packing.digest(packing.packed(docs))
+
+
+STAGES = [("toxicity", toxic), ("exact dedup", exact), ("near dedup", near), ("mixing", mix), ("packing", pack)]
 
 #: A k-nearest-neighbour score is not SQL; tests hold the pipeline against a brute-force version.
 ORACLE_SQL = None
