@@ -9,6 +9,7 @@ boundaries i at most `length` tokens before j: a sliding minimum, which a monoto
 from __future__ import annotations
 
 import os
+import unicodedata
 from bisect import bisect_left
 from collections import deque
 from collections.abc import Iterator
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 from termsieve.llm.runtime import ship
 
 #: Words and pieces of words that a task remembers with their ids.
-REMEMBERED = 300_000
+REMEMBERED = 800_000
 
 
 def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
@@ -44,21 +45,27 @@ class Settings:
     anywhere: float = 64.0
 
 
+#: The tokenizer's own pre-tokens: contractions, runs of letters, single digits, runs of anything else.
+PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
 class Encoder:
-    """Token ids of whole texts, through memory of the words seen so far.
+    """Token ids of whole texts, through memory of the words and pieces seen so far.
 
-    The tokenizer never joins across white space, and within a word a run of letters is encoded by itself; so
-    the ids of a text are those of its words in a row.
+    The tokenizer composes and lower-cases, splits into pieces that never reach across white space, and encodes each
+    piece by itself with one word-end token, its last; so the ids of a text are those of its pieces in a row.
     """
 
     TAIL = ".,;:!?"
 
     def __init__(self, file: str) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(file)
         self.tokenizer.encode_special_tokens = True
+        self.pieces = regex.compile(PIECES).findall
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.stops = self.ends.copy()
@@ -67,62 +74,58 @@ class Encoder:
                 self.ends[i] = True
                 self.stops[i] = len(token) > 4 and set(token[:-4]) <= set(".!?")
         self.words: dict[str, bytes] = {}
-        self.cores: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {"": b""}
 
     def _ids(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _runs(self, runs: list[str]) -> None:
-        """Remembers runs of letters, encoded in one go: each ends with its only word-end token."""
-        for i in range(0, len(runs), 2000):
-            part = runs[i : i + 2000]
+    def _learn(self, pieces: list[str]) -> None:
+        """Remembers pieces, encoded many at once."""
+        for i in range(0, len(pieces), 4000):
+            part = pieces[i : i + 4000]
             ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
             last = np.flatnonzero(self.ends[ids]) + 1
-            if len(last) != len(part):  # some run isn't one word to the tokenizer
-                self.cores.update((r, self._ids(r)) for r in part)
+            if len(last) != len(part):  # some piece isn't one to the tokenizer
+                self.known.update((r, self._ids(r)) for r in part)
                 continue
             raw, first = ids.tobytes(), 0
             for r, stop in zip(part, (last * 4).tolist(), strict=True):
-                self.cores[r] = raw[first:stop]
+                self.known[r] = raw[first:stop]
                 first = stop
 
+    def _split(self, word: str) -> list[str] | None:
+        """The pieces of a word as the tokenizer sees them; None where its rules need the word as it is."""
+        core = word.rstrip(self.TAIL)
+        if core.isalpha():
+            low = core.lower()
+            if core.isascii() or low.isalpha() and "\u03a3" not in core and unicodedata.is_normalized("NFC", core):
+                return [low, word[len(core) :]]
+        if not word.isprintable() or "\u03a3" in word or not unicodedata.is_normalized("NFC", word):
+            return None
+        return self.pieces(word.lower())
+
+    @staticmethod
+    def _row(text: str) -> list[str]:
+        """Words in order; a text with separators that only Python takes for white space is one word."""
+        odd = "\x1c" in text or "\x1d" in text or "\x1e" in text or "\x1f" in text
+        return [text] if odd else text.split()
+
     def texts(self, texts: list[str | None]) -> list[np.ndarray]:
-        words, cores, tail = self.words, self.cores, self.TAIL
-        split = [(t or "").split() for t in texts]
-        new: dict[str, tuple[str, str] | None] = {}
-        runs: dict[str, None] = {}
-        for row in split:
-            for w in row:
-                if w not in words and w not in new:
-                    core = w.rstrip(tail)
-                    if core.isalpha() and "Σ" not in core and (core.isascii() or _plain(core)):
-                        end = w[len(core) :]
-                        core = core.lower()
-                        new[w] = (core, end)
-                        if core not in cores:
-                            runs[core] = None
-                        if end and end not in cores:
-                            cores[end] = self._ids(end)
-                    else:
-                        new[w] = None
-        self._runs(list(runs))
-        for w, parts in new.items():
-            words[w] = self._ids(w) if parts is None else cores[parts[0]] + cores[parts[1]] if parts[1] else cores[parts[0]]
-        out = [np.frombuffer(b"".join([words[w] for w in row]), "<u4") for row in split]
+        words, known = self.words, self.known
+        rows = [self._row(t or "") for t in texts]
+        fresh = set().union(*rows).difference(words)
+        parts = {w: self._split(w) for w in fresh}
+        self._learn(list({p for x in parts.values() if x for p in x}.difference(known)))
+        for w, x in parts.items():
+            words[w] = self._ids(w) if x is None else b"".join([known[p] for p in x])
+        out = [np.frombuffer(b"".join([words[w] for w in row]), "<u4") for row in rows]
         if len(words) > REMEMBERED:
             words.clear()
-        if len(cores) > REMEMBERED:
-            cores.clear()
+        if len(known) > REMEMBERED:
+            self.known = {"": b""}
         return out
 
 
-def _plain(word: str) -> bool:
-    """Whether composing and lower-casing leave the letters one run of the same letters."""
-    import unicodedata
-
-    return unicodedata.is_normalized("NFC", word) and word.lower().isalpha()
-
-
 def cuts(ends: list[int], costs: list[float], length: int) -> list[int]:
     """Indices of the boundaries to cut at, the last one always: least padding plus penalties.
 
