@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from termsieve.llm import exact_dedup, minhash, mixing, packing, toxicity
+from termsieve.llm import exact_dedup, minhash, mixing, packing, rp_forest, toxicity
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,6 +17,10 @@ def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_documents(spark, sf_dir))
 
 
+def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rp_forest.near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")).drop("evidence")
 
@@ -34,7 +38,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op3_minhash_near_dedup, op6_toxicity, op7_exact_dedup, op9_source_mixing, op10_packing)
+    own = (op3_minhash_near_dedup, op4_embedding_near_dedup, op6_toxicity, op7_exact_dedup, op9_source_mixing, op10_packing)
     return {f.__name__: f for f in own}
 
 
