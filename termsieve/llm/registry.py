@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from termsieve.llm import exact_dedup, minhash, mixing, packing, rp_forest, toxicity
+from termsieve.llm import exact_dedup, langid, minhash, mixing, packing, rp_forest, toxicity
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identified(_documents(spark, sf_dir))
+
+
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_documents(spark, sf_dir))
 
@@ -38,7 +42,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op3_minhash_near_dedup, op4_embedding_near_dedup, op6_toxicity, op7_exact_dedup, op9_source_mixing, op10_packing)
+    own = (op2_language_id, op3_minhash_near_dedup, op4_embedding_near_dedup, op6_toxicity, op7_exact_dedup, op9_source_mixing, op10_packing)
     return {f.__name__: f for f in own}
 
 
