@@ -6,13 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from termsieve.llm import exact_dedup, langid, minhash, mixing, packing, rp_forest, toxicity
+from termsieve.llm import exact_dedup, langid, licenses, line_dedup, minhash, mixing, packing, rp_forest, sharding, toxicity
+from termsieve.llm.runtime import scratch_path
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.without_boilerplate(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identified(_documents(spark, sf_dir))
 
@@ -25,6 +30,10 @@ def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rp_forest.near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scanned(_documents(spark, sf_dir))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")).drop("evidence")
 
@@ -33,6 +42,10 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(_documents(spark, sf_dir))
 
 
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.sharded(_documents(spark, sf_dir), scratch_path(spark, "shards"))
+
+
 def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(_documents(spark, sf_dir))
 
@@ -42,9 +55,12 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op2_language_id, op3_minhash_near_dedup, op4_embedding_near_dedup, op6_toxicity, op7_exact_dedup, op9_source_mixing, op10_packing)
+    own = (
+        op1_line_dedup, op2_language_id, op3_minhash_near_dedup, op4_embedding_near_dedup, op5_license_scan,
+        op6_toxicity, op7_exact_dedup, op8_sharding, op9_source_mixing, op10_packing,
+    )
     return {f.__name__: f for f in own}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_exact_dedup": exact_dedup.ORACLE_SQL}
+    return {"op1_line_dedup": line_dedup.ORACLE_SQL, "op7_exact_dedup": exact_dedup.ORACLE_SQL}
