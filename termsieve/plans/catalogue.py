@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from termsieve.plans import registry, sanitation  # noqa: F401  the modules register their queries
+from termsieve.plans import graphs, registry, sanitation, texts  # noqa: F401  the modules register their queries
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
