@@ -35,6 +35,11 @@ def ngram_counts(texts: DataFrame, text_col: str, up_to: int = 3) -> DataFrame:
     return texts.select(F.explode(T.ngrams(T.tokens(F.col(text_col)), up_to)).alias("phrase")).groupBy("phrase").agg(F.count("*").alias("n"))
 
 
+def _runs(text: Column, length: Column, n: int) -> Column:
+    """All runs of n characters of a text; the text itself if it is shorter."""
+    return F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), length - n + 1)), lambda i: F.substring(text, i, F.lit(n)))
+
+
 def misspellings(counts: DataFrame, keyphrases: DataFrame, max_distance: int) -> DataFrame:
     """Counted phrases within an edit distance of a keyphrase.
 
@@ -49,9 +54,7 @@ def misspellings(counts: DataFrame, keyphrases: DataFrame, max_distance: int) ->
     cut = cut.select("keyphrase", "_n", F.substring("keyphrase", F.col("_at") + 1, F.col("_len")).alias("_piece"), "_at", "_len")
     lens = [r[0] for r in cut.select("_len").distinct().collect()]
     rows = counts.withColumn("_m", F.length("phrase"))
-    pieces = F.array(*[
-        F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.col("_m") - n + 1)), lambda i, n=n: F.substring("phrase", i, F.lit(n))) for n in lens
-    ]) if lens else F.array().cast("array<array<string>>")
+    pieces = F.array(*[_runs(F.col("phrase"), F.col("_m"), n) for n in lens]) if lens else F.array().cast("array<array<string>>")
     grams = rows.select("phrase", "n", "_m", F.explode(F.array_distinct(F.flatten(pieces))).alias("_piece"))
     long = grams.join(cut.select("keyphrase", "_n", "_piece").distinct(), "_piece").select("phrase", "n", "_m", "keyphrase", "_n")
     short = rows.join(key.where(F.col("_n") < k), F.abs(F.col("_m") - F.col("_n")) <= max_distance).select("phrase", "n", "_m", "keyphrase", "_n")

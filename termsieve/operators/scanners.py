@@ -28,16 +28,21 @@ def luhn(number: Column) -> Column:
     return (F.size(digits) > 0) & (F.aggregate(doubled, F.lit(0), lambda s, x: s + x) % 10 == 0)
 
 
+def _entity(kind: str, score: float):
+    def make(x: Column) -> Column:
+        level = F.when(luhn(x), F.lit(CONFIRMED)).otherwise(F.lit(score)) if kind == "CREDIT_CARD" else F.lit(score)
+        return F.struct(F.lit(kind).alias("type"), x.alias("text"), level.alias("score"))
+
+    return make
+
+
 def scan(text: Column, entities: Sequence[str] | None = None, exclude: Sequence[str] = ()) -> Column:
     """All entities found, types in the order of PATTERNS, or null if there are none; card numbers that pass the
     Luhn check score higher."""
     parts = []
     for kind, (pattern, score) in PATTERNS.items():
-        if kind in exclude or (entities is not None and kind not in entities):
-            continue
-        level = (lambda x, s=score: F.when(luhn(x), F.lit(CONFIRMED)).otherwise(F.lit(s))) if kind == "CREDIT_CARD" else (lambda x, s=score: F.lit(s))
-        found = F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(1))
-        parts.append(F.transform(found, lambda x, k=kind, f=level: F.struct(F.lit(k).alias("type"), x.alias("text"), f(x).alias("score"))))
+        if kind not in exclude and (entities is None or kind in entities):
+            parts.append(F.transform(F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(1)), _entity(kind, score)))
     every = F.flatten(F.array(*parts)) if parts else F.array().cast(ENTITY)
     return F.when(F.size(every) > 0, every)
 
