@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from termsieve.llm.idfilter import without_ids
 from termsieve.llm.runtime import ship, shuffle_partitions, stored
 from termsieve.llm.text import utf8
 
@@ -205,8 +206,7 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents that stay, with all their columns; of repeated rows of one document one stays."""
     rows = stored(exact_duplicates(docs, id_col, text_col), "exact-duplicates")
-    gone = rows.where("not kept").select(F.col(id_col).alias("_gone")).distinct()
-    left = docs.join(gone, docs[id_col] == F.col("_gone"), "left_anti")
+    left = without_ids(docs, id_col, rows.where("not kept").select(F.col(id_col).alias("id")))
     repeated = rows.where("kept and group_size > 1").groupBy(id_col).count().where("count > 1")
     return left if repeated.isEmpty() else left.dropDuplicates([id_col])
 

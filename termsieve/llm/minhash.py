@@ -13,11 +13,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from termsieve.llm import text as T
 from termsieve.llm.components import agg_by, connected_components
+from termsieve.llm.idfilter import id_bits, may_hold, without_ids
 from termsieve.llm.runtime import discard, ship, shuffle_partitions, stored
 
 _SIGNED = "id long, n_shingles long, d0 long, d1 long, bands array<long>"
@@ -110,28 +111,10 @@ def signed(docs: DataFrame, id_col: str, text_col: str, s: Settings) -> DataFram
     return two.mapInArrow(_sign(s), _SIGNED)
 
 
-#: Bits of the filter that keeps texts of other documents out of the second scan: 16 a candidate, this many at most.
-MAX_FILTER_BITS = 1 << 26
-
-
-def _filter_bits(ids: DataFrame, spark: SparkSession) -> np.ndarray:
-    """A one-hash Bloom filter of the ids as bytes; its size is bounded, beyond that it only lets more pass."""
-    n = ids.count()
-    bits = int(min(MAX_FILTER_BITS, max(1 << 10, 1 << (16 * max(n, 1) - 1).bit_length())))
-    spot = F.pmod(F.xxhash64("id"), F.lit(bits))
-    words = ids.select(F.shiftright(spot, 5).alias("w"), F.expr("1L").alias("one"), F.pmod(spot, F.lit(32)).cast("int").alias("b"))
-    rows = words.groupBy("w").agg(F.bit_or(F.expr("shiftleft(one, b)")).alias("v")).toArrow()
-    out = np.zeros(bits // 32, np.uint32)
-    out[rows.column("w").to_numpy()] = rows.column("v").to_numpy().astype(np.uint32)
-    return out
-
-
 def _sets_of(s: Settings, shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = shared.value
         for batch in batches:
-            spot = batch.column(2).to_numpy() % (len(words) * 32)
-            inside = np.flatnonzero(words[spot >> 5] >> (spot & 31).astype(np.uint32) & np.uint32(1))
+            inside = np.flatnonzero(may_hold(shared.value, batch.column(2).to_numpy()))
             if not len(inside):
                 continue
             few = batch.take(pa.array(inside))
@@ -147,7 +130,7 @@ def candidate_sets(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str,
     """(id, set): the full shingle set of every document in ids, one row per id, as sorted 64-bit hashes."""
     spark = docs.sparkSession
     ship(spark)
-    shared = spark.sparkContext.broadcast(_filter_bits(ids, spark))
+    shared = spark.sparkContext.broadcast(id_bits(ids))
     three = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).where("id is not null")
     three = three.withColumn("h", F.xxhash64("id"))
     few = three.mapInArrow(_sets_of(s, shared), "id long, set binary")
@@ -281,5 +264,5 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", settings: Settings | None = None) -> DataFrame:
     """The documents without those that a similar one with a smaller id replaces; all columns stay."""
-    gone = near_duplicates(docs, id_col, text_col, settings).where("not kept").select(F.col(id_col).alias("_gone")).distinct()
-    return docs.join(gone, docs[id_col] == F.col("_gone"), "left_anti")
+    gone = near_duplicates(docs, id_col, text_col, settings).where("not kept").select(F.col(id_col).alias("id"))
+    return without_ids(docs, id_col, gone)

@@ -18,7 +18,7 @@ from termsieve.llm.runtime import stored
 WORD = r"[^\x20\x09-\x0D]+"
 GOLDEN = 0.6180339887498949
 #: Rows of one window: documents of a source's hash bucket, slots of a stretch of the schedule.
-RUN = 4096
+RUN = 1024
 
 
 @dataclass(frozen=True)
@@ -89,15 +89,25 @@ def schedule(df_session, plan: Sequence[tuple[str | None, int, float]], block: i
     return ranked.select("slot", "part", "rank", F.expr("rank % blocks").alias("block"), F.expr("rank div blocks").alias("epoch"))
 
 
-def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", settings: Settings | None = None) -> DataFrame:
-    """One row per input row: id_col, size, source_size, target, taken.
+@dataclass
+class _Mix:
+    """What mixed() and mix() work on: sizes of the rows with their source's plan, places, and uses of the blocks."""
 
-    size counts words (null text: 0), target is the share of the row's source, taken the words that the mix takes,
-    repeats counted: whole passes over the document plus, where the last block of its source ends inside it, its
-    first words. Null is a source of its own. Repeated rows take their own places. Rows without words take 0.
-    One row per source comes to the driver, nothing else. Other columns are not read.
-    """
-    s = settings or Settings()
+    plan: list[tuple[str | None, int, float]]
+    block: int
+    buckets: int
+    rows: DataFrame
+    starts: DataFrame
+    placed: DataFrame
+    times: DataFrame
+
+
+def _bucket(id_column: Column, buckets: int, s: Settings) -> Column:
+    """A document's stretch of its source's shuffled line."""
+    return F.pmod(F.xxhash64(F.lit(s.seed), id_column), F.lit(buckets))
+
+
+def _lay_out(docs: DataFrame, id_col: str, text_col: str, source_col: str, s: Settings) -> _Mix:
     spark = docs.sparkSession
     size = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long")
     rows = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), size.alias("size"))
@@ -108,42 +118,74 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     block = max(1, min(s.largest, total // s.slots))
     kinds = spark.createDataFrame([(i, name, n, t) for i, (name, n, t) in enumerate(plan)], "part int, name string, source_size long, target double")
     rows = rows.join(F.broadcast(kinds) if len(plan) <= 10_000 else kinds, F.col("source").eqNullSafe(F.col("name"))).drop("name")
-
-    buckets = -(-sum(r.rows for r in per) // RUN)
-    full = rows.where("size > 0").withColumn("bucket", F.pmod("h", F.lit(max(1, buckets))))
+    buckets = max(1, -(-sum(r.rows for r in per) // RUN))
+    full = rows.where("size > 0").withColumn("bucket", _bucket(F.col("id"), buckets, s))
     sums = full.groupBy("part", "bucket").agg(F.sum("size").alias("words"))
-    sums = sums.withColumn("before", F.sum("words").over(Window.partitionBy("part").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)))
+    before = F.sum("words").over(Window.partitionBy("part").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))
+    starts = stored(sums.withColumn("before", F.coalesce(before, F.lit(0))), "bucket-starts")
     order = Window.partitionBy("part", "bucket").orderBy("h", "id", "size").rowsBetween(Window.unboundedPreceding, 0)
-    placed = full.withColumn("inside", F.sum("size").over(order) - F.col("size"))
-    placed = placed.join(sums.select("part", "bucket", "before"), ["part", "bucket"])
-    placed = placed.withColumn("start", F.coalesce("before", F.lit(0)) + F.col("inside")).select("id", "size", "part", "source_size", "target", "start")
-    placed = stored(placed, "placed")
-
-    length = F.lit(block)
-    piece = placed.withColumn("block", F.explode(F.sequence(F.expr(f"start div {block}"), F.expr(f"(start + size - 1) div {block}"))))
-    overlap = F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * length) - F.greatest("start", F.col("block") * length)
+    placed = full.withColumn("inside", F.sum("size").over(order) - F.col("size")).join(starts.select("part", "bucket", "before"), ["part", "bucket"])
+    placed = placed.select("id", "size", "part", "source_size", "target", "bucket", (F.col("before") + F.col("inside")).alias("start"))
     times = schedule(spark, plan, block, s.most).groupBy("part", "block").agg(F.count("*").alias("times"))
-    used = piece.select("part", "start", "block", overlap.alias("overlap")).join(stored(times, "times"), ["part", "block"])
+    return _Mix(plan, block, buckets, rows, starts, stored(placed, "placed"), stored(times, "times"))
+
+
+def _taken(m: _Mix, placed: DataFrame) -> DataFrame:
+    """The placed rows with taken: their pieces of blocks joined with the uses of those blocks."""
+    piece = placed.withColumn("block", F.explode(F.sequence(F.expr(f"start div {m.block}"), F.expr(f"(start + size - 1) div {m.block}"))))
+    overlap = F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * m.block) - F.greatest("start", F.col("block") * m.block)
+    used = piece.select("part", "start", "block", overlap.alias("overlap")).join(m.times, ["part", "block"])
     used = used.groupBy("part", "start").agg(F.sum(F.col("overlap") * F.col("times")).alias("taken"))
-    out = placed.join(stored(used, "taken"), ["part", "start"], "left").select("id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
-    none = rows.where("size = 0").select("id", "size", "source_size", "target", F.lit(0).cast("long").alias("taken"))
+    return placed.join(stored(used, "taken"), ["part", "start"], "left").withColumn("taken", F.coalesce("taken", F.lit(0)).cast("long"))
+
+
+def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", settings: Settings | None = None) -> DataFrame:
+    """One row per input row: id_col, size, source_size, target, taken.
+
+    size counts words (null text: 0), target is the share of the row's source, taken the words that the mix takes,
+    repeats counted: whole passes over the document plus, where the last block of its source ends inside it, its
+    first words. Null is a source of its own. Repeated rows take their own places. Rows without words take 0.
+    One row per source comes to the driver, nothing else. Other columns are not read.
+    """
+    m = _lay_out(docs, id_col, text_col, source_col, settings or Settings())
+    out = _taken(m, m.placed).select("id", "size", "source_size", "target", "taken")
+    none = m.rows.where("size = 0").select("id", "size", "source_size", "target", F.lit(0).cast("long").alias("taken"))
     return out.union(none).withColumnRenamed("id", id_col)
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", settings: Settings | None = None) -> DataFrame:
     """The documents as the mix takes them, with their columns: a row for each pass over a document.
 
-    A pass that ends inside a document gives its first words, joined by single spaces (and n_chars, if there is such
-    a column, counts them). Documents that the mix does not reach, and those without words, are left out. Repeated
-    rows of one document share what they take, rounded down.
+    A source's blocks are taken in order, so its line of documents divides at one word: what lies before it has a
+    pass more than what lies behind. Rows whose bucket lies wholly on one side are repeated where they lie; only
+    those of the one bucket around that word are joined with what they take. A pass that ends inside a document
+    gives its first words, joined by single spaces (n_chars, if there is such a column, counts their characters).
+    Documents that the mix does not reach, and those without words, are left out. Repeated rows of one document
+    around that word share what they take, rounded down.
     """
-    taken = mixed(docs, id_col, text_col, source_col, settings).groupBy(F.col(id_col).alias("_id")).agg(
+    s = settings or Settings()
+    m = _lay_out(docs, id_col, text_col, source_col, s)
+    blocks = {i: max(1, -(-n // m.block)) for i, (_, n, _) in enumerate(m.plan)}
+    slots = {r.part: r.slots for r in m.times.groupBy("part").agg(F.sum("times").alias("slots")).collect()}  # a row per source
+    cuts = [(i, name, slots.get(i, 0) // blocks[i], slots.get(i, 0) % blocks[i] * m.block) for i, (name, _, _) in enumerate(m.plan)]
+    cut = docs.sparkSession.createDataFrame(cuts, "_part int, _name string, _passes long, _cut long")
+    around = m.starts.join(cut, (F.col("part") == F.col("_part")) & (F.col("before") <= F.col("_cut")) & (F.col("_cut") < F.col("before") + F.col("words")))
+    at = {r._part: r.bucket for r in around.select("_part", "bucket").collect()}  # at most a row per source
+    cut = docs.sparkSession.createDataFrame([(*c, at.get(c[0], -1)) for c in cuts], "_part int, _name string, _passes long, _cut long, _at long")
+    rows = docs.withColumn("_bucket", _bucket(F.col(id_col), m.buckets, s)).join(F.broadcast(cut) if len(cuts) <= 10_000 else cut, F.col(source_col).eqNullSafe(F.col("_name")))
+    rows = rows.where(F.col(text_col).rlike(WORD))
+    passes = F.col("_passes") + F.when(F.col("_bucket") < F.col("_at"), 1).otherwise(0)
+    whole = rows.where("_bucket <> _at").withColumn("_n", passes).where("_n > 0").withColumn("_pass", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n"))))
+    edge = m.placed.join(F.broadcast(cut.select("_part", "_at")) if len(cuts) <= 10_000 else cut.select("_part", "_at"), (F.col("part") == F.col("_part")) & (F.col("bucket") == F.col("_at")))
+    share = _taken(m, edge.select("id", "size", "part", "source_size", "target", "start")).groupBy(F.col("id").alias("_id")).agg(
         F.expr("sum(taken) div count(*)").alias("_taken"), F.max("size").alias("_size")).where("_taken > 0")
-    both = docs.join(stored(taken, "taken"), F.col(id_col).eqNullSafe(F.col("_id")))
+    both = rows.where("_bucket = _at").join(stored(share, "taken"), F.col(id_col).eqNullSafe(F.col("_id")))
     both = both.withColumn("_pass", F.explode(F.sequence(F.lit(1).cast("long"), F.expr("(_taken + _size - 1) div _size"))))
     left = F.least(F.col("_size"), F.col("_taken") - (F.col("_pass") - 1) * F.col("_size"))
     words = F.slice(F.regexp_extract_all(F.col(text_col), F.lit(f"({WORD})"), F.lit(1)), F.lit(1), left.cast("int"))
-    cut = F.when(left < F.col("_size"), F.concat_ws(" ", words)).otherwise(F.col(text_col))
-    both = both.withColumn("_cut", cut)
-    changed = {text_col: F.col("_cut")} | ({"n_chars": F.when(left < F.col("_size"), F.length("_cut")).otherwise(F.col("n_chars")).cast("long")} if "n_chars" in docs.columns else {})
-    return both.select(*[changed[c].alias(c) if c in changed else docs[c] for c in docs.columns])
+    both = both.withColumn("_short", F.when(left < F.col("_size"), F.concat_ws(" ", words)))
+    changed = {text_col: F.coalesce("_short", F.col(text_col))}
+    if "n_chars" in docs.columns:
+        changed["n_chars"] = F.coalesce(F.length("_short").cast("long"), F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
+    parts = both.select(*[changed[c].alias(c) if c in changed else F.col(c) for c in docs.columns])
+    return whole.select(*docs.columns).union(parts)

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from termsieve.llm import text as T
+from termsieve.llm.idfilter import without_ids
 from termsieve.llm.runtime import ship, stored
 
 PREFIXES = (3, 4, 5, 6, 7)
@@ -315,5 +316,5 @@ def scored(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 def without_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", settings: Settings | None = None) -> DataFrame:
     """The documents that are not predicted toxic, with all their columns. Rows with a null id stay."""
-    gone = scored(docs, labels, id_col, text_col, settings=settings).where("predicted = 1").select(F.col(id_col).alias("_gone")).distinct()
-    return docs.join(gone, docs[id_col] == F.col("_gone"), "left_anti")
+    gone = scored(docs, labels, id_col, text_col, settings=settings).where("predicted = 1").select(F.col(id_col).alias("id"))
+    return without_ids(docs, id_col, gone)
