@@ -14,12 +14,13 @@ from pyspark.sql import functions as F
 
 from termsieve.llm.runtime import stored
 
-HIDDEN = r"(?is)<(script|style|noscript|template)\b[^>]*>.*?</(script|style|noscript|template)\s*>|<!--.*?-->"
-BREAK = r"(?i)</?(address|article|aside|blockquote|body|br|dd|div|dl|dt|figure|footer|form|h[1-6]|head|header|hr|html|li|main|nav|ol|option|p|pre|section|table|td|th|title|tr|ul)\b[^>]*>|[\n\r]+"
+# Patterns start with one character, so that most places are ruled out at once.
+HIDDEN = r"(?is)<(?:(?:script|style|noscript|template)\b[^>]*>.*?</(?:script|style|noscript|template)\s*>|!--.*?-->)"
+BREAK = r"(?i)</?(?:address|article|aside|blockquote|body|br|dd|div|dl|dt|figure|footer|form|h[1-6]|head|header|hr|html|li|main|nav|ol|option|p|pre|section|table|td|th|title|tr|ul)\b[^>]*>"
 TAG = r"<[^>]*>"
 ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)"
-BLANK = r"[ \t\x0B\f]+"
+BLANKS, RUN = "\t\x0b\f\r", "  +"
 MARK = "\n"
 
 
@@ -42,7 +43,7 @@ def lines(html: Column) -> Column:
     text = F.regexp_replace(F.regexp_replace(text, BREAK, MARK), TAG, "")
     for entity, char in ENTITIES:
         text = F.replace(text, F.lit(entity), F.lit(char))
-    text = F.regexp_replace(text, BLANK, " ")
+    text = F.regexp_replace(F.translate(text, BLANKS, "   \n"), RUN, " ")
     return F.filter(F.transform(F.split(text, MARK), lambda x: F.trim(x)), lambda x: x != "")
 
 
@@ -75,7 +76,7 @@ def _sql(s: Settings) -> str:
     text = f"regexp_replace(regexp_replace({text}, {raw(BREAK)}, chr(10), 'g'), {raw(TAG)}, '', 'g')"
     for entity, char in ENTITIES:
         text = f"replace({text}, {raw(entity)}, {raw(char)})"
-    text = f"regexp_replace({text}, {raw(BLANK)}, ' ', 'g')"
+    text = f"regexp_replace(translate({text}, chr(9) || chr(11) || chr(12) || chr(13), '   ' || chr(10)), {raw(RUN)}, ' ', 'g')"
     return f"""
 WITH cut AS (
   SELECT page_id, lower(regexp_extract(url, {raw(HOST)}, 1)) AS host,
