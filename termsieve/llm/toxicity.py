@@ -234,17 +234,24 @@ def _platt(votes: np.ndarray, labels: np.ndarray) -> tuple[float, float] | None:
     if not pos or not neg:
         return None
     x, y = _logit(votes), np.where(labels > 0, (pos + 1) / (pos + 2), 1 / (neg + 2))
-    a, b = 1.0, 0.0
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(a * x + b, -500, 500)))
-        g = np.array([((p - y) * x).sum() + 1e-3 * a, (p - y).sum()])
+
+    def loss(t: np.ndarray) -> float:
+        z = t[0] * x + t[1]
+        return float((np.logaddexp(0, z) - y * z).sum() + 5e-4 * t[0] ** 2)
+
+    t = np.array([1.0, 0.0])
+    for _ in range(100):
+        p = 1 / (1 + np.exp(-np.clip(t[0] * x + t[1], -500, 500)))
+        g = np.array([((p - y) * x).sum() + 1e-3 * t[0], (p - y).sum()])
         w = p * (1 - p)
         h = np.array([[(w * x * x).sum() + 1e-3, (w * x).sum()], [(w * x).sum(), w.sum() + 1e-6]])
-        d = np.linalg.solve(h, g)
-        a, b = a - d[0], b - d[1]
-        if abs(d).max() < 1e-9:
+        step, size, now = np.linalg.solve(h, g), 1.0, loss(t)
+        while size > 1e-6 and loss(t - size * step) > now:
+            size /= 2
+        t = t - size * step
+        if abs(size * step).max() < 1e-8:
             break
-    return (float(a), float(b)) if a > 0 else None
+    return (float(t[0]), float(t[1])) if t[0] > 0 else None
 
 
 def _score(shared):
