@@ -195,7 +195,7 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
 
     A link is a pair found in a common leaf with a cosine of at least settings.cosine; n_links counts the other rows
     linked directly, component_id is the smallest id reachable, kept marks its row. Rows whose vector is null, zero,
-    holds null or non-finite components, or has another length than most of the sample link with nothing. Equal
+    holds null or non-finite components, or has another length than most rows link with nothing. Equal
     vectors are one class, which is routed once: repeated rows link with each other and share their result. Rows
     with a null id are kept, have a null component_id and count in others' n_links. Other columns are not read.
     """
@@ -203,31 +203,28 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     spark = vectors.sparkSession
     ship(spark)
     two = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("vector"))
-    two = two.withColumns({"h1": F.xxhash64("vector"), "h2": F.xxhash64(F.lit(7), "vector")})
-    rows = stored(two, "vectors")
-    classes = rows.where("vector is not null").groupBy("h1", "h2").agg(F.min("id").alias("id"), F.count("*").alias("copies"), F.first("vector").alias("vector"))
+    rows = stored(two.withColumns({"h1": F.xxhash64("vector"), "h2": F.xxhash64(F.lit(7), "vector"), "n": F.when(_valid("vector"), F.size("vector"))}), "vectors")
+    usual = rows.where("n IS NOT NULL").groupBy("n").agg(F.count("*").alias("rows")).orderBy(F.desc("rows"), "n").limit(1).collect()
+    dim = usual[0].n if usual else 0
+    good = F.coalesce(F.col("n") == dim, F.lit(False))
+    classes = rows.where(good).groupBy("h1", "h2").agg(F.min("id").alias("id"), F.count("*").alias("copies"), F.first("vector").alias("vector"))
     classes = stored(classes.withColumn("node", F.coalesce("id", F.expr("shiftrightunsigned(h1, 2) | 4611686018427387904L"))), "classes")
     total = classes.count()
-    lot = F.pmod(F.xxhash64(F.lit(s.seed), "h1"), F.lit(1 << 30))
-    few = classes.where(lot < F.lit(int(min(1.0, s.sample / max(1, total)) * (1 << 30)) + 1)).limit(s.sample).select("vector").toArrow().column(0).combine_chunks()
-    lengths = [n for n in pa.compute.list_value_length(few).to_pylist() if n]
-    label, counted = None, None
-    if lengths:
-        dim = max(sorted(set(lengths)), key=lengths.count)
-        x, good = unit(_matrix(few, dim))
-        shared = spark.sparkContext.broadcast(Forest(x[good], total, s))
-        routed = classes.select("node", "copies", "vector").mapInArrow(_route(shared, dim), "leaf int, id long, copies long, vector binary, leaves array<int>")
+    named = classes.select("h1", "h2", "node", "copies")
+    if total > 1:
+        lot = F.pmod(F.xxhash64(F.lit(s.seed), "h1"), F.lit(1 << 30))
+        few = classes.where(lot < F.lit(int(min(1.0, s.sample / total) * (1 << 30)) + 1)).limit(s.sample).select("vector").toArrow().column(0)
+        forest = Forest(unit(_matrix(few.combine_chunks(), dim))[0] if len(few) else np.zeros((0, dim)), total, s)
+        routed = classes.select("node", "copies", "vector").mapInArrow(_route(spark.sparkContext.broadcast(forest), dim), "leaf int, id long, copies long, vector binary, leaves array<int>")
         parts = max(shuffle_partitions(spark), -(-total * s.trees * 12 * dim // (64 << 20)))
         met = stored(routed.repartition(parts, "leaf").sortWithinPartitions("leaf").mapInArrow(_meet(s.cosine), "id long, links long, low long"), "met")
-        label = stored(connected_components(met.select("low", "id"), ("low", "id")), "labels")
-        counted = met.groupBy("id").agg(F.sum("links").alias("links"))
-    named = classes.select("h1", "h2", "node", "copies", _valid("vector").alias("valid"))
-    if label is None:
-        named = named.withColumns({"links": F.lit(0).cast("long"), "component": F.col("node")})
+        label = stored(connected_components(met.select("low", "id"), ("low", "id")), "labels").withColumnRenamed("id", "node")
+        counted = met.groupBy(F.col("id").alias("node")).agg(F.sum("links").alias("links"))
+        named = named.join(counted, "node", "left").join(label, "node", "left")
     else:
-        named = named.join(counted.withColumnRenamed("id", "node"), "node", "left").join(label.withColumnRenamed("id", "node"), "node", "left")
-    good = F.coalesce("valid", F.lit(False))
-    out = rows.select("id", "h1", "h2", F.col("vector").isNotNull().alias("has")).join(stored(named, "named"), ["h1", "h2"], "left")
+        named = named.withColumns({"links": F.lit(0).cast("long"), "component": F.col("node")})
+    named = stored(named.withColumn("_dim", F.lit(dim)), "named")
+    out = rows.withColumn("_dim", F.when(good, F.lit(dim))).drop("vector").join(named, ["h1", "h2", "_dim"], "left")
     links = F.when(good, F.coalesce("links", F.lit(0)) + F.col("copies") - 1).otherwise(0).cast("long")
     component = F.when(F.col("id").isNotNull(), F.when(good, F.coalesce("component", "node")).otherwise(F.col("id")))
     out = out.select("id", links.alias("n_links"), component.alias("component_id"))
