@@ -32,7 +32,7 @@ TEMPLATES = (
     ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
     ("LGPL-3.0", "This library is licensed under the GNU Lesser General Public License, version 3."),
     ("AGPL-3.0", "This program is licensed under the GNU Affero General Public License, version 3."),
-    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met."),
     ("BSD-3-Clause", "Released under the BSD 3-Clause License."),
     ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
@@ -47,19 +47,20 @@ TEMPLATES = (
 #: Words without which no template matches.
 CUES = ("licens", "permission", "redistribut", "copyright", "public domain", "warrant", "cc0")
 WORD = re.compile(r"[^\W_]+(?:[.-][^\W_]+)*")
-SENTENCE = re.compile(r"[^\n]+?(?:[.!?](?=\s)|(?=\n)|$)")
 
 
 @dataclass(frozen=True)
 class Settings:
     """ranked: templates whose wording is compared with a block. confirm: share of the template's words that must be
     there in order. level: of the compression. merge: characters between cue sentences that join into one block.
+    reach: characters before a cue where its sentence is taken to start, if none ends before.
     """
 
     ranked: int = 4
     confirm: float = 0.85
     level: int = 3
     merge: int = 2
+    reach: int = 4000
 
 
 def has_cue(text: Column) -> Column:
@@ -72,25 +73,32 @@ def has_cue(text: Column) -> Column:
 
 
 _CUE = re.compile("|".join(map(re.escape, CUES)), re.I)
+_STOP = re.compile(r"\n|(?<!\bv)[.!?](?=\s|$)")
 
 
 def blocks(text: str, s: Settings) -> Iterator[tuple[int, int]]:
     """(start, end) of the candidate blocks of a whole text: sentences with a cue, neighbouring ones as one block."""
-    open_: list[int] | None = None
+    start, end, past = -1, -1, 0
     for found in _CUE.finditer(text):
-        if open_ and found.start() < open_[1]:
+        if found.start() < end:
             continue
-        a = max(text.rfind("\n", 0, found.start()), *(text.rfind(stop, 0, found.start()) + (len(stop) - 1) for stop in (". ", "! ", "? ") if text.rfind(stop, 0, found.start()) >= 0), -1) + 1
-        ends = [e for e in (text.find("\n", found.end()), *(m.end() for m in [re.compile(r"[.!?](?=\s|$)").search(text, found.end())] if m)) if e >= 0]
-        b = min(ends, default=len(text))
-        if open_ and a - open_[1] <= s.merge:
-            open_[1] = b
+        # The sentence around the cue; the search backwards ends where the one before it ended.
+        a = max([past, *(m.end() for m in _STOP.finditer(text, max(past, found.start() - s.reach), found.start()))])
+        if a < found.start() - s.reach:
+            a = found.start() - s.reach
+        stop = _STOP.search(text, found.end())
+        b = stop.start() + (text[stop.start()] != "\n") if stop else len(text)
+        while a < b and text[a].isspace():
+            a += 1
+        if start >= 0 and a - end <= s.merge:
+            end = b
         else:
-            if open_:
-                yield open_[0], open_[1]
-            open_ = [a, b]
-    if open_:
-        yield open_[0], open_[1]
+            if start >= 0:
+                yield start, end
+            start, end = a, b
+        past = end
+    if start >= 0:
+        yield start, end
 
 
 class Scanner:
