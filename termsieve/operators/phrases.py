@@ -15,10 +15,11 @@ def matching(texts: DataFrame, text_col: str, phrases: DataFrame) -> DataFrame:
     n-grams go up to the longest phrase, which is read first.
     """
     longest = phrases.agg(F.max(F.size(F.split("phrase", " ")))).first()[0] or 1
-    keyed = texts.withColumn("_row", F.monotonically_increasing_id())
-    grams = keyed.select("_row", F.explode(F.array_distinct(T.ngrams(F.split(text_col, " "), longest))).alias("phrase"))
-    hit = grams.join(phrases.select("phrase").distinct(), "phrase", "left_semi").select("_row").distinct()
-    return keyed.join(hit, "_row", "left_semi").drop("_row")
+    cols = texts.columns  # a row is known by its content, which stays the same wherever it is computed
+    keyed = texts.withColumns({"_k1": F.xxhash64(*cols), "_k2": F.xxhash64(F.lit(1), *cols)})
+    grams = keyed.select("_k1", "_k2", F.explode(F.array_distinct(T.ngrams(F.split(text_col, " "), longest))).alias("phrase"))
+    hit = grams.join(phrases.select("phrase").distinct(), "phrase", "left_semi").select("_k1", "_k2").distinct()
+    return keyed.join(hit, ["_k1", "_k2"], "left_semi").select(*cols)
 
 
 def keyphrase_count(texts: DataFrame, text_col: str, phrases: DataFrame) -> DataFrame:

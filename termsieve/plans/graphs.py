@@ -90,7 +90,7 @@ def _walk_sql(seeds: str, cut: str = "true", top: int = 100) -> str:
     return f"""
 seeds AS ({seeds}),
 walk AS (SELECT name, seed, ''::VARCHAR AS parent, 0 AS level FROM seeds WHERE {cut.replace('@@', 'name')}
-  UNION SELECT d.child, w.seed, w.name, w.level + 1 FROM walk w JOIN down d ON d.parent = w.name WHERE w.level < least({top}, 6) AND {cut.replace('@@', 'd.child')}),
+  UNION SELECT d.child, w.seed, w.name, w.level + 1 FROM walk w JOIN down d ON d.parent = w.name WHERE w.level < least({top}, 40) AND {cut.replace('@@', 'd.child')}),
 low AS (SELECT name, min(level) AS level FROM walk GROUP BY name),
 reach AS (SELECT s.name, s.seed, ''::VARCHAR AS parent, 0 AS level FROM (SELECT name, min(seed) AS seed FROM seeds WHERE {cut.replace('@@', 'name')} GROUP BY name) s
   UNION ALL SELECT x.child, x.seed, x.parent, x.level FROM (SELECT d.child, r.seed, r.name AS parent, r.level + 1 AS level, row_number() OVER (PARTITION BY d.child ORDER BY r.seed, r.name) AS k

@@ -26,8 +26,20 @@ def query(sql: str | None = None):
     return keep
 
 
+#: Tables of long texts, where the work on a row outweighs moving it.
+LONG_TEXTS = ("documents", "pages")
+
+
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{d}/{name}.parquet")
+    """A table; one of long texts in fewer partitions than there are cores is dealt out over them first.
+
+    That concerns a few small files only: larger tables are read in more partitions and aren't shuffled.
+    """
+    rows = spark.read.parquet(f"{d}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if name in LONG_TEXTS and rows._jdf.queryExecution().executedPlan().outputPartitioning().numPartitions() < cores:
+        return rows.repartition(cores)
+    return rows
 
 
 PUNCT = string.punctuation.replace("'", "''")

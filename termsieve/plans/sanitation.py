@@ -231,7 +231,7 @@ def stream_sanitize(spark: SparkSession, d: str) -> DataFrame:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = f"file://{tempfile.mkdtemp(prefix='termsieve-')}"
     base = f"{folder.rstrip('/')}/stream-{spark.sparkContext.applicationId}-{dt.datetime.now().timestamp()}"
-    docs = table(spark, d, "documents")
+    docs = spark.read.parquet(f"{d}/documents.parquet")
     expand = lambda rows: rows.select("doc_id", "lang", F.posexplode(T.lines(F.col("text"))).alias("line_no", "query"))
     source = d if "://" in d else f"file://{d}"
     schema = ", ".join(f"{c} {t}" for c, t in docs.dtypes)
