@@ -54,10 +54,10 @@ def term_stats(logs: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
 
 
 def research_queries(logs: DataFrame, truncate_ts: bool = True) -> DataFrame:
-    """merino_timestamp (cut to the hour if asked), query, session_id, sequence_no of suggest requests."""
+    """query_timestamp (cut to the hour if asked), query, session_id, sequence_no of suggest requests."""
     ts = F.date_trunc("HOUR", F.col("timestamp")) if truncate_ts else F.col("timestamp")
     rows = logs.where(F.col("jsonPayload.type") == SUGGEST)
-    return rows.select(ts.alias("merino_timestamp"), *[F.col(f"jsonPayload.fields.{c}").alias(c) for c in ("query", "session_id", "sequence_no")])
+    return rows.select(ts.alias("query_timestamp"), *[F.col(f"jsonPayload.fields.{c}").alias(c) for c in ("query", "session_id", "sequence_no")])
 
 
 def run_query(spark: SparkSession, sql: str, **args) -> DataFrame:

@@ -65,7 +65,7 @@ def first_errors(results: Column) -> Column:
     return F.flatten(F.transform(results, lambda chunk: F.transform(bad(chunk), lambda r: r["errors"][0])))
 
 
-def dated_table(prefix: str, rows: DataFrame, ts_col: str = "merino_timestamp") -> str:
+def dated_table(prefix: str, rows: DataFrame, ts_col: str = "query_timestamp") -> str:
     """A table name with the day of the earliest row."""
     return f"{prefix}_{rows.agg(F.date_format(F.min(ts_col), 'yyyyMMdd')).first()[0]}"
 

@@ -45,7 +45,7 @@ def test_day_of_logs(logs):
     assert {(r.request_id, r.country) for r in got.collect()} == {("r", None), ("r2", None), ("r3", "US"), ("r6", None), ("r7", None)}
     stats = readers.term_stats(logs, DAY, DAY + dt.timedelta(days=1)).first()
     assert (stats.total_search_terms, stats.contained_blank) == (7, 1)
-    assert readers.research_queries(logs).where("minute(merino_timestamp) = 0").count() == 8
+    assert readers.research_queries(logs).where("minute(query_timestamp) = 0").count() == 8
 
 
 def test_text_readers(spark, tmp_path):
@@ -70,9 +70,9 @@ def test_text_readers(spark, tmp_path):
 
 def test_statements(spark, tmp_path):
     (tmp_path / "c.ttl").write_text(
-        '<https://x.org/wiki/Category:A_b> a :Category ;\n rdfs:label "A \\"b\\"" ;\n :pages "3" ;\n :subcategories "1" .\n'
-        "<https://x.org/wiki/Category:H> a :HiddenCategory ;\n rdfs:label \"H\" ;\n :pages \"0\" ;\n :subcategories \"0\" .\n"
-        "<https://x.org/wiki/Category:A_b> :isInCategory\n <https://x.org/wiki/Category:P>, <https://x.org/wiki/Category:Q> .\n"
+        '<https://x.org/c/Category:A_b> a :Category ;\n rdfs:label "A \\"b\\"" ;\n :pages "3" ;\n :subcategories "1" .\n'
+        "<https://x.org/c/Category:H> a :HiddenCategory ;\n rdfs:label \"H\" ;\n :pages \"0\" ;\n :subcategories \"0\" .\n"
+        "<https://x.org/c/Category:A_b> :isInCategory\n <https://x.org/c/Category:P>, <https://x.org/c/Category:Q> .\n"
     )
     info, link = readers.parse_statements(readers.statements(spark, str(tmp_path / "c.ttl")))
     assert {(r.key, r.hidden, r.num_pages) for r in info.collect()} == {("A_b", False, 3), ("H", True, 0)}
@@ -89,7 +89,7 @@ def test_sinks(spark, rows, tmp_path):
     assert spark.read.option("header", True).csv(str(tmp_path / "csv")).columns == ["k"]
     sinks.write_json_lines(rows([("x", 1)], "n string, k int"), str(tmp_path / "j"))
     assert spark.read.json(str(tmp_path / "j")).first().n == "x"
-    assert sinks.dated_table("t", rows([(dt.datetime(2024, 3, 1, 5),)], "merino_timestamp timestamp")) == "t_20240301"
+    assert sinks.dated_table("t", rows([(dt.datetime(2024, 3, 1, 5),)], "query_timestamp timestamp")) == "t_20240301"
     chunks = rows([([[(0, None), (1, ["e1", "e2"])], [(0, ["e3"])]],)], "r array<array<struct<index:int,errors:array<string>>>>")
     assert chunks.select(sinks.first_errors(F.col("r"))).first()[0] == ["e1", "e3"]
     t = sinks.Table(spark, "termsieve_test")

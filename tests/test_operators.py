@@ -77,7 +77,7 @@ def test_tokens(rows):
 
 
 BASE = dt.datetime(2024, 5, 1, 22, 51)
-TYPED = [(12.817297, "ama"), (13.225711, "amaz"), (13.494124, "amazo"), (13.619602, "wikipedia"), (13.726663, "amazon"), (14.863453, "amazon p")]
+TYPED = [(12.817297, "ama"), (13.225711, "amaz"), (13.494124, "amazo"), (13.619602, "dictionary"), (13.726663, "amazon"), (14.863453, "amazon p")]
 
 
 def test_intermediate_queries(rows):
