@@ -32,7 +32,6 @@ TEMPLATES = (
     ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
     ("LGPL-3.0", "This library is licensed under the GNU Lesser General Public License, version 3."),
     ("AGPL-3.0", "This program is licensed under the GNU Affero General Public License, version 3."),
-    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met."),
     ("BSD-3-Clause", "Released under the BSD 3-Clause License."),
     ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
