@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import uuid
 from collections.abc import Iterable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+_own: set[str] = set()
 ROOT = str(Path(__file__).resolve().parents[2])
 
 
@@ -29,7 +32,11 @@ def scratch_root(spark: SparkSession) -> str:
     if not folder:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = "file:///tmp/checkpoints"
+        local = f"/tmp/checkpoints/{os.getpid()}"
+        if local not in _own:
+            _own.add(local)
+            atexit.register(shutil.rmtree, local, ignore_errors=True)
+        folder = f"file://{local}"
     return folder.rstrip("/")
 
 
