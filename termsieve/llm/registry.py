@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from termsieve.llm import exact_dedup, langid, licenses, line_dedup, minhash, mixing, packing, rp_forest, sharding, toxicity
-from termsieve.llm.runtime import scratch_path
+from termsieve.llm.runtime import fleeting, scratch_path
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,7 +43,10 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sharding.sharded(_documents(spark, sf_dir), scratch_path(spark, "shards"))
+    path = scratch_path(spark, "shards")
+    out = sharding.sharded(_documents(spark, sf_dir), path)
+    fleeting(spark, path)
+    return out
 
 
 def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,16 +2,13 @@
 
 from __future__ import annotations
 
-import atexit
 import os
-import shutil
 import uuid
 from collections.abc import Iterable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-_own: set[str] = set()
 ROOT = str(Path(__file__).resolve().parents[2])
 
 
@@ -32,11 +29,7 @@ def scratch_root(spark: SparkSession) -> str:
     if not folder:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        local = f"/tmp/checkpoints/{os.getpid()}"
-        if local not in _own:
-            _own.add(local)
-            atexit.register(shutil.rmtree, local, ignore_errors=True)
-        folder = f"file://{local}"
+        folder = "file:///tmp/checkpoints"
     return folder.rstrip("/")
 
 
@@ -44,11 +37,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/termsieve/{name}-{uuid.uuid4().hex}"
 
 
+def fleeting(spark: SparkSession, path: str) -> None:
+    """Have the driver delete a path when it ends; it must exist."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(p)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write df as Parquet into the shared folder and read it back: cuts lineage, survives lost executors."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
+    fleeting(spark, path)
     back = spark.read.schema(df.schema).parquet(path)
     back.scratch = path  # type: ignore[attr-defined]
     return back
