@@ -16,11 +16,11 @@ from termsieve.llm.runtime import stored
 
 # Patterns start with one character, so that most places are ruled out at once.
 HIDDEN = r"(?is)<(?:(?:script|style|noscript|template)\b[^>]*>.*?</(?:script|style|noscript|template)\s*>|!--.*?-->)"
-BREAK = r"(?i)</?(?:address|article|aside|blockquote|body|br|dd|div|dl|dt|figure|footer|form|h[1-6]|head|header|hr|html|li|main|nav|ol|option|p|pre|section|table|td|th|title|tr|ul)\b[^>]*>"
+INLINE = r"(?i)</?(?:a|abbr|b|big|cite|code|del|dfn|em|font|i|img|input|ins|kbd|label|mark|q|s|samp|small|span|strong|sub|sup|time|tt|u|var|wbr)(?:[ \t\n\r/][^>]*)?>"
 TAG = r"<[^>]*>"
 ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)"
-BLANKS, RUN = "\t\x0b\f\r", "  +"
+BLANKS, RUN = (("\t", " "), ("\x0b", " "), ("\f", " "), ("\r", "\n")), "  +"
 MARK = "\n"
 
 
@@ -38,12 +38,12 @@ def host(url: Column) -> Column:
 
 
 def lines(html: Column) -> Column:
-    """The visible lines of a page: block tags and line ends separate, other tags go, blanks are squeezed."""
+    """The visible lines of a page: tags other than inline ones and line ends separate, blanks are squeezed."""
     text = F.regexp_replace(F.coalesce(html, F.lit("")), HIDDEN, " ")
-    text = F.regexp_replace(F.regexp_replace(text, BREAK, MARK), TAG, "")
-    for entity, char in ENTITIES:
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    text = F.regexp_replace(F.translate(text, BLANKS, "   \n"), RUN, " ")
+    text = F.regexp_replace(F.regexp_replace(text, INLINE, ""), TAG, MARK)
+    for old, new in (*ENTITIES, *BLANKS):
+        text = F.replace(text, F.lit(old), F.lit(new))
+    text = F.regexp_replace(text, RUN, " ")
     return F.filter(F.transform(F.split(text, MARK), lambda x: F.trim(x)), lambda x: x != "")
 
 
@@ -56,6 +56,7 @@ def without_boilerplate(pages: DataFrame, id_col: str = "page_id", url_col: str
     """
     s = settings or Settings()
     cut = pages.select(F.col(id_col).alias("id"), host(F.col(url_col)).alias("host"), lines(F.col(html_col)).alias("lines"))
+    cut = stored(cut, "page-lines")  # the patterns cost more than the table: they run once
     marks = cut.select("host", F.array_distinct(F.transform("lines", lambda x: F.xxhash64(x))).alias("marks"))
     total = marks.groupBy(F.col("host").alias("site")).agg(F.count("*").alias("pages"))
     seen = marks.select("host", F.explode("marks").alias("mark")).groupBy("host", "mark").agg(F.count("*").alias("n")).where(F.col("n") >= s.pages)
@@ -73,10 +74,12 @@ def without_boilerplate(pages: DataFrame, id_col: str = "page_id", url_col: str
 def _sql(s: Settings) -> str:
     raw = lambda x: "'" + x.replace("'", "''") + "'"
     text = f"regexp_replace(coalesce(html, ''), {raw(HIDDEN)}, ' ', 'g')"
-    text = f"regexp_replace(regexp_replace({text}, {raw(BREAK)}, chr(10), 'g'), {raw(TAG)}, '', 'g')"
-    for entity, char in ENTITIES:
-        text = f"replace({text}, {raw(entity)}, {raw(char)})"
-    text = f"regexp_replace(translate({text}, chr(9) || chr(11) || chr(12) || chr(13), '   ' || chr(10)), {raw(RUN)}, ' ', 'g')"
+    text = f"regexp_replace(regexp_replace({text}, {raw(INLINE)}, '', 'g'), {raw(TAG)}, chr(10), 'g')"
+    for old, new in ENTITIES:
+        text = f"replace({text}, {raw(old)}, {raw(new)})"
+    for old, new in BLANKS:
+        text = f"replace({text}, chr({ord(old)}), chr({ord(new)}))"
+    text = f"regexp_replace({text}, {raw(RUN)}, ' ', 'g')"
     return f"""
 WITH cut AS (
   SELECT page_id, lower(regexp_extract(url, {raw(HOST)}, 1)) AS host,
