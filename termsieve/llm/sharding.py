@@ -167,5 +167,5 @@ def sharded(docs: DataFrame, path: str, arrivals: int = 8, id_col: str = "doc_id
         rows = rows.withColumn("_from", F.lit(""))
     else:
         rows = rows.select("*", file.alias("_from"))
-    both = rows.join(listed, F.col("_from") == F.col("_file"))
+    both = rows.join(F.broadcast(listed) if len(last.shards) <= 10_000 else listed, F.col("_from") == F.col("_file"))
     return both.select(*docs.columns, F.col("_k").alias(names["shard"]), F.col("_r").alias(names["shard_rows"]), F.col("_b").alias(names["shard_bytes"]))
