@@ -64,7 +64,9 @@ class Forest:
             nodes = s.trees << level
             d = rng.standard_normal((nodes, sample.shape[1]))
             d /= np.linalg.norm(d, axis=1)[:, None]
-            p = (sample[at] * d[node]).sum(1)
+            p = np.empty(len(at))
+            for a in range(0, len(at), 1 << 15):  # a stretch at a time: the trees' copies of the sample are large
+                p[a : a + (1 << 15)] = np.einsum("ij,ij->i", sample[at[a : a + (1 << 15)]], d[node[a : a + (1 << 15)]])
             bounds = np.zeros((nodes, 2))
             order = np.argsort(node, kind="stable")
             edges = np.searchsorted(node[order], np.arange(nodes + 1))
