@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from termsieve.llm.runtime import ship
 
 #: Words and pieces of words that a task remembers with their ids.
-REMEMBERED = 800_000
+REMEMBERED = 700_000
 
 
 def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
@@ -99,7 +99,9 @@ class Encoder:
         if core.isalpha():
             low = core.lower()
             if core.isascii() or low.isalpha() and "\u03a3" not in core and unicodedata.is_normalized("NFC", core):
-                return [low, word[len(core) :]]
+                if low == word:
+                    return [word]  # key and ids are then kept once
+                return [low, word[len(core) :]] if len(core) < len(word) else [low]
         if not word.isprintable() or "\u03a3" in word or not unicodedata.is_normalized("NFC", word):
             return None
         return self.pieces(word.lower())
