@@ -66,6 +66,16 @@ def test_licences_are_found(rows):
     assert all(r.exact and not r.differences for i in want for r in got[i])
 
 
+def test_licence_names():
+    names = {"Apache-2.0", "MIT", "GPL-3.0", "GPL-2.0", "LGPL-3.0", "AGPL-3.0", "MPL-2.0", "BSD-3-Clause", "ISC", "CC-BY-4.0", "CC-BY-SA-4.0", "CC-BY-NC-4.0", "CC-BY-ND-4.0", "CC0-1.0", "Unlicense"}
+    assert {name for name, _ in licenses.TEMPLATES} == names
+    mozilla = "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."
+    scan = licenses.Scanner(licenses.Settings())
+    for notice in (mozilla, mozilla + " If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."):
+        name, _, share, rest = scan.best(notice)
+        assert name == "MPL-2.0" and share == 1 and rest == []
+
+
 def test_licence_wording_differences():
     scan = licenses.Scanner(licenses.Settings())
     name, _, share, rest = scan.best("Licensed under the Apache License, Version 1.1.")
