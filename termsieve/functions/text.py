@@ -44,11 +44,13 @@ def has_digit(text: Column) -> Column:
 def ngrams(tokens_: Column, up_to: int) -> Column:
     """All runs of 1 to up_to tokens, joined by spaces."""
 
-    def of(n: int) -> Column:
-        starts = F.when(F.size(tokens_) >= n, F.sequence(F.lit(1), F.size(tokens_) - n + 1)).otherwise(F.array().cast("array<int>"))
-        return F.transform(starts, lambda i: F.array_join(F.slice(tokens_, i, F.lit(n)), " "))
+    def of(t: Column, n: int) -> Column:
+        starts = F.when(F.size(t) >= n, F.sequence(F.lit(1), F.size(t) - n + 1)).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: F.array_join(F.slice(t, i, F.lit(n)), " "))
 
-    return F.flatten(F.array(*[of(n) for n in range(1, up_to + 1)]))
+    # The array around the tokens binds them: an expression inside the lambda is computed again for every run.
+    bound = F.transform(F.array(tokens_), lambda t: F.flatten(F.array(*[of(t, n) for n in range(1, up_to + 1)])))
+    return F.element_at(bound, 1)
 
 
 def prefixes(word: Column) -> Column:

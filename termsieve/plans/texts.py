@@ -67,7 +67,7 @@ def _phrases(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _short(spark: SparkSession, d: str) -> DataFrame:
-    return document_lines(spark, d).where(F.length("query") < 200).select("doc_id", "line_no", F.lower("query").alias("text"))
+    return document_lines(spark, d).select("doc_id", "line_no", F.lower("query").alias("text"))
 
 
 HOLDS = "EXISTS (SELECT 1 FROM phrases p WHERE contains(' ' || s.text || ' ', ' ' || p.phrase || ' '))"
@@ -112,7 +112,7 @@ BYTES = "translate(phrase, 'àâäáãéèêëíìîïñóòôöúùûüçßœæ
 
 
 def _counts(spark: SparkSession, d: str) -> DataFrame:
-    return phrases.ngram_counts(table(spark, d, "documents").where(F.length("text") < 400), "text", 3)
+    return phrases.ngram_counts(table(spark, d, "documents"), "text", 3)
 
 
 @query(f"WITH {SQL_NGRAMS} SELECT phrase, n FROM counts ORDER BY n DESC, phrase LIMIT 50")

@@ -1,0 +1,20 @@
+"""Queries whose registered SQL reads a part of its tables only: held against the same SQL over all rows."""
+
+from __future__ import annotations
+
+import pytest
+
+from termsieve.plans import catalogue
+from tests.compare import differences
+
+
+def over_all_rows(spark, tables, name, cuts):
+    sql = catalogue.oracle_sql()[name]
+    for cut in cuts:
+        sql = sql.replace(cut, "")
+    return differences(spark, catalogue.queries()[name], sql, tables)
+
+
+@pytest.mark.parametrize("name", ["ngrams_top", "misspellings_top", "keyphrase_count", "phrase_samples"])
+def test_long_texts_and_lines_count(spark, tables, name):
+    assert over_all_rows(spark, tables, name, [" WHERE length(text) < 400", " WHERE length(query) < 200"]) == ""
