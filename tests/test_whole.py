@@ -18,3 +18,13 @@ def over_all_rows(spark, tables, name, cuts):
 @pytest.mark.parametrize("name", ["ngrams_top", "misspellings_top", "keyphrase_count", "phrase_samples"])
 def test_long_texts_and_lines_count(spark, tables, name):
     assert over_all_rows(spark, tables, name, [" WHERE length(text) < 400", " WHERE length(query) < 200"]) == ""
+
+
+@pytest.mark.parametrize("name", ["intermediate_queries", "full_query_labels"])
+def test_late_events_count(spark, tmp_path, tables, name):
+    events = spark.read.parquet(f"{tables}/events.parquet").limit(400)
+    late = events.withColumn("event_id", events.event_id + 2800).cache()
+    assert late.where("event_id >= 3000").count() > 100
+    late.coalesce(1).write.parquet(f"{tmp_path}/written")
+    next((tmp_path / "written").glob("*.parquet")).rename(tmp_path / "events.parquet")
+    assert over_all_rows(spark, str(tmp_path), name, [" WHERE event_id < 3000"]) == ""
