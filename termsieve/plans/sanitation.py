@@ -73,7 +73,7 @@ SELECT w.doc_id, count(DISTINCT w.line_no) AS n_hits FROM w WHERE w.word IN (SEL
 """)
 def surname_hits(spark: SparkSession, d: str) -> DataFrame:
     names = table(spark, d, "part").select(F.explode(T.tokens(F.col("p_name"))).alias("word"))
-    extra = table(spark, d, "benchmark").where("item_id < 5").select(F.explode(T.tokens(F.col("text"))).alias("word")).where("word <> ''")
+    extra = table(spark, d, "benchmark").select(F.explode(T.tokens(F.col("text"))).alias("word")).where("word <> ''")
     words = document_lines(spark, d).select("doc_id", "line_no", F.explode(F.array_distinct(T.tokens(F.col("query")))).alias("word"))
     return words.join(names.union(extra).distinct(), "word", "left_semi").groupBy("doc_id").agg(F.count_distinct("line_no").alias("n_hits"))
 

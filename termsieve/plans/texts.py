@@ -43,7 +43,7 @@ few AS (SELECT s.word FROM surnames s JOIN dictionary w ON starts_with(w.word, s
 SELECT DISTINCT id FROM tokens WHERE word IN (SELECT word FROM few)
 """)
 def surname_prefix(spark: SparkSession, d: str) -> DataFrame:
-    names = table(spark, d, "benchmark").where("item_id < 10").select(F.explode(T.tokens(F.col("text"))).alias("word")).where("word <> ''")
+    names = table(spark, d, "benchmark").select(F.explode(T.tokens(F.col("text"))).alias("word")).where("word <> ''")
     return dictionary.contains_member_prefix(_words(spark, d), names, part_words(spark, d))
 
 
@@ -326,7 +326,7 @@ SELECT (SELECT count(*) FROM (SELECT word FROM a INTERSECT SELECT word FROM b))
   (SELECT count(*) FROM (SELECT word FROM a EXCEPT SELECT word FROM b)) AS n_first_only, (SELECT min(translate(word, 'abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ', 'nopqrstuvwxyzabcdefghijklmNOPQRSTUVWXYZABCDEFGHIJKLM')) FROM a) AS first_rotated""")
 def wordlist_sets(spark: SparkSession, d: str) -> DataFrame:
     words = lambda df: df.select(F.explode(T.words(F.col("text"))).alias("word")).distinct()
-    a, b = words(table(spark, d, "benchmark")), words(table(spark, d, "documents").where("doc_id < 50"))
+    a, b = words(table(spark, d, "benchmark")), words(table(spark, d, "documents"))
     one = lambda df, name: df.agg(F.count("*").alias(name))
     out = one(a.intersect(b), "n_both").crossJoin(one(a.union(b).distinct(), "n_any")).crossJoin(one(a.subtract(b), "n_first_only"))
     return out.crossJoin(a.agg(F.min(T.rot13(F.col("word"))).alias("first_rotated")))

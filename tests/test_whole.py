@@ -28,3 +28,8 @@ def test_late_events_count(spark, tmp_path, tables, name):
     late.coalesce(1).write.parquet(f"{tmp_path}/written")
     next((tmp_path / "written").glob("*.parquet")).rename(tmp_path / "events.parquet")
     assert over_all_rows(spark, str(tmp_path), name, [" WHERE event_id < 3000"]) == ""
+
+
+@pytest.mark.parametrize("name", ["wordlist_sets", "surname_prefix", "surname_hits"])
+def test_all_documents_and_items_count(spark, tables, name):
+    assert over_all_rows(spark, tables, name, [" WHERE doc_id < 50", " WHERE item_id < 10", " WHERE item_id < 5"]) == ""
