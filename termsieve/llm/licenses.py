@@ -1,14 +1,16 @@
-"""Licence notices in texts by conditional compression.
+"""Licence notices in texts by exact wording differences and conditional compression.
 
-Blocks of text with a cue word are compressed twice for each template: alone, and with the template as zstandard raw
-dictionary. Templates are ranked by how much the block shrinks; the first ones are confirmed by the exact word
-differences between the block and the template.
+Stretches of text around a cue word are searched for every template: where a window of words holds enough of a template's
+words, the exact word differences confirm it or not. What is confirmed is compressed twice: alone, and with the template as
+zstandard raw dictionary; a notice must save bytes.
 """
 
 from __future__ import annotations
 
 import difflib
+import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -52,52 +54,41 @@ WORD = re.compile(r"[^\W_]+(?:[.-][^\W_]+)*")
 
 @dataclass(frozen=True)
 class Settings:
-    """ranked: templates whose wording is compared with a block. confirm: share of the template's words that must be
-    there in order. level: of the compression. merge: characters between cue sentences that join into one block.
-    reach: characters before a cue where its sentence is taken to start, if none ends before.
+    """confirm: share of the template's words that must be there in order. level: of the compression. reach: characters
+    around a cue that are searched. Line ends, comment signs and other punctuation don't part words.
     """
 
-    ranked: int = 4
     confirm: float = 0.85
     level: int = 3
-    merge: int = 2
     reach: int = 4000
 
 
+_GAP = "[^a-z0-9]+"  # words of a cue may stand on two lines
+
+
 def has_cue(text: Column) -> Column:
     """Whether a text can hold a notice at all; decided without leaving the JVM."""
     low = F.lower(text)
     out = F.lit(False)
     for cue in CUES:
-        out = out | low.contains(cue)
+        out = out | (low.rlike(cue.replace(" ", _GAP)) if " " in cue else low.contains(cue))
     return out
 
 
-_CUE = re.compile("|".join(map(re.escape, CUES)), re.I)
-_STOP = re.compile(r"\n|(?<!\bv)[.!?](?=\s|$)")
+_CUE = re.compile("|".join(re.escape(cue).replace("\\ ", _GAP) for cue in CUES), re.I)
 
 
 def blocks(text: str, s: Settings) -> Iterator[tuple[int, int]]:
-    """(start, end) of the candidate blocks of a whole text: sentences with a cue, neighbouring ones as one block."""
-    start, end, past = -1, -1, 0
+    """(start, end) of the stretches of a text within reach of its cues; those that touch are one."""
+    start, end = -1, -1
     for found in _CUE.finditer(text):
-        if found.start() < end:
-            continue
-        # The sentence around the cue; the search backwards ends where the one before it ended.
-        a = max([past, *(m.end() for m in _STOP.finditer(text, max(past, found.start() - s.reach), found.start()))])
-        if a < found.start() - s.reach:
-            a = found.start() - s.reach
-        stop = _STOP.search(text, found.end())
-        b = stop.start() + (text[stop.start()] != "\n") if stop else len(text)
-        while a < b and text[a].isspace():
-            a += 1
-        if start >= 0 and a - end <= s.merge:
+        a, b = max(0, found.start() - s.reach), min(len(text), found.end() + s.reach)
+        if start >= 0 and a <= end:
             end = b
         else:
             if start >= 0:
                 yield start, end
             start, end = a, b
-        past = end
     if start >= 0:
         yield start, end
 
@@ -115,19 +106,22 @@ class Scanner:
             for _, t in templates
         ]
         self.words = [[w.lower() for w in WORD.findall(t)] for _, t in templates]
+        self.counts = [Counter(w) for w in self.words]
+        self.need = [math.ceil(s.confirm * len(w) - 1e-9) for w in self.words]
 
-    def rank(self, block: str) -> list[tuple[float, int]]:
-        """(share of the compressed size saved, template), the largest first."""
-        raw = block.encode("utf-8", "surrogatepass")
+    def saved(self, notice: str, template: int) -> float:
+        """Share of the compressed size that the template saves."""
+        raw = notice.encode("utf-8", "surrogatepass")
         alone = len(self.plain.compress(raw))
-        saved = [((alone - len(c.compress(raw))) / alone, k) for k, c in enumerate(self.with_template)]
-        return sorted(saved, key=lambda x: (-x[0], x[1]))
+        return (alone - len(self.with_template[template].compress(raw))) / alone
 
-    def differences(self, block: str, template: int) -> tuple[float, list[str]]:
-        """Share of the template's words found in order, and what differs from its first to its last matching word."""
-        want, have = self.words[template], [w.lower() for w in WORD.findall(block)]
+    def differences(self, have: list[str], template: int) -> tuple[float, list[str], list[int]]:
+        """Share of the template's words found in order, what differs from its first to its last matching word, and
+        the places of the matching words.
+        """
+        want = self.words[template]
         steps = difflib.SequenceMatcher(None, want, have, autojunk=False).get_opcodes()
-        same = sum(i2 - i1 for op, i1, i2, _, _ in steps if op == "equal")
+        at = [j for op, _, _, j1, j2 in steps if op == "equal" for j in range(j1, j2)]
         inner = [k for k, step in enumerate(steps) if step[0] == "equal"]
         out = []
         for k, (op, i1, i2, j1, j2) in enumerate(steps):
@@ -136,39 +130,80 @@ class Scanner:
                 extra = [] if edge else have[j1:j2]
                 if i2 > i1 or extra:
                     out.append(f"-{' '.join(want[i1:i2])} +{' '.join(extra)}")
-        return same / len(want), out
+        return len(at) / len(want), out, at
+
+    def _placements(self, have: list[str], template: int, lo: int, hi: int) -> Iterator[tuple[float, list[str], list[int]]]:
+        """Every confirmed place of a template in have[lo:hi]; its words lie in twice their number and 16 words more."""
+        want, need, most = self.words[template], self.need[template], self.counts[template]
+        if hi - lo < need:
+            return
+        wide, end, n = 2 * len(want) + 16, lo, 0
+        seen, over = Counter(), []  # over: how many of the template's words the window from each word on holds
+        for j in range(lo, hi):
+            while end < min(hi, j + wide):
+                w, end = have[end], end + 1
+                if w in most:
+                    seen[w] += 1
+                    n += seen[w] <= most[w]
+            over.append(n)
+            if have[j] in most:
+                n -= seen[have[j]] <= most[have[j]]
+                seen[have[j]] -= 1
+        j, past, first = lo, lo, lo
+        while j < hi:
+            if over[j - first] < need:
+                j += 1
+                continue
+            while j + 1 < hi and over[j + 1 - first] >= over[j - first]:
+                j += 1
+            a = max(past, j - len(want))  # a first word that comes again behind the notice has not held the window
+            share, rest, at = self.differences(have[a : min(hi, j + 2 * wide)], template)
+            if share >= self.s.confirm:
+                at = [a + k for k in at]
+                yield from self._placements(have, template, past, at[0])
+                yield share, rest, at
+                past = j = at[-1] + 1
+            else:
+                j += 1 + len(want) // 8
+
+    def notices(self, block: str) -> list[tuple[int, int, str, float, float, list[str]]]:
+        """(start, end, license, saved, similarity, differences) of all confirmed notices, the closest first.
+
+        Of templates that claim the same words the one with the fewest differences has them.
+        """
+        found = [(m.start(), m.end(), m.group().lower()) for m in WORD.finditer(block)]
+        have = [w for _, _, w in found]
+        counted = Counter(have)
+        places = []
+        for k, want in enumerate(self.words):
+            if sum(min(n, counted[w]) for w, n in self.counts[k].items()) >= self.need[k]:
+                places += [(len(rest), -share, -len(want), k, at, rest) for share, rest, at in self._placements(have, k, 0, len(have))]
+        out, claimed = [], set()
+        for _, share, _, k, at, rest in sorted(places):
+            start, end = found[at[0]][0], found[at[-1]][1]
+            if not claimed.isdisjoint(range(at[0], at[-1] + 1)):
+                continue
+            saved = self.saved(block[start:end], k)
+            if saved > 0:
+                claimed.update(range(at[0], at[-1] + 1))
+                out.append((start, end, self.templates[k][0], saved, -share, rest))
+        return out
 
     def best(self, block: str) -> tuple[str, float, float, list[str]] | None:
-        """(license, saved, similarity, differences) of the confirmed template with the most words in place."""
-        found = []
-        for saved, k in self.rank(block)[: self.s.ranked]:
-            if saved <= 0:
-                break
-            share, rest = self.differences(block, k)
-            if share >= self.s.confirm:
-                found.append((len(rest), -share, -saved, k, rest))
-        if not found:
-            return None
-        _, share, saved, k, rest = min(found)
-        return self.templates[k][0], -saved, -share, rest
+        """(license, saved, similarity, differences) of the closest notice."""
+        return next((row[2:] for row in self.notices(block)), None)
 
 
 def _scan(s: Settings):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner, known = Scanner(s), {}
+        scanner = Scanner(s)
         kind = pa.schema([("id", pa.int64()), ("start", pa.int64()), ("end", pa.int64()), ("license", pa.string()), ("saved", pa.float64()), ("similarity", pa.float64()), ("exact", pa.bool_()), ("differences", pa.list_(pa.string())), ("notice", pa.string())])
         for batch in batches:
             rows = []
             for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 for a, b in blocks(text, s):
-                    block = text[a:b]
-                    if block not in known:
-                        if len(known) > 50_000:
-                            known.clear()
-                        known[block] = scanner.best(block)
-                    if known[block]:
-                        name, saved, share, rest = known[block]
-                        rows.append((i, a, b, name, saved, share, not rest, rest, block))
+                    for start, end, name, saved, share, rest in sorted(scanner.notices(text[a:b])):
+                        rows.append((i, a + start, a + end, name, saved, share, not rest, rest, text[a + start : a + end]))
             cols = list(zip(*rows, strict=True)) or [[]] * len(kind)
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, kind, strict=True)], schema=kind)
 

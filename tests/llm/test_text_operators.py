@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+import textwrap
 import zlib
 
 import duckdb
@@ -85,6 +86,23 @@ def test_licence_wording_differences():
     assert name == "MIT" and rest == ["- +very old"]
 
 
+@pytest.mark.parametrize("sign", ["", "# ", " * "])
+def test_wrapped_licences_are_found(sign):
+    s = licenses.Settings()
+    scan = licenses.Scanner(s)
+    for width in range(60, 81, 4):
+        for name, notice in licenses.TEMPLATES:
+            lines = textwrap.wrap(notice, width - len(sign), break_on_hyphens=False, break_long_words=False)
+            text = f"{sign}Some file\n{sign}\n" + "\n".join(sign + x for x in lines) + f"\n{sign}\n\nimport this\n"
+            got = [row for a, b in licenses.blocks(text, s) for row in scan.notices(text[a:b])]
+            assert [(r[2], r[4], r[5]) for r in got] == [(name, 1, [])], (width, notice, got)
+
+
+def test_cue_on_two_lines(rows):
+    text = "This is free and unencumbered software released into the public\n# domain."
+    assert [r.license for r in licenses.scanned(rows([(1, text)], "doc_id long, text string")).collect()] == ["Unlicense"]
+
+
 def test_shards_round_trip(spark, rows, tmp_path):
     data = [(i % 97 if i % 11 else None, f"text {i} " * (i % 50), i) for i in range(3000)]
     docs = rows(data, "doc_id long, text string, shard int")
