@@ -169,7 +169,8 @@ class Scanner:
     def notices(self, block: str) -> list[tuple[int, int, str, float, float, list[str]]]:
         """(start, end, license, saved, similarity, differences) of all confirmed notices, the closest first.
 
-        Of templates that claim the same words the one with the fewest differences has them.
+        Of templates that claim the same words the one with the fewest differences has them; another licence's needs a
+        fifth of its words, two at least, for itself. Notices of one licence don't overlap.
         """
         found = [(m.start(), m.end(), m.group().lower()) for m in WORD.finditer(block)]
         have = [w for _, _, w in found]
@@ -178,15 +179,17 @@ class Scanner:
         for k, want in enumerate(self.words):
             if sum(min(n, counted[w]) for w, n in self.counts[k].items()) >= self.need[k]:
                 places += [(len(rest), -share, -len(want), k, at, rest) for share, rest, at in self._placements(have, k, 0, len(have))]
-        out, claimed = [], set()
-        for _, share, _, k, at, rest in sorted(places):
-            start, end = found[at[0]][0], found[at[-1]][1]
-            if not claimed.isdisjoint(range(at[0], at[-1] + 1)):
+        out, claimed, spans = [], set(), {}
+        for _, share, n, k, at, rest in sorted(places):
+            name, start, end = self.templates[k][0], found[at[0]][0], found[at[-1]][1]
+            own = sum(w not in claimed for w in at)  # 'under the MIT License or the Apache License': two may share words
+            if own < max(2, -n // 5) or any(a < end and start < b for a, b in spans.get(name, ())):
                 continue
             saved = self.saved(block[start:end], k)
             if saved > 0:
-                claimed.update(range(at[0], at[-1] + 1))
-                out.append((start, end, self.templates[k][0], saved, -share, rest))
+                claimed.update(at)
+                spans.setdefault(name, []).append((start, end))
+                out.append((start, end, name, saved, -share, rest))
         return out
 
     def best(self, block: str) -> tuple[str, float, float, list[str]] | None:

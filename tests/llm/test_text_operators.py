@@ -98,6 +98,23 @@ def test_wrapped_licences_are_found(sign):
             assert [(r[2], r[4], r[5]) for r in got] == [(name, 1, [])], (width, notice, got)
 
 
+def test_neighbouring_licences_are_all_found(rows):
+    mit, apache = "Released under the MIT License.", "Licensed under the Apache License, Version 2.0."
+    gpl = [t for name, t in licenses.TEMPLATES if name in ("GPL-2.0", "GPL-3.0", "LGPL-3.0", "AGPL-3.0")]
+    docs = [mit + " " + apache, mit + "\n" + apache, apache + "\n" + mit, "Licensed under the MIT License or the Apache License, Version 2.0.", "Licensed under the Apache License, Version 2.0 or the MIT License.",
+            " ".join(gpl), "\n".join(t for _, t in licenses.TEMPLATES), mit + "\n" + mit, "His licence. " * 200 + "Licensed under CC BY 4.0. " + "Their licence. " * 200]
+    texts = dict(enumerate(docs))
+    got = {}
+    for r in licenses.scanned(rows(list(texts.items()), "doc_id long, text string")).collect():
+        assert texts[r.doc_id][r.start : r.end] == r.notice
+        got.setdefault(r.doc_id, []).append(r.license)
+    both = ["Apache-2.0", "MIT"]
+    assert [sorted(got[i]) for i in range(5)] == [both] * 5
+    assert sorted(got[5]) == sorted(name for name, _ in licenses.TEMPLATES if name in ("GPL-2.0", "GPL-3.0", "LGPL-3.0", "AGPL-3.0"))
+    assert sorted(got[6]) == sorted(name for name, _ in licenses.TEMPLATES)
+    assert got[7] == ["MIT", "MIT"] and got[8] == ["CC-BY-4.0"]
+
+
 def test_cue_on_two_lines(rows):
     text = "This is free and unencumbered software released into the public\n# domain."
     assert [r.license for r in licenses.scanned(rows([(1, text)], "doc_id long, text string")).collect()] == ["Unlicense"]
