@@ -2,7 +2,9 @@
 
 Each source's documents are shuffled by a hash and laid end to end; that line of words is cut into blocks of equal
 size. Slot n of the mix takes the point frac(n * golden ratio), mapped through the cumulative target shares to a
-source; the k-th slot of a source takes its k-th block, starting over after the last one.
+source; the k-th slot of a source takes its k-th block, starting over after the last one. A source of fewer than
+FEW such blocks is too small for slots of the common size: it has FEW smaller blocks or more, and takes as many as its
+target holds.
 """
 
 from __future__ import annotations
@@ -19,6 +21,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 GOLDEN = 0.6180339887498949
 #: Rows of one window: documents of a source's hash bucket, slots of a stretch of the schedule.
 RUN = 1024
+#: Blocks below which a source gets a block size of its own.
+FEW = 1024
 
 
 @dataclass(frozen=True)
@@ -94,7 +98,7 @@ class _Mix:
     """What mixed() and mix() work on: sizes of the rows with their source's plan, places, and uses of the blocks."""
 
     plan: list[tuple[str | None, int, float]]
-    block: int
+    grains: list[int]
     buckets: int
     rows: DataFrame
     starts: DataFrame
@@ -116,8 +120,13 @@ def _lay_out(docs: DataFrame, id_col: str, text_col: str, source_col: str, s: Se
     plan = targets([(r.source, r.n) for r in per], s)
     total = sum(n for _, n, _ in plan)
     block = max(1, min(s.largest, total // s.slots))
-    kinds = spark.createDataFrame([(i, name, n, t) for i, (name, n, t) in enumerate(plan)], "part int, name string, source_size long, target double")
-    rows = rows.join(F.broadcast(kinds) if len(plan) <= 10_000 else kinds, F.col("source").eqNullSafe(F.col("name"))).drop("name")
+    grains = [block if n >= FEW * block else max(1, n // FEW) for _, n, _ in plan]  # words of a block, by source
+    own = [n < FEW * block for _, n, _ in plan]
+    uses = [min(s.most * -(-n // g), int(round(t / g))) for (_, n, t), g in zip(plan, grains, strict=True)]
+    kinds = spark.createDataFrame([(i, name, n, t, g, o, u) for i, ((name, n, t), g, o, u) in enumerate(zip(plan, grains, own, uses, strict=True))],
+                                  "part int, name string, source_size long, target double, grain long, own boolean, uses long")
+    near = F.broadcast(kinds) if len(plan) <= 10_000 else kinds
+    rows = rows.join(near.drop("own", "uses"), F.col("source").eqNullSafe(F.col("name"))).drop("name")
     buckets = max(1, -(-sum(r.rows for r in per) // RUN))
     full = rows.where("size > 0").withColumn("bucket", _bucket(F.col("id"), buckets, s))
     sums = full.groupBy("part", "bucket").agg(F.sum("size").alias("words"))
@@ -125,15 +134,20 @@ def _lay_out(docs: DataFrame, id_col: str, text_col: str, source_col: str, s: Se
     starts = stored(sums.withColumn("before", F.coalesce(before, F.lit(0))), "bucket-starts")
     order = Window.partitionBy("part", "bucket").orderBy("h", "id", "size").rowsBetween(Window.unboundedPreceding, 0)
     placed = full.withColumn("inside", F.sum("size").over(order) - F.col("size")).join(starts.select("part", "bucket", "before"), ["part", "bucket"])
-    placed = placed.select("id", "size", "part", "source_size", "target", "bucket", (F.col("before") + F.col("inside")).alias("start"))
+    placed = placed.select("id", "size", "part", "source_size", "target", "grain", "bucket", (F.col("before") + F.col("inside")).alias("start"))
     times = schedule(spark, plan, block, s.most).groupBy("part", "block").agg(F.count("*").alias("times"))
-    return _Mix(plan, block, buckets, rows, starts, stored(placed, "placed"), stored(times, "times"))
+    times = times.join(near.where("NOT own").select("part"), "part")
+    small = kinds.where("own AND uses > 0").withColumn("blocks", F.expr("(source_size + grain - 1) div grain"))
+    small = small.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    small = small.select("part", "block", F.expr("uses div blocks + if(block < uses % blocks, 1, 0)").alias("times")).where("times > 0")
+    times = times.select("part", "block", "times").union(small)
+    return _Mix(plan, grains, buckets, rows, starts, stored(placed, "placed"), stored(times, "times"))
 
 
 def _taken(m: _Mix, placed: DataFrame) -> DataFrame:
     """The placed rows with taken: their pieces of blocks joined with the uses of those blocks."""
-    piece = placed.withColumn("block", F.explode(F.sequence(F.expr(f"start div {m.block}"), F.expr(f"(start + size - 1) div {m.block}"))))
-    overlap = F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * m.block) - F.greatest("start", F.col("block") * m.block)
+    piece = placed.withColumn("block", F.explode(F.sequence(F.expr("start div grain"), F.expr("(start + size - 1) div grain"))))
+    overlap = F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * F.col("grain")) - F.greatest("start", F.col("block") * F.col("grain"))
     used = piece.select("part", "start", "block", overlap.alias("overlap")).join(m.times, ["part", "block"])
     used = used.groupBy("part", "start").agg(F.sum(F.col("overlap") * F.col("times")).alias("taken"))
     return placed.join(stored(used, "taken"), ["part", "start"], "left").withColumn("taken", F.coalesce("taken", F.lit(0)).cast("long"))
@@ -165,9 +179,9 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     """
     s = settings or Settings()
     m = _lay_out(docs, id_col, text_col, source_col, s)
-    blocks = {i: max(1, -(-n // m.block)) for i, (_, n, _) in enumerate(m.plan)}
+    blocks = {i: max(1, -(-n // m.grains[i])) for i, (_, n, _) in enumerate(m.plan)}
     slots = {r.part: r.slots for r in m.times.groupBy("part").agg(F.sum("times").alias("slots")).collect()}  # a row per source
-    cuts = [(i, name, slots.get(i, 0) // blocks[i], slots.get(i, 0) % blocks[i] * m.block) for i, (name, _, _) in enumerate(m.plan)]
+    cuts = [(i, name, slots.get(i, 0) // blocks[i], slots.get(i, 0) % blocks[i] * m.grains[i]) for i, (name, _, _) in enumerate(m.plan)]
     cut = docs.sparkSession.createDataFrame(cuts, "_part int, _name string, _passes long, _cut long")
     around = m.starts.join(cut, (F.col("part") == F.col("_part")) & (F.col("before") <= F.col("_cut")) & (F.col("_cut") < F.col("before") + F.col("words")))
     at = {r._part: r.bucket for r in around.select("_part", "bucket").collect()}  # at most a row per source
@@ -177,7 +191,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     passes = F.col("_passes") + F.when(F.col("_bucket") < F.col("_at"), 1).otherwise(0)
     whole = rows.where("_bucket <> _at").withColumn("_n", passes).where("_n > 0").withColumn("_pass", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n"))))
     edge = m.placed.join(F.broadcast(cut.select("_part", "_at")) if len(cuts) <= 10_000 else cut.select("_part", "_at"), (F.col("part") == F.col("_part")) & (F.col("bucket") == F.col("_at")))
-    share = _taken(m, edge.select("id", "size", "part", "source_size", "target", "start")).groupBy(F.col("id").alias("_id")).agg(
+    share = _taken(m, edge.select("id", "size", "part", "source_size", "target", "grain", "start")).groupBy(F.col("id").alias("_id")).agg(
         F.expr("sum(taken) div count(*)").alias("_taken"), F.max("size").alias("_size")).where("_taken > 0")
     both = rows.where("_bucket = _at").join(stored(share, "taken"), F.col(id_col).eqNullSafe(F.col("_id")))
     both = both.withColumn("_pass", F.explode(F.sequence(F.lit(1).cast("long"), F.expr("(_taken + _size - 1) div _size"))))

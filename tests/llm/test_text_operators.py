@@ -199,6 +199,26 @@ def test_mixing_edge_cases(rows):
     assert [r.taken for r in mixing.mixed(df.where("doc_id = 2")).collect()] == [0]
 
 
+def test_tiny_sources_beside_a_large_one(rows):
+    s = mixing.Settings(slots=64)  # blocks of some 3000 words
+    sizes = {"a": 200_000, "b": 3, "c": 200, "d": 400, "e": 800, "f": 1600, "g": 9000}
+    docs = [(k, i) for k, n in sizes.items() for i in range(0, n, 97)]
+    docs = [(j, " ".join(f"{k}{i}" for i in range(i, min(i + 97, sizes[k]))), k) for j, (k, i) in enumerate(docs)]
+    df = rows(docs, "doc_id long, text string, source string")
+    source, taken = {i: k for i, _, k in docs}, dict.fromkeys(sizes, 0)
+    target = {}
+    for r in mixing.mixed(df, settings=s).collect():
+        assert r.size and r.taken <= 3 * r.size
+        taken[source[r.doc_id]] += r.taken
+        target[source[r.doc_id]] = r.target
+    for k in sizes:
+        assert abs(taken[k] - target[k]) <= 1 + 0.02 * target[k], (k, taken, target)
+    words = dict.fromkeys(sizes, 0)
+    for r in mixing.mix(df, settings=s).collect():
+        words[r.source] += len(r.text.split())
+    assert words == taken
+
+
 def test_golden_slots_are_spread(spark):
     plan = [("a", 1000, 600.0), ("b", 1000, 300.0), ("c", 1000, 100.0)]
     got = sorted(tuple(r) for r in mixing.schedule(spark, plan, 1, 3).collect())
