@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from termsieve.llm import text as T
 from termsieve.llm.components import agg_by, connected_components
 from termsieve.llm.idfilter import id_bits, may_hold, without_ids
-from termsieve.llm.runtime import discard, ship, shuffle_partitions, stored
+from termsieve.llm.runtime import discard, ship, shuffle_partitions, stored, tidied
 
 _SIGNED = "id long, n_shingles long, d0 long, d1 long, bands array<long>"
 
@@ -78,6 +78,7 @@ def band_keys(sig: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 
 def _sign(s: Settings):
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, texts = batch.column(0), T.utf8(batch.column(1))
@@ -112,6 +113,7 @@ def signed(docs: DataFrame, id_col: str, text_col: str, s: Settings) -> DataFram
 
 
 def _sets_of(s: Settings, shared):
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             inside = np.flatnonzero(may_hold(shared.value, batch.column(2).to_numpy()))
@@ -181,6 +183,7 @@ def _block_links(s: Settings):
         apart = low != ids
         return low[apart], ids[apart]
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, rows = None, []
 

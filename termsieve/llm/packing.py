@@ -21,10 +21,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from termsieve.llm.runtime import ship
+from termsieve.llm import text as T
+from termsieve.llm.runtime import ship, tidied
 
-#: Words and pieces of words that a task remembers with their ids.
-REMEMBERED = 700_000
+#: Words that a worker remembers with their ids, in about 35 bytes each; the half unused for longest is forgotten beyond.
+REMEMBERED = 1 << 20
 
 
 def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
@@ -45,26 +46,99 @@ class Settings:
     anywhere: float = 64.0
 
 
+#: Byte values of the hash that verifies a word.
+OTHER = T.mix(T.BYTE) | T.U64(1)
 #: The tokenizer's own pre-tokens: contractions, runs of letters, single digits, runs of anything else.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in the vocabulary: printable Latin-1 for itself, others from U+0100 on."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(rest)}
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in the vocabulary: printable Latin-1 for itself, others from U+0100 on."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(rest)}
+
+
+class Memory:
+    """Token ids of words by a 64-bit hash in sorted flat arrays, verified by 32 further bits."""
+
+    def __init__(self, limit: int, kind: type) -> None:
+        self.limit, self.now = limit, 0
+        self.keys, self.checks = np.empty(0, T.U64), np.empty(0, np.uint32)
+        self.starts, self.sizes, self.used = (np.empty(0, np.int32) for _ in range(3))
+        self.pool = np.empty(0, kind)
+
+    def find(self, keys: np.ndarray, checks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place, whether it is there) of distinct words."""
+        at = np.searchsorted(self.keys, keys)
+        inside = np.minimum(at, max(0, len(self.keys) - 1))
+        there = (self.keys[inside] == keys) & (self.checks[inside] == checks) if len(self.keys) else np.zeros(len(keys), bool)
+        self.used[at[there]] = self.now
+        return at, there
+
+    def add(self, keys: np.ndarray, checks: np.ndarray, ids: list[bytes]) -> None:
+        """Remembers words, sorted by key, that are not there; one with another word's key takes its place."""
+        if len(self.keys) + len(keys) > self.limit:
+            self._forget()
+        sizes = np.fromiter(map(len, ids), np.int32, len(ids)) // 4
+        starts = (np.cumsum(sizes) - sizes + len(self.pool)).astype(np.int32)
+        self.pool = np.concatenate((self.pool, np.frombuffer(b"".join(ids), "<u4").astype(self.pool.dtype)))
+        at = np.searchsorted(self.keys, keys)
+        same = np.flatnonzero(self.keys[np.minimum(at, len(self.keys) - 1)] == keys) if len(self.keys) else []
+        if len(same):
+            old = at[same]
+            self.checks[old], self.starts[old], self.sizes[old], self.used[old] = checks[same], starts[same], sizes[same], self.now
+            new = np.setdiff1d(np.arange(len(keys)), same)
+            at, keys, checks, starts, sizes = at[new], keys[new], checks[new], starts[new], sizes[new]
+        self.keys, self.checks = np.insert(self.keys, at, keys), np.insert(self.checks, at, checks)
+        self.starts, self.sizes, self.used = np.insert(self.starts, at, starts), np.insert(self.sizes, at, sizes), np.insert(self.used, at, self.now)
+
+    def _forget(self) -> None:
+        """Keeps the half used last, and whatever the block at hand uses."""
+        keep = (self.used > np.median(self.used)) | (self.used == self.now)
+        sizes, starts = self.sizes[keep], self.starts[keep]
+        ends = np.cumsum(sizes)
+        self.pool = self.pool[np.repeat(starts - (ends - sizes), sizes) + np.arange(sizes.sum())]
+        self.keys, self.checks, self.used = self.keys[keep], self.checks[keep], self.used[keep]
+        self.starts, self.sizes = (ends - sizes).astype(np.int32), sizes
+
+    def ids(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words by their places, in a row, and where each word's ids end."""
+        sizes = self.sizes[places].astype(np.int64)
+        ends = np.cumsum(sizes)
+        return self.pool[np.repeat(self.starts[places] - (ends - sizes), sizes) + np.arange(sizes.sum())].astype("<u4"), ends
+
+
 class Encoder:
-    """Token ids of whole texts, through memory of the words and pieces seen so far.
+    """Token ids of whole texts, through memory of the words seen so far.
 
     The tokenizer composes and lower-cases, splits into pieces that never reach across white space, and encodes each
-    piece by itself with one word-end token, its last; so the ids of a text are those of its pieces in a row.
+    piece by itself with one word-end token, its last; so the ids of a text are those of its words in a row. The
+    words of a block of texts are cut and hashed at once, and the distinct ones looked up; those that are new are
+    encoded, many at once, by the tokenizer's model alone, or by all of it where its other steps would change them.
     """
 
-    TAIL = ".,;:!?"
+    TAIL = b".,;:!?"
 
     def __init__(self, file: str) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         import regex
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(file)
         self.tokenizer.encode_special_tokens = True
+        self.model = Tokenizer.from_file(file)
+        self.model.encode_special_tokens = True
+        self.model.normalizer = normalizers.Sequence([])
+        self.model.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        self.letters = _byte_letters()
         self.pieces = regex.compile(PIECES).findall
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
@@ -73,59 +147,102 @@ class Encoder:
             if token.endswith("</w>"):
                 self.ends[i] = True
                 self.stops[i] = len(token) > 4 and set(token[:-4]) <= set(".!?")
-        self.words: dict[str, bytes] = {}
-        self.known: dict[str, bytes] = {"": b""}
+        self.memory = Memory(REMEMBERED, np.uint16 if len(self.ends) <= 1 << 16 else np.uint32)
+        self.tail, self.plain, self.lower = np.zeros(256, bool), np.zeros(256, bool), np.arange(256, dtype=np.uint8)
+        self.tail[list(self.TAIL)] = True
+        self.plain[[b for b in range(128) if chr(b).isalnum()]] = True
+        self.lower[65:91] += 32
 
     def _ids(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _learn(self, pieces: list[str]) -> None:
-        """Remembers pieces, encoded many at once."""
+    def _piece_ids(self, pieces: list[str]) -> list[bytes]:
+        """The ids of each piece: lower-case, composed and without white space, encoded many at once."""
+        out: list[bytes] = []
         for i in range(0, len(pieces), 4000):
             part = pieces[i : i + 4000]
-            ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
+            joined = " ".join(part)
+            if not joined.isascii():
+                joined = " ".join([p if p.isascii() else p.encode().decode("latin-1").translate(self.letters) for p in part])
+            ids = np.array(self.model.encode(joined, add_special_tokens=False).ids, "<u4")
             last = np.flatnonzero(self.ends[ids]) + 1
             if len(last) != len(part):  # some piece isn't one to the tokenizer
-                self.known.update((r, self._ids(r)) for r in part)
+                out += [self._ids(r) for r in part]
                 continue
             raw, first = ids.tobytes(), 0
-            for r, stop in zip(part, (last * 4).tolist(), strict=True):
-                self.known[r] = raw[first:stop]
+            for stop in (last * 4).tolist():
+                out.append(raw[first:stop])
                 first = stop
+        return out
 
     def _split(self, word: str) -> list[str] | None:
         """The pieces of a word as the tokenizer sees them; None where its rules need the word as it is."""
-        core = word.rstrip(self.TAIL)
-        if core.isalpha():
-            low = core.lower()
-            if core.isascii() or low.isalpha() and "\u03a3" not in core and unicodedata.is_normalized("NFC", core):
-                if low == word:
-                    return [word]  # key and ids are then kept once
-                return [low, word[len(core) :]] if len(core) < len(word) else [low]
+        if word.isascii():
+            if word.isalpha():
+                return [word.lower()]
+            return self.pieces(word.lower()) if word.isprintable() else None
         if not word.isprintable() or "\u03a3" in word or not unicodedata.is_normalized("NFC", word):
             return None
-        return self.pieces(word.lower())
-
-    @staticmethod
-    def _row(text: str) -> list[str]:
-        """Words in order; a text with separators that only Python takes for white space is one word."""
-        odd = "\x1c" in text or "\x1d" in text or "\x1e" in text or "\x1f" in text
-        return [text] if odd else text.split()
-
-    def texts(self, texts: list[str | None]) -> list[np.ndarray]:
-        words, known = self.words, self.known
-        rows = [self._row(t or "") for t in texts]
-        fresh = set().union(*rows).difference(words)
-        parts = {w: self._split(w) for w in fresh}
-        self._learn(list({p for x in parts.values() if x for p in x}.difference(known)))
-        for w, x in parts.items():
-            words[w] = self._ids(w) if x is None else b"".join([known[p] for p in x])
-        out = [np.frombuffer(b"".join([words[w] for w in row]), "<u4") for row in rows]
-        if len(words) > REMEMBERED:
-            words.clear()
-        if len(known) > REMEMBERED:
-            self.known = {"": b""}
-        return out
+        low = word.lower()
+        return [low] if word.isalpha() and low.isalpha() else self.pieces(low)
+
+    def _learned(self, fresh: list[str]) -> list[bytes]:
+        """The ids of words."""
+        parts = [self._split(w) for w in fresh]
+        pieces = list({p for x in parts if x for p in x})
+        known = dict(zip(pieces, self._piece_ids(pieces), strict=True))
+        return [self._ids(w) if x is None else known[x[0]] if len(x) == 1 else b"".join([known[p] for p in x]) for w, x in zip(fresh, parts, strict=True)]
+
+    def _words(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The bytes with the ASCII words among them lower-cased, and start and end of every word.
+
+        Marks behind a letter or digit of ASCII are a word of their own.
+        """
+        starts, ends = T.runs(data)
+        low = self.lower[data]
+        high = np.concatenate(([0], np.cumsum(data > 127, dtype=np.int64)))
+        if high[-1]:  # case and composition depend on each other in other words
+            odd = np.zeros(len(data) + 1, np.int8)
+            mixed = high[ends] > high[starts]
+            odd[starts[mixed]], odd[ends[mixed]] = 1, -1
+            low = np.where(np.cumsum(odd[:-1], dtype=np.int8) > 0, data, low)
+        kept = np.maximum.accumulate(np.where(self.tail[data], -1, np.arange(len(data))))
+        core = kept[ends - 1] + 1
+        core = np.where((core > starts) & (core < ends) & self.plain[data[np.maximum(core - 1, 0)]], core, ends)
+        cut = np.flatnonzero(core < ends)
+        return low, np.insert(starts, cut + 1, core[cut]), np.insert(core, cut + 1, ends[cut])
+
+    def block(self, raw: list[bytes]) -> list[np.ndarray]:
+        """The ids of each text of a block."""
+        data = np.frombuffer(b"\n".join(raw) + b"\n", np.uint8)
+        low, starts, ends = self._words(data)
+        keys, checks = T.span_hashes(low, starts, ends, T.BYTE), (T.span_hashes(low, starts, ends, OTHER) >> T.U64(32)).astype(np.uint32)
+        while True:
+            key, first, word = np.unique(keys, return_index=True, return_inverse=True)
+            other = checks != checks[first][word]
+            if not other.any():
+                break
+            keys = keys + other
+        memory = self.memory
+        memory.now += 1
+        _, there = memory.find(key, checks[first])
+        fresh = np.flatnonzero(~there)
+        if len(fresh):
+            text = low.tobytes()
+            spans = zip(starts[first[fresh]].tolist(), ends[first[fresh]].tolist(), strict=True)
+            memory.add(key[fresh], checks[first[fresh]], self._learned([text[a:b].decode() for a, b in spans]))
+        ids, stops = memory.ids(np.searchsorted(memory.keys, key)[word])
+        at = np.searchsorted(starts, np.concatenate(([0], np.cumsum([len(r) + 1 for r in raw]))))
+        bounds = np.concatenate(([0], stops))[at]
+        return [ids[a:z] for a, z in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+
+    def texts(self, column: pa.Array) -> Iterator[np.ndarray]:
+        """The ids of every text, in order."""
+        for raw in T.batches(T.utf8(column)):
+            if len(raw) > 1 or len(raw[0]) <= T.BLOCK:
+                yield from self.block(raw)
+            else:
+                yield np.concatenate([ids for part in T.segments(raw[0]) for ids in self.block([part])])
 
 
 def cuts(ends: list[int], costs: list[float], length: int) -> list[int]:
@@ -160,22 +277,20 @@ def cuts(ends: list[int], costs: list[float], length: int) -> list[int]:
 
 def boundaries(ids: np.ndarray, last: np.ndarray, stops: np.ndarray, s: Settings) -> tuple[np.ndarray, np.ndarray]:
     """Token counts and penalties of the places where a window may end. last: counts at the ends of documents."""
-    at = np.flatnonzero(stops[ids]) + 1
-    at = np.union1d(at, last)
+    mark, soft = stops[ids], np.zeros(len(ids), bool)
+    soft[last - 1] = mark[last - 1] = True
+    mark[-1] = True
+    at = np.flatnonzero(mark) + 1
     gaps = np.diff(at, prepend=0)
     far = np.flatnonzero(gaps > s.length)
     if len(far):
         step = max(1, s.length // 16)
         at = np.union1d(at, np.concatenate([np.arange(at[k] - gaps[k] + step, at[k], step) for k in far]))
-        soft = np.isin(at, last, assume_unique=True)
-        cost = np.where(soft, 0.0, np.where(stops[ids[at - 1]], s.sentence, s.anywhere))
-    else:
-        cost = np.where(np.isin(at, last, assume_unique=True), 0.0, s.sentence)
-    return at, cost
+    return at, np.where(soft[at - 1], 0.0, np.where(stops[ids[at - 1]], s.sentence, s.anywhere))
 
 
 #: Tokens that a task lays out at once.
-LAYOUT = 1 << 20
+LAYOUT = 1 << 19
 _OUT = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 
@@ -185,20 +300,26 @@ class _Layout:
     def __init__(self, s: Settings, stops: np.ndarray, task: int) -> None:
         self.s, self.stops = s, stops
         self.sequence = task << 40
-        self.docs: list[tuple[int | None, int, np.ndarray, int]] = []  # id, start, rest of its ids, tokens of the whole
+        self.docs: list[tuple[int | None, int, np.ndarray, int]] = []  # id, start, a stretch of its ids, tokens of the whole
         self.tokens = 0
 
-    def add(self, doc_id: int | None, ids: np.ndarray) -> None:
-        self.docs.append((doc_id, 0, ids, len(ids)))
-        self.tokens += len(ids)
+    def add(self, doc_id: int | None, ids: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Takes a document, a stretch at a time, and gives the sequences that are finished then."""
+        for start in range(0, len(ids), LAYOUT):
+            part = ids[start : start + LAYOUT]
+            self.docs.append((doc_id, start, part, len(ids)))
+            self.tokens += len(part)
+            if self.tokens >= LAYOUT and (out := self.flush(False)) is not None:
+                yield out
 
     def flush(self, final: bool) -> pa.RecordBatch | None:
         """Cuts what is there into sequences; but for the final call, the last one stays open."""
         if not self.docs:
             return None
         ids = np.concatenate([d[2] for d in self.docs])
-        ends = np.cumsum([len(d[2]) for d in self.docs])
-        at, cost = boundaries(ids, ends, self.stops, self.s)
+        ends = np.cumsum([len(own) for _, _, own, _ in self.docs])
+        whole = np.array([start + len(own) == n for _, start, own, n in self.docs])
+        at, cost = boundaries(ids, ends[whole], self.stops, self.s)
         marks = [int(at[j]) for j in cuts(at.tolist(), cost.tolist(), self.s.length)]
         if not final:
             marks.pop()
@@ -237,6 +358,7 @@ _encoders: dict[str, Encoder] = {}
 
 
 def _pack(s: Settings):
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         file = s.tokenizer or tokenizer_file()
         if file not in _encoders:
@@ -246,12 +368,8 @@ def _pack(s: Settings):
         layout = _Layout(s, encoder.stops, context.partitionId() if context else 0)
         end = np.array([s.end], "<u4")
         for batch in batches:
-            for i in range(0, batch.num_rows, 64):
-                part = batch.slice(i, 64)
-                for doc_id, ids in zip(part.column(0).to_pylist(), encoder.texts(part.column(1).to_pylist()), strict=True):
-                    layout.add(doc_id, np.concatenate((ids, end)))
-                if layout.tokens >= LAYOUT and (out := layout.flush(False)) is not None:
-                    yield out
+            for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.texts(batch.column(1)), strict=True):
+                yield from layout.add(doc_id, np.concatenate((ids, end)))
         if (out := layout.flush(True)) is not None:
             yield out
 

@@ -6,6 +6,7 @@ Each word gets a 64-bit polynomial hash of its UTF-8 bytes, computed for a whole
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,6 +22,7 @@ BASE_INV = U64(pow(int(BASE), -1, 2**64))
 STEP = _RNG.integers(1, 2**63, 16, dtype=np.int64).astype(U64) * U64(2) + U64(1)
 #: Bytes of text hashed at once; a longer text is a block of its own.
 BLOCK = 1 << 20
+_BLANK = re.compile(rb"[ \t\n\x0b\f\r]")
 _powers: list[np.ndarray] = []
 
 
@@ -32,12 +34,14 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2**64."""
+    """Powers of the base and of its inverse modulo 2**64; those of a block are kept."""
     if not _powers or len(_powers[0]) < n:
-        size = max(n, BLOCK + 1)
-        up, down = np.full(size, BASE, U64), np.full(size, BASE_INV, U64)
+        up, down = np.full(max(n, BLOCK + 2), BASE, U64), np.full(max(n, BLOCK + 2), BASE_INV, U64)
         up[0] = down[0] = 1
-        _powers[:] = [np.cumprod(up, dtype=U64), np.cumprod(down, dtype=U64)]
+        both = [np.cumprod(up, dtype=U64), np.cumprod(down, dtype=U64)]
+        if n > BLOCK + 2:
+            return both[0], both[1]
+        _powers[:] = both
     return _powers[0], _powers[1]
 
 
@@ -46,40 +50,68 @@ def utf8(column: pa.Array) -> list[bytes | None]:
     return column.cast(pa.binary()).to_pylist()
 
 
-def blocks(texts: list[bytes | None], limit: int = BLOCK) -> Iterator[tuple[int, list[bytes]]]:
-    """Runs of consecutive texts as lower-cased UTF-8 of about `limit` bytes, each with the index of its first text."""
-    first, held, size = 0, [], 0
-    for i, t in enumerate(texts):
-        raw = (t or b"").lower()  # bytes.lower() changes A-Z alone
+def batches(texts: list[bytes | None], limit: int = BLOCK) -> Iterator[list[bytes]]:
+    """Runs of consecutive texts of about `limit` bytes; a longer text is a run of its own."""
+    held, size = [], 0
+    for t in texts:
+        raw = t or b""
         if held and size + len(raw) > limit:
-            yield first, held
-            first, held, size = i, [], 0
+            yield held
+            held, size = [], 0
         held.append(raw)
         size += len(raw) + 1
     if held:
-        yield first, held
+        yield held
 
 
-def word_spans(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The joined bytes, start and end of every word, and for each text the index of its first word (with an end)."""
-    data = np.frombuffer(b"\n".join(raw) + b"\n", np.uint8)
+def blocks(texts: list[bytes | None], limit: int = BLOCK) -> Iterator[tuple[int, list[bytes]]]:
+    """The same in lower case, each with the index of its first text."""
+    first = 0
+    for raw in batches(texts, limit):
+        yield first, [r.lower() for r in raw]  # bytes.lower() changes A-Z alone
+        first += len(raw)
+
+
+def segments(raw: bytes, limit: int = BLOCK) -> Iterator[bytes]:
+    """A text in stretches of about `limit` bytes that end behind white space."""
+    at = 0
+    while at < len(raw):
+        found = _BLANK.search(raw, at + limit)
+        end = found.end() if found else len(raw)
+        yield raw[at:end]
+        at = end
+
+
+def runs(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end of every word of bytes that end in white space."""
     inside = ~SPACE[data]
     edge = np.flatnonzero(inside[1:] != inside[:-1]) + 1
     if len(inside) and inside[0]:
         edge = np.concatenate(([0], edge))
-    starts, ends = edge[0::2], edge[1::2]
-    at = np.concatenate(([0], np.cumsum([len(r) + 1 for r in raw])))
-    return data, starts, ends, np.searchsorted(starts, at)
+    return edge[0::2], edge[1::2]
 
 
-def word_hashes(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """A 64-bit hash for each word of the texts, and for each text the index of its first word (with an end)."""
-    data, starts, ends, first = word_spans(raw)
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """A 64-bit polynomial hash for each span of bytes."""
     up, down = powers(len(data) + 1)
     total = np.empty(len(data) + 1, U64)
     total[0] = 0
-    np.cumsum(BYTE[data] * up[: len(data)], out=total[1:])
-    return mix((total[ends] - total[starts]) * down[starts]), first
+    np.cumsum(values[data] * up[: len(data)], out=total[1:])
+    return mix((total[ends] - total[starts]) * down[starts])
+
+
+def word_hashes(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit hash for each word of the texts, and for each text the index of its first word (with an end).
+
+    A long text is hashed a segment at a time.
+    """
+    if len(raw) == 1 and len(raw[0]) > 2 * BLOCK:
+        found = np.concatenate([word_hashes([part])[0] for part in segments(raw[0])])
+        return found, np.array([0, len(found)])
+    data = np.frombuffer(b"\n".join(raw) + b"\n", np.uint8)
+    starts, ends = runs(data)
+    at = np.concatenate(([0], np.cumsum([len(r) + 1 for r in raw])))
+    return span_hashes(data, starts, ends, BYTE), np.searchsorted(starts, at)
 
 
 def shingles(words: np.ndarray, first: np.ndarray, size: int = 5) -> list[np.ndarray]:
