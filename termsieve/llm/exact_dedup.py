@@ -9,14 +9,15 @@ text that is copied very often reaches its shard once per partition.
 from __future__ import annotations
 
 import hashlib
+import string
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from termsieve.llm.idfilter import without_ids
-from termsieve.llm.runtime import ship, shuffle_partitions, stored
+from termsieve.llm.idfilter import split, without_rows
+from termsieve.llm.runtime import free_name, ship, shuffle_partitions, stored
 from termsieve.llm.text import utf8
 
 SLOTS = 4
@@ -203,12 +204,33 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     )
 
 
+def normal_sha256(text: Column) -> Column:
+    """SHA-256 of a text with A-Z lower-cased, in hexadecimal, as exact_duplicates() gives it."""
+    return F.sha2(F.translate(F.coalesce(text.cast("string"), F.lit("")), string.ascii_uppercase, string.ascii_lowercase).cast("binary"), 256)
+
+
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents that stay, with all their columns; of repeated rows of one document one stays."""
-    rows = stored(exact_duplicates(docs, id_col, text_col), "exact-duplicates")
-    left = without_ids(docs, id_col, rows.where("not kept").select(F.col(id_col).alias("id")))
-    repeated = rows.where("kept and group_size > 1").groupBy(id_col).count().where("count > 1")
-    return left if repeated.isEmpty() else left.dropDuplicates([id_col])
+    """One row of every group of equal texts, with all its columns: the one with the largest id, null being the least.
+
+    Rows are told apart by id and text, so a row with a null or repeated id and a text of its own stays. Of repeated
+    rows (equal id and text) one stays, the least by its other columns (maps aside). Null and empty texts are equal.
+    Rows of which no id is in a group of several stay where they lie; an empty table gives an empty one.
+    """
+    rows = stored(exact_duplicates(docs, id_col, text_col), "exact-duplicates").withColumnRenamed(id_col, "id").withColumnRenamed("text_sha256", "mark")
+    several = stored(rows.where("group_size > 1").groupBy("id", "mark").agg(F.max("kept").alias("kept"), F.count("*").alias("copies")), "groups")
+    mark = normal_sha256(F.col(text_col))
+    touched = several.where("not kept or copies > 1")
+    left = without_rows(docs, id_col, mark, touched)
+    repeated = touched.where("kept")
+    if repeated.isEmpty():
+        return left
+    names = [free_name(docs.columns, c) for c in ("_id", "_mark", "_own")]
+    again = split(docs, id_col, repeated.select("id"))[1].withColumn(names[2], mark)
+    there = F.col(id_col).cast("long").eqNullSafe(F.col(names[0])) & (F.col(names[2]) == F.col(names[1]))
+    again = again.join(repeated.select("id", "mark").toDF(*names[:2]), there, "left_semi")
+    order = F.struct(*[F.col(c) for c, kind in docs.dtypes if "map<" not in kind])
+    one = again.groupBy(F.col(id_col).alias(names[0]), names[2]).agg(F.min_by(F.struct(*docs.columns), order).alias(names[1]))
+    return left.union(one.select(f"{names[1]}.*"))
 
 
 ORACLE_SQL = """

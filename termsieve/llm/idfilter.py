@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from termsieve.llm.runtime import free_name, ship, stored
@@ -44,19 +44,35 @@ def _passing(shared, place: int, held: bool):
     return run
 
 
+def split(docs: DataFrame, id_col: str, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows that surely have none of the ids (column id), where they lie, and those that may; null is an id."""
+    spark = docs.sparkSession
+    ship(spark)
+    shared = spark.sparkContext.broadcast(id_bits(ids))
+    marked = docs.withColumn(free_name(docs.columns, "_h"), F.xxhash64(F.col(id_col).cast("long")))
+    place = len(docs.columns)
+    return marked.mapInArrow(_passing(shared, place, False), docs.schema), marked.mapInArrow(_passing(shared, place, True), docs.schema)
+
+
 def without_ids(docs: DataFrame, id_col: str, gone: DataFrame) -> DataFrame:
     """The rows whose id is not among `gone` (column id); null ids stay, and all columns.
 
     Rows that the filter tells apart go on where they lie; only rows that it may hold are joined with the ids.
     """
-    spark = docs.sparkSession
-    ship(spark)
     ids = stored(gone.select(F.col("id").cast("long")).where("id IS NOT NULL").distinct(), "gone")
-    shared = spark.sparkContext.broadcast(id_bits(ids))
-    mark = free_name(docs.columns, "_h")
-    marked = docs.withColumn(mark, F.xxhash64(F.col(id_col).cast("long")))
-    place = len(docs.columns)
-    sure = marked.mapInArrow(_passing(shared, place, False), docs.schema)
-    maybe = marked.mapInArrow(_passing(shared, place, True), docs.schema)
+    sure, maybe = split(docs, id_col, ids)
     key = free_name(docs.columns, "_gone")
     return sure.union(maybe.join(ids.withColumnRenamed("id", key), F.col(id_col) == F.col(key), "left_anti"))
+
+
+def without_rows(docs: DataFrame, id_col: str, mark: Column, gone: DataFrame) -> DataFrame:
+    """The rows that are not among `gone` (columns id and mark), with all columns; null ids are compared like others.
+
+    mark is a function of the row, which tells rows of one id apart; it is computed for rows with such an id alone.
+    """
+    rows = stored(gone.select(F.col("id").cast("long"), "mark").distinct(), "gone")
+    sure, maybe = split(docs, id_col, rows.select("id"))
+    names = [free_name(docs.columns, c) for c in ("_gone", "_mark")]
+    some = maybe.withColumn(free_name([*docs.columns, *names], "_own"), mark)
+    there = F.col(id_col).cast("long").eqNullSafe(F.col(names[0])) & (F.col(some.columns[-1]) == F.col(names[1]))
+    return sure.union(some.join(rows.toDF(*names), there, "left_anti").select(*docs.columns))

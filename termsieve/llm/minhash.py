@@ -266,6 +266,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", settings: Settings | None = None) -> DataFrame:
-    """The documents without those that a similar one with a smaller id replaces; all columns stay."""
+    """The documents without those that a similar one with a smaller id replaces; all columns stay.
+
+    Rows with a null id stay. Rows that share an id are one document, linked through any of its texts: it stays or
+    goes as a whole.
+    """
     gone = near_duplicates(docs, id_col, text_col, settings).where("not kept").select(F.col(id_col).alias("id"))
     return without_ids(docs, id_col, gone)

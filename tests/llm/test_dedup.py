@@ -137,6 +137,29 @@ def test_exact_nulls_ties_and_repeats(rows):
     assert got == sorted([(1, 1, 3, True), (1, 1, 3, True), (None, 1, 3, False), (None, None, 1, True), (None, None, 1, True), (3, 4, 2, False), (4, 4, 2, True)], key=str)
 
 
+def test_exact_rows_with_null_and_repeated_ids_stay(rows):
+    kind = "doc_id long, text string, _mark string, _own map<string,int>"
+    data = [(None, "x", "a"), (None, "y", "a"), (None, "z", "a"), (8, "twice", "b"), (8, "Twice", "a"), (5, "alone", "a"), (5, "both", "a"), (9, "BOTH", "a"), (None, "both", "a"), (None, "n", "c"), (None, "N", "b")]
+    got = exact_dedup.keep_one(rows([(*r, {"k": 1}) for r in data], kind))
+    want = [(None, "x", "a"), (None, "y", "a"), (None, "z", "a"), (8, "Twice", "a"), (5, "alone", "a"), (9, "BOTH", "a"), (None, "N", "b")]
+    assert got.columns == ["doc_id", "text", "_mark", "_own"] and sorted(((r.doc_id, r.text, r._mark) for r in got.collect()), key=str) == sorted(want, key=str)
+
+
+def test_near_rows_of_a_shared_id_are_one_document(rows):
+    long = " ".join(f"w{k}" for k in range(40))
+    got = minhash.keep_one(rows([(2, long), (5, long + " x"), (5, "another text of seven words in all"), (6, long + " y"), (7, "own text"), (7, "other")], DOC))
+    assert sorted((r.doc_id, len(r.text)) for r in got.collect()) == [(2, len(long)), (7, 5), (7, 8)]
+
+
+def test_long_texts_are_hashed_in_segments(monkeypatch):
+    raw = b" ".join(b"w%d" % (k % 700) for k in range(9000)) + b" " + b"x" * 5000
+    whole, first = T.word_hashes([raw])
+    monkeypatch.setattr(T, "BLOCK", 1000)
+    monkeypatch.setattr(T.segments, "__defaults__", (1000,))
+    parts, again = T.word_hashes([raw])
+    assert (whole == parts).all() and first.tolist() == again.tolist() == [0, 9001]
+
+
 def test_index_updates(rows):
     digests = lambda data: exact_dedup.digests(rows(data, DOC), "doc_id", "text")
     index = exact_dedup.update_index(None, digests([(1, "a"), (2, "b"), (3, "A")]))
