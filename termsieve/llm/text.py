@@ -106,8 +106,12 @@ def word_hashes(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     A long text is hashed a segment at a time.
     """
     if len(raw) == 1 and len(raw[0]) > 2 * BLOCK:
-        found = np.concatenate([word_hashes([part])[0] for part in segments(raw[0])])
+        found = np.concatenate([_block_hashes([part])[0] for part in segments(raw[0], BLOCK)])
         return found, np.array([0, len(found)])
+    return _block_hashes(raw)
+
+
+def _block_hashes(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     data = np.frombuffer(b"\n".join(raw) + b"\n", np.uint8)
     starts, ends = runs(data)
     at = np.concatenate(([0], np.cumsum([len(r) + 1 for r in raw])))
