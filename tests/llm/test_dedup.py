@@ -7,6 +7,7 @@ import random
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -208,11 +209,56 @@ def test_forest_recall(rows, cloud):
     assert same >= 0.97 and all(got[i].kept == (got[i].component_id == i) for i in got)
 
 
+def brute(x):
+    """Numbers of links and components by all pairs."""
+    x = x / np.linalg.norm(x, axis=1)[:, None]
+    n, groups = np.zeros(len(x), np.int64), Sets(range(len(x)))
+    for a in range(0, len(x), 2048):
+        link = x[a : a + 2048] @ x.T >= 0.9
+        n[a : a + 2048] = link.sum(1) - 1
+        for i in range(len(link)):
+            for j in np.flatnonzero(link[i])[:1]:
+                groups.join(a + i, int(j))
+    return n, groups
+
+
+def measured(spark, x, **settings):
+    df = spark.createDataFrame(pa.table({"vec_id": np.arange(len(x)), "embedding": list(x.astype(np.float32))})).repartition(8)
+    got = rp_forest.near_vectors(df, settings=rp_forest.Settings(**settings)).toPandas().sort_values("vec_id")
+    return got.n_links.to_numpy(), got.component_id.to_numpy()
+
+
+def crowd(n, dim, spread, hot, rng):
+    """Vectors of which a share lies in one dense group of different ones, and some in small groups."""
+    x = rng.standard_normal((n, dim))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    k = int(n * hot)
+    x[:k] = x[0] + spread * rng.standard_normal((k, dim)) / dim**0.5
+    small = n - k // 4
+    x[small:] = x[small + np.arange(k // 4) // 4 * 4] + 0.3 * rng.standard_normal((k // 4, dim)) / dim**0.5
+    return x[rng.permutation(n)]
+
+
+@pytest.mark.parametrize("spread", [0.27, 0.33, 0.4])
+def test_dense_groups_keep_their_links(spark, spread):
+    x = crowd(12000, 64, spread, 1 / 3, np.random.default_rng(5)).astype(np.float32)
+    n, component = measured(spark, x, sample=(2048, 4096))
+    want, _ = brute(x.astype(float))
+    assert (n <= want).all() and n.sum() >= 0.99 * want.sum() and want.sum() > 1e6 * (spread < 0.35)
+
+
+def test_recall_at_fifty_thousand(spark):
+    x = crowd(50000, 64, 0.27, 0.4, np.random.default_rng(6)).astype(np.float32)
+    n, component = measured(spark, x)
+    want, _ = brute(x.astype(float))
+    assert (n <= want).all() and n.sum() >= 0.99 * want.sum() and (n[want < 20].sum() >= 0.99 * want[want < 20].sum() > 5000)
+
+
 def test_forest_edge_cases(rows):
-    bad = [(1, [1.0, 0.0]), (2, [2.0, 0.0]), (3, None), (4, [0.0, 0.0]), (5, [float("nan"), 1.0]), (6, [None, 1.0]), (7, [1.0]), (8, [float("inf"), 0.0]), (9, [0.0, 1.0]), (None, [1.0, 0.01]), (10, [1.0, 0.0]), (10, [1.0, 0.0])]
+    bad = [(1, [1.0, 0.0]), (2, [2.0, 0.0]), (3, None), (4, [0.0, 0.0]), (5, [float("nan"), 1.0]), (6, [None, 1.0]), (7, [1.0]), (11, [1.0, 0.0, 0.0]), (12, [1.0, 0.01, 0.0]), (8, [float("inf"), 0.0]), (9, [0.0, 1.0]), (None, [1.0, 0.01]), (10, [1.0, 0.0]), (10, [1.0, 0.0])]
     df = rows([(*r, "x") for r in bad], "vec_id long, embedding array<double>, leaf string")
     got = sorted(((r.vec_id, r.n_links, r.component_id, r.kept) for r in rp_forest.near_vectors(df).collect()), key=str)
-    want = [(1, 4, 1, True), (2, 4, 1, False), *((k, 0, k, True) for k in (3, 4, 5, 6, 7, 8, 9)), (None, 4, None, True), (10, 4, 1, False), (10, 4, 1, False)]
+    want = [(1, 4, 1, True), (2, 4, 1, False), *((k, 0, k, True) for k in (3, 4, 5, 6, 7, 8, 9)), (11, 1, 11, True), (12, 1, 11, False), (None, 4, None, True), (10, 4, 1, False), (10, 4, 1, False)]
     assert got == sorted(want, key=str)
     assert rp_forest.near_vectors(df.limit(0)).collect() == []
     assert [r.n_links for r in rp_forest.near_vectors(df.where("vec_id = 3")).collect()] == [0]
