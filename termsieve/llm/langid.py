@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from termsieve.llm.runtime import ship, stored
+from termsieve.llm.runtime import add_vectors, ship, stored, tidied
 from termsieve.llm.toxicity import remainder
 
 U32 = np.uint32
@@ -80,6 +80,7 @@ def grams(data: np.ndarray, s: Settings) -> Iterator[tuple[np.ndarray, np.ndarra
 
 
 def _presence(s: Settings):
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         df, rows = np.zeros(1 << s.bits, np.int64), 0
         for batch in batches:
@@ -97,20 +98,10 @@ def _presence(s: Settings):
     return run
 
 
-def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    rows, df = 0, None
-    for batch in batches:
-        for n, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            own = np.frombuffer(raw, "<i8")
-            rows, df = rows + n, own.copy() if df is None else df + own
-    if df is not None:
-        yield pa.RecordBatch.from_arrays([pa.array([rows]), pa.array([df.tobytes()], pa.binary())], ["rows", "df"])
-
-
 def document_frequencies(texts: DataFrame, s: Settings) -> tuple[int, np.ndarray]:
     """Rows, and rows that hold each feature, over all of `texts`: a vector per partition, added up in 16 tasks."""
     kind = "rows long, df binary"
-    part = texts.mapInArrow(_presence(s), kind).repartition(16).mapInArrow(_add, kind)
+    part = texts.mapInArrow(_presence(s), kind).repartition(16).mapInArrow(add_vectors, kind)
     rows, df = 0, np.zeros(1 << s.bits, np.int64)
     for r in part.collect():  # at most 16 vectors of fixed length
         rows, df = rows + r["rows"], df + np.frombuffer(bytes(r["df"]), "<i8")
@@ -118,6 +109,7 @@ def document_frequencies(texts: DataFrame, s: Settings) -> tuple[int, np.ndarray
 
 
 def _counts(s: Settings):
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, data, ends in _blocks(batch.column(2).to_pylist()):
@@ -184,6 +176,7 @@ def temperature(logits: np.ndarray, y: np.ndarray) -> float:
 
 
 def _predict(shared, s: Settings):
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         langs, table, bias, heat = shared.value
         for batch in batches:

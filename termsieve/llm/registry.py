@@ -35,7 +35,7 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return toxicity.scored(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")).drop("evidence")
+    return toxicity.scored(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,6 +10,7 @@ import uuid
 from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
@@ -83,6 +84,17 @@ def tidied(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
     return wrapped
 
 
+def add_vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sums of rows (rows, df): numbers of rows, and vectors of 64-bit counts as bytes."""
+    rows, df = 0, None
+    for batch in batches:
+        for n, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            own = np.frombuffer(raw, "<i8")
+            rows, df = rows + n, own.copy() if df is None else df + own
+    if df is not None:
+        yield pa.RecordBatch.from_arrays([pa.array([rows]), pa.array([df.tobytes()], pa.binary())], ["rows", "df"])
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

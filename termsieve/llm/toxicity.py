@@ -1,13 +1,17 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
-Terms are words and byte prefixes of words. A bounded sample of labelled rows gives the vocabulary (terms that
-speak for the label) and the examples; document frequencies come from all documents. The examples' vectors are kept
-in an inverted index in blocks, with each term's largest weight in every block: a query adds those maxima up,
-visits blocks from the highest bound down, and stops when no bound can reach its k-th best example.
+Terms are words and byte prefixes of words: all that two or more of the labelled rows hold, but for stop words, which
+too many of all documents hold. A term weighs
+(1 + log of its count) times its idf over all documents, times its relevance: what the labelled rows tell about the
+term, above a floor that every term keeps. The examples' vectors are kept in an inverted index in blocks, with each
+term's largest weight in every block: a query adds those maxima up, scores the blocks with the highest bounds, and
+then those whose bound reaches its k-th best example. Votes are calibrated on examples that neither the relevance nor
+the index they are scored with has seen.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -18,41 +22,42 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from termsieve.llm import text as T
-from termsieve.llm.idfilter import without_ids
-from termsieve.llm.runtime import ship, stored
+from termsieve.llm.idfilter import without_rows
+from termsieve.llm.runtime import add_vectors, ship, stored, tidied
 
-PREFIXES = (3, 4, 5, 6, 7)
+PREFIXES = (4, 6)
 PART = np.array([not chr(b).isalnum() if b < 128 else False for b in range(256)])
 TAG = T.STEP[:8]
-#: The empty term, parent of the shortest prefixes.
-NONE = T.U64(0)
+#: Bytes of texts whose terms are counted at once.
+BLOCK = 1 << 18
 
 
 @dataclass(frozen=True)
 class Settings:
-    """sample: labelled rows learnt from at most. terms: vocabulary at most. support: toxic examples a term needs.
+    """sample: labelled rows learnt from at most. k: neighbours that vote. block: examples of an index block.
+    stop: share of all documents (10 of them at least) beyond which a term is a stop word.
 
-    ratio: times that a term is likelier in toxic examples than in others. share: of the best term's log-likelihood
-    ratio that a term reaches at least. k: neighbours that vote. block: examples
-    of an index block. prior: weight of the vote for the rate among examples without any term.
+    floor: relevance that every term has; doubt: deviations that a term's share among toxic examples must stand out by
+    before it has more. prior: weight of the vote for the rate among examples without any term. folds: parts of the
+    examples that are scored with the others' terms and votes for the calibration.
     """
 
-    sample: int = 8000
-    terms: int = 4096
-    support: int = 3
-    ratio: float = 8.0
-    share: float = 0.1
-    k: int = 15
+    sample: int = 4000
+    k: int = 7
     block: int = 64
+    stop: float = 0.3
+    floor: float = 0.05
+    doubt: float = 2.0
     prior: float = 0.5
+    folds: int = 4
     threshold: float = 0.7
 
 
-def term_hashes(raw: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(term, parent, text) for every occurrence: first the prefixes by length, then the whole words.
+def _word_terms(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct words x terms, word of each occurrence, text of each occurrence); 0 stands for no term.
 
-    A parent is the next shorter prefix of the same word. Words are runs of ASCII letters, digits and any
-    non-ASCII characters.
+    Words are runs of ASCII letters, digits and any non-ASCII characters. A word's terms are its prefixes of 4 and 6
+    bytes if they are shorter than it, and the word.
     """
     data = np.frombuffer(b"\n".join(raw) + b"\n", np.uint8)
     inside = ~PART[data]
@@ -60,161 +65,232 @@ def term_hashes(raw: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.n
     if inside[0]:
         edge = np.concatenate(([0], edge))
     starts, ends = edge[0::2], edge[1::2]
-    at = np.cumsum([len(r) + 1 for r in raw])
-    owner = np.searchsorted(at, starts, side="right")
+    owner = np.searchsorted(np.cumsum([len(r) + 1 for r in raw]), starts, side="right")
     up, down = T.powers(len(data) + 1)
     total = np.empty(len(data) + 1, T.U64)
     total[0] = 0
     np.cumsum(T.BYTE[data] * up[: len(data)], out=total[1:])
-    size = ends - starts
-    parent = np.zeros(len(starts), T.U64)
+    words, first, word = np.unique(T.mix((total[ends] - total[starts]) * down[starts]), return_index=True, return_inverse=True)
+    starts, size = starts[first], (ends - starts)[first]
+    terms = np.zeros((len(words), len(PREFIXES) + 1), T.U64)
     for k, n in enumerate(PREFIXES):
-        long = size > n
-        starts_n = starts[long]
-        h = T.mix((total[starts_n + n] - total[starts_n]) * down[starts_n]) ^ TAG[k]
-        yield h, parent[long], owner[long]
-        parent[long] = h
-    yield T.mix((total[ends] - total[starts]) * down[starts]) ^ TAG[7], parent, owner
+        at = starts[long := np.flatnonzero(size > n)]
+        terms[long, k] = T.mix((total[at + n] - total[at]) * down[at]) ^ TAG[k]
+    terms[:, -1] = words ^ TAG[7]
+    return terms, word, owner
+
+
+class Lookup:
+    """Places of 64-bit hashes in an array, by linear probing in a table."""
+
+    def __init__(self, keys: np.ndarray) -> None:
+        self.keys = keys
+        self.slots = np.full(1 << max(4, (3 * len(keys)).bit_length()), -1, np.int32)
+        left, step = np.arange(len(keys)), 0
+        while len(left):
+            spot = self._spot(keys[left], step)
+            free = self.slots[spot] < 0
+            spot, first = np.unique(spot[free], return_index=True)
+            self.slots[spot] = left[free][first]
+            left, step = left[self.slots[self._spot(keys[left], step)] != left], step + 1
+
+    def _spot(self, hashes: np.ndarray, step: int) -> np.ndarray:
+        return ((hashes + T.U64(step)) & T.U64(len(self.slots) - 1)).astype(np.int64)
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """The place of each hash, or -1."""
+        out, left, step = np.full(len(hashes), -1, np.int64), np.arange(len(hashes)), 0
+        while len(left):
+            slot = self.slots[self._spot(hashes[left], step)]
+            full = slot >= 0
+            left, slot, step = left[full], slot[full], step + 1
+            hit = self.keys[slot] == hashes[left]
+            out[left[hit]] = slot[hit]
+            left = left[~hit]
+        return out
+
+
+def counted(raw: list[bytes], lookup: Lookup) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, term, count) of the known terms, in order; a long text is counted a segment at a time."""
+    if not len(lookup.keys):
+        return (np.empty(0, np.int64),) * 3
+    if len(raw) == 1 and len(raw[0]) > 2 * BLOCK:
+        parts = [counted_block([part], lookup) for part in T.segments(raw[0], BLOCK)]
+        term, place = np.unique(np.concatenate([t for _, t, _ in parts]), return_inverse=True)
+        n = np.bincount(place, np.concatenate([c for _, _, c in parts]), len(term)).astype(np.int64)
+        return np.zeros(len(term), np.int64), term, n
+    return counted_block(raw, lookup)
+
+
+def counted_block(raw: list[bytes], lookup: Lookup) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    terms, word, owner = _word_terms(raw)
+    known = np.where(terms != 0, lookup.find(terms.ravel()).reshape(terms.shape), -1)
+    every = known[word]
+    key = (owner[:, None] * len(lookup.keys) + every)[every >= 0]
+    key, n = np.unique(key, return_counts=True)
+    return key // len(lookup.keys), key % len(lookup.keys), n
+
+
+def _labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(term, examples) of each run of texts."""
+    for batch in batches:
+        for raw in T.batches(T.utf8(batch.column(0)), BLOCK):
+            low = [r.lower() for r in raw]
+            parts = [_word_terms([x]) for x in T.segments(low[0], BLOCK)] if len(low) == 1 and len(low[0]) > 2 * BLOCK else [_word_terms(low)]
+            pair = [np.stack((t[w].ravel(), np.repeat(o, t.shape[1]).astype(T.U64)), 1) for t, w, o in parts]
+            pair = np.unique(np.concatenate(pair), axis=0) if sum(map(len, pair)) else np.empty((0, 2), T.U64)
+            term, n = np.unique(pair[pair[:, 0] != 0, 0], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(term.view(np.int64)), pa.array(n.astype(np.int64))], ["term", "n"])
 
 
-def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(term, parent, toxic examples, others) of each run of texts."""
-    for batch in batches:
-        toxic = np.array(batch.column(1).to_pylist(), np.int64)
-        for first, raw in T.blocks(T.utf8(batch.column(0))):
-            parts = [(h, p, o) for h, p, o in term_hashes(raw) if len(h)]
-            if not parts:
-                continue
-            h, p, o = (np.concatenate(x) for x in zip(*parts, strict=True))
-            order = np.lexsort((o, h))
-            h, p, o = h[order], p[order], o[order]
-            new = np.ones(len(h), bool)
-            new[1:] = (h[1:] != h[:-1]) | (o[1:] != o[:-1])
-            h, p, y = h[new], p[new], toxic[first + o[new]]
-            start = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
-            pos = np.add.reduceat(y, start)
-            every = np.diff(np.concatenate((start, [len(h)])))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(h[start].view(np.int64)), pa.array(p[start].view(np.int64)), pa.array(pos), pa.array(every - pos)], ["term", "parent", "pos", "neg"]
-            )
-
-
-def vocabulary(sample: DataFrame, positives: int, negatives: int, s: Settings) -> np.ndarray:
-    """Sorted hashes of the terms that speak for the label, by log-likelihood ratio; at most s.terms of them.
-
-    Of a prefix and its only continuation in the sample, the longer term is taken.
-    """
-    if not positives:
-        return np.empty(0, T.U64)
-    per = sample.select("text", "toxic").mapInArrow(_counts, "term long, parent long, pos long, neg long")
-    per = per.groupBy("term").agg(F.max("parent").alias("parent"), F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-    rate, other = (F.col("pos") + 0.5) / F.lit(positives + 1.0), (F.col("neg") + 0.5) / F.lit(negatives + 1.0)
-    least = min(s.support, max(1, positives // 8))
-    good = per.where(F.col("pos") >= least).where(rate >= F.lit(s.ratio) * other)
-    good = good.withColumn("gain", F.col("pos") * F.log(rate / other)).orderBy(F.desc("gain"), "term").limit(4 * s.terms)
-    rows = good.collect()  # at most 4 * terms
-    has = {r.term: (r.pos, r.neg) for r in rows}
-    covered = {r.parent for r in rows if has.get(r.parent) == (r.pos, r.neg)}
-    kept = [r.term for r in rows if r.term not in covered and r.gain >= s.share * rows[0].gain][: s.terms]
-    return np.sort(np.array(kept, np.int64).view(T.U64))
+def vocabulary(sample: DataFrame) -> np.ndarray:
+    """Sorted hashes of the terms that two labelled rows hold or more (of a single row: all)."""
+    least = 2 if sample.count() > 1 else 1
+    terms = sample.select("text").mapInArrow(_labelled, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    rows = terms.select("term").toArrow().column(0)  # terms of the bounded sample
+    return np.sort(rows.to_numpy().view(T.U64)) if len(rows) else np.empty(0, T.U64)
+
+
+def _frequencies(shared):
+    """Texts, and texts that hold each term, of a whole partition."""
+
+    @tidied
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lookup, rows = shared.value, 0
+        df = np.zeros(len(lookup.keys), np.int64)
+        for batch in batches:
+            rows += batch.num_rows
+            for _, raw in T.blocks(T.utf8(batch.column(0)), BLOCK):
+                df += np.bincount(counted(raw, lookup)[1], minlength=len(df))
+        yield pa.RecordBatch.from_arrays([pa.array([rows]), pa.array([df.astype("<i8").tobytes()], pa.binary())], ["rows", "df"])
+
+    return run
 
 
 def _vectors(shared):
+    """(id, terms, counts) as bytes of 32-bit numbers."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = shared.value
-        bits = np.zeros(1 << 16, bool)
-        bits[(words & T.U64(0xFFFF)).astype(np.int64)] = True
         for batch in batches:
-            for first, raw in T.blocks(T.utf8(batch.column(1))):
-                ids, owners = [], []
-                for h, _, o in term_hashes(raw):
-                    some = np.flatnonzero(bits[(h & T.U64(0xFFFF)).astype(np.int64)])
-                    if len(words) and len(some):
-                        at = np.searchsorted(words, h[some])
-                        at[at == len(words)] = 0
-                        hit = words[at] == h[some]
-                        ids.append(at[hit])
-                        owners.append(o[some[hit]])
-                key = np.concatenate(owners) * len(words) + np.concatenate(ids) if ids else np.empty(0, np.int64)
-                key, count = np.unique(key, return_counts=True)
-                owner = key // max(1, len(words))
-                offsets = np.searchsorted(owner, np.arange(len(raw) + 1)).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(first, len(raw)),
-                        pa.ListArray.from_arrays(pa.array(offsets), pa.array((key % max(1, len(words))).astype(np.int32))),
-                        pa.ListArray.from_arrays(pa.array(offsets), pa.array(count.astype(np.int32))),
-                    ],
-                    ["id", "terms", "counts"],
-                )
+            for first, raw in T.blocks(T.utf8(batch.column(1)), BLOCK):
+                owner, term, n = counted(raw, shared.value)
+                at = np.searchsorted(owner, np.arange(len(raw) + 1)).tolist()
+                cut = lambda x, at=at: pa.array([x[a:z].astype("<i4").tobytes() for a, z in zip(at[:-1], at[1:], strict=True)], pa.binary())
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(raw)), cut(term), cut(n)], ["id", "terms", "counts"])
 
     return run
 
 
+def _spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places of several stretches in a row."""
+    ends = np.cumsum(sizes)
+    return np.repeat(starts - (ends - sizes), sizes) + np.arange(int(ends[-1]) if len(ends) else 0)
+
+
 class BlockMaxIndex:
-    """Unit vectors of examples as postings by term, in blocks with each term's maximum."""
+    """Unit vectors of examples as postings by term, cut into stretches of one block with the stretch's maximum."""
 
     def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], n_terms: int, block: int) -> None:
-        order = sorted(range(len(vectors)), key=lambda i: (vectors[i][0].tolist(), i))  # like vectors share blocks
-        self.order, self.block = np.array(order, np.int64), block
-        blocks = max(1, -(-len(order) // block))
-        t = np.concatenate([vectors[i][0] for i in order]) if order else np.empty(0, np.int64)
-        w = np.concatenate([vectors[i][1] for i in order]) if order else np.empty(0)
-        e = np.repeat(np.arange(len(order)), [len(vectors[i][0]) for i in order]) if order else np.empty(0, np.int64)
-        by = np.lexsort((e, t))
+        chief = [int(t[w.argmax()]) if len(t) else -1 for t, w in vectors]  # examples with the same chief term share blocks
+        self.order, self.block = np.argsort(chief, kind="stable").astype(np.int32), block
+        self.blocks = max(1, -(-len(vectors) // block))
+        nothing = [np.empty(0, np.int64)]
+        t = np.concatenate([vectors[i][0] for i in self.order] or nothing)
+        w = np.concatenate([vectors[i][1] for i in self.order] or nothing).astype(np.float32)
+        e = np.repeat(np.arange(len(vectors), dtype=np.int32), [len(vectors[i][0]) for i in self.order])
+        by = np.argsort(t, kind="stable")
         t, self.weights, self.examples = t[by], w[by], e[by]
-        self.top = np.zeros((n_terms, blocks))
-        np.maximum.at(self.top, (t, self.examples // block), self.weights)
-        self.start = np.searchsorted(t * blocks + self.examples // block, np.arange(n_terms * blocks + 1))
-        self.blocks = blocks
+        new = np.ones(len(t), bool)
+        new[1:] = (t[1:] != t[:-1]) | (self.examples[1:] // block != self.examples[:-1] // block)
+        start = np.flatnonzero(new)
+        self.starts = np.append(start, len(t)).astype(np.int32)
+        self.where = (self.examples[start] // block).astype(np.int32)
+        self.top = np.maximum.reduceat(self.weights, start) if len(start) else np.empty(0, np.float32)
+        self.first = np.searchsorted(t[start], np.arange(n_terms + 1)).astype(np.int32)
+
+    def _scores(self, stretches: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        sizes = (self.starts[stretches + 1] - self.starts[stretches]).astype(np.int64)
+        at = _spread(self.starts[stretches].astype(np.int64), sizes)
+        return np.bincount(self.examples[at], np.repeat(weights, sizes) * self.weights[at], len(self.order))
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, without: int = -1) -> list[tuple[float, int]]:
         """The k examples of the highest cosine above 0, exactly; ties go to the one first in block order."""
-        bound = weights @ self.top[terms]
-        found: list[tuple[float, int]] = []
-        for b in np.argsort(-bound, kind="stable").tolist():
-            if bound[b] <= 0 or len(found) == k and bound[b] < found[-1][0] - 1e-12:
-                break
-            score = np.zeros(self.block)
-            for t, w in zip(terms.tolist(), weights.tolist(), strict=True):
-                a, z = self.start[t * self.blocks + b], self.start[t * self.blocks + b + 1]
-                if a < z:
-                    score[self.examples[a:z] - b * self.block] += w * self.weights[a:z]
-            near = np.flatnonzero(score > 0)
-            found += [(float(score[i]), int(b * self.block + i)) for i in near if self.order[b * self.block + i] != without]
-            found = sorted(found, key=lambda x: (-x[0], x[1]))[:k]
-        return [(c, int(self.order[i])) for c, i in found]
-
-
-class Model:
-    """The examples' index with labels, idf of the vocabulary, and the calibration of votes."""
-
-    def __init__(self, examples: list[tuple[int | None, np.ndarray, np.ndarray, int]], idf: np.ndarray, s: Settings) -> None:
-        self.s, self.idf = s, idf
+        sizes = (self.first[terms + 1] - self.first[terms]).astype(np.int64)
+        every, w = _spread(self.first[terms].astype(np.int64), sizes), np.repeat(weights, sizes)
+        where = self.where[every]
+        bound = np.bincount(where, w * self.top[every], self.blocks)
+        some = bound >= (np.sort(bound)[-4] if self.blocks > 4 else 0.0)
+        score = self._scores(every[some[where]], w[some[where]])
+        if without >= 0:
+            score[self.order == without] = 0
+        found = np.sort(score)[-k:]
+        least = found[0] if len(found) == k else 0.0
+        rest = ~some & (bound > 0) & (bound >= least - 1e-6)
+        if rest.any():
+            more = self._scores(every[rest[where]], w[rest[where]])
+            if without >= 0:
+                more[self.order == without] = 0
+            score += more
+        near = np.flatnonzero(score > 0)
+        near = near[np.lexsort((near, -score[near]))[:k]]
+        return [(float(score[i]), int(self.order[i])) for i in near]
+
+
+Example = tuple[int | None, np.ndarray, np.ndarray, int]
+
+
+def relevance(examples: list[Example], n_terms: int, s: Settings) -> np.ndarray:
+    """How much a term speaks for the label: the signed root of its likelihood ratio among toxic examples, less doubt."""
+    count = lambda label: np.bincount(np.concatenate([t for _, t, _, y in examples if y == label] or [np.empty(0, np.int64)]), minlength=n_terms)
+    toxic = sum(y for *_, y in examples)
+    pos, neg, other = count(1), count(0), len(examples) - toxic
+    ratio = np.log(((pos + 0.5) / (toxic + 1)) / ((neg + 0.5) / (other + 1)))
+    return (s.floor + np.maximum(0, np.sqrt(2 * pos * np.maximum(0, ratio)) - s.doubt)).astype(np.float32)
+
+
+class Votes:
+    """Examples' index with labels and the weights of terms: what a text's vote comes from."""
+
+    def __init__(self, examples: list[Example], idf: np.ndarray, s: Settings) -> None:
+        self.s = s
+        self.weight = (idf * relevance(examples, len(idf), s)).astype(np.float32)
         full = [x for x in examples if len(x[1])]
         self.ids, self.labels = [x[0] for x in full], np.array([x[3] for x in full], float)
-        vectors = [(x[1], self.unit(x[1], x[2])) for x in full]
-        self.index = BlockMaxIndex(vectors, len(idf), s.block)
+        self.index = BlockMaxIndex([(x[1], self.unit(x[1], x[2])) for x in full], len(idf), s.block)
         empty = [x[3] for x in examples if not len(x[1])]
         self.rate = (sum(empty) + 0.5) / (len(empty) + 1.0) if examples else 0.0
-        votes = [self._vote(self.index.nearest(t, w, s.k, i)) for i, (t, w) in enumerate(vectors)]
-        self.line = _platt(np.array(votes + [self.rate] * len(empty)), np.concatenate((self.labels, empty)))
 
     def unit(self, terms: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        w = (1 + np.log(counts)) * self.idf[terms]
+        w = (1 + np.log(counts)) * self.weight[terms]
         return w / (np.sqrt(w @ w) or 1.0)
 
-    def _vote(self, near: list[tuple[float, int]]) -> float:
+    def vote(self, terms: np.ndarray, counts: np.ndarray) -> tuple[float, list[tuple[float, int]]]:
+        """The distance-weighted share of toxic neighbours, and the neighbours."""
+        near = self.index.nearest(terms, self.unit(terms, counts), self.s.k) if len(terms) and len(self.ids) else []
         up, down = self.s.prior * self.rate, self.s.prior
         for c, i in near:
-            w = 1.0 / (1.05 - c)
+            w = 1.0 / (1.05 - min(1.0, c))
             up += w * self.labels[i]
             down += w
-        return up / down
+        return up / down, near
+
+
+class Model:
+    """Votes of all examples, and the calibration that parts of them give."""
+
+    def __init__(self, examples: list[Example], idf: np.ndarray, s: Settings) -> None:
+        self.votes = Votes(examples, idf, s)
+        votes, labels = [], []
+        for f in range(s.folds if len(examples) >= 2 * s.folds else 0):
+            others = Votes([x for k, x in enumerate(examples) if k % s.folds != f], idf, s)
+            own = examples[f :: s.folds]
+            votes += [others.vote(t, n)[0] for _, t, n, _ in own]
+            labels += [y for *_, y in own]
+        self.line = _platt(np.array(votes), np.array(labels, float))
 
     def score(self, terms: np.ndarray, counts: np.ndarray) -> tuple[float, list[tuple[float, int]]]:
-        near = self.index.nearest(terms, self.unit(terms, counts), self.s.k) if len(terms) else []
-        return self.calibrated(self._vote(near)), near
+        vote, near = self.votes.vote(terms, counts)
+        return self.calibrated(vote), near
 
     def calibrated(self, vote: float) -> float:
         if self.line is None:
@@ -254,25 +330,33 @@ def _platt(votes: np.ndarray, labels: np.ndarray) -> tuple[float, float] | None:
     return (float(t[0]), float(t[1])) if t[0] > 0 else None
 
 
-def _score(shared):
+#: Texts whose answers a task remembers, for copies.
+REMEMBERED = 2000
+
+
+def _score(words, shared, evidence: bool):
+    kind = pa.list_(pa.struct([("id", pa.int64()), ("cosine", pa.float64()), ("toxic", pa.int32())]))
+
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Model = shared.value
-        known: dict[tuple[bytes, bytes], tuple[float, list]] = {}
+        ids, labels = model.votes.ids, model.votes.labels
+        known: dict[bytes, tuple[float, list]] = {}
         for batch in batches:
-            scores, evidence = [], []
-            for terms, counts in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                t, c = np.array(terms, np.int64), np.array(counts, np.int64)
-                key = (t.tobytes(), c.tobytes())
-                if key not in known:
-                    if len(known) > 100_000:
-                        known.clear()
-                    score, near = model.score(t, c)
-                    known[key] = score, [{"id": model.ids[i], "cosine": cos, "toxic": int(model.labels[i])} for cos, i in near]
-                score, near = known[key]
-                scores.append(score)
-                evidence.append(near)
-            kind = pa.list_(pa.struct([("id", pa.int64()), ("cosine", pa.float64()), ("toxic", pa.int32())]))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64()), pa.array(evidence, kind)], ["id", "score", "evidence"])
+            for first, raw in T.blocks(T.utf8(batch.column(2)), BLOCK):
+                owner, term, n = counted(raw, words.value)
+                at = np.searchsorted(owner, np.arange(len(raw) + 1)).tolist()
+                found = []
+                for a, z in zip(at[:-1], at[1:], strict=True):
+                    key = hashlib.blake2b(term[a:z].tobytes() + n[a:z].tobytes(), digest_size=16).digest()
+                    if key not in known:
+                        if len(known) >= REMEMBERED:
+                            known.clear()
+                        score, near = model.score(term[a:z], n[a:z])
+                        known[key] = score, [{"id": ids[i], "cosine": min(1.0, c), "toxic": int(labels[i])} for c, i in near] if evidence else None
+                    found.append(known[key])
+                part = batch.slice(first, len(raw))
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([x for x, _ in found], pa.float64()), pa.array([x for _, x in found], kind)], ["id", "mark", "score", "evidence"])
 
     return run
 
@@ -282,46 +366,57 @@ def remainder(id_col: str, by: int) -> Column:
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % F.lit(by)
 
 
+def fitted(docs: DataFrame, labels: DataFrame, s: Settings, fold: int, held: int) -> tuple[Lookup, Model]:
+    """Vocabulary and model out of docs (id, text) and labels (id, toxic)."""
+    spark = docs.sparkSession
+    own = labels.where("id is not null and toxic is not null").where(remainder("id", fold) != held).groupBy("id").agg(F.max("toxic").alias("toxic"))
+    lot = F.pmod(F.xxhash64(F.lit(31), "id"), F.lit(1 << 30))
+    n = own.count()
+    if n > s.sample:
+        own = own.where(lot < F.lit(int((1 << 30) * s.sample / n)))
+    small = spark.createDataFrame(own.orderBy(lot, "id").limit(s.sample).toPandas().astype("int64"), "id long, toxic long")  # `sample` rows
+    sample = stored(docs.join(F.broadcast(small), "id").groupBy("id", "toxic").agg(F.min("text").alias("text")), "labelled")
+    words = Lookup(vocabulary(sample))
+    shared = spark.sparkContext.broadcast(words)
+    total, df = 0, np.zeros(len(words.keys), np.int64)
+    parts = docs.select("text").mapInArrow(_frequencies(shared), "rows long, df binary").repartition(16).mapInArrow(add_vectors, "rows long, df binary")
+    for r in parts.collect():  # at most 16 vectors of the vocabulary's length
+        total, df = total + r["rows"], df + np.frombuffer(bytes(r["df"]), "<i8")
+    kept = df <= max(s.stop * total, 10)
+    words, idf = Lookup(words.keys[kept]), np.log((1 + total) / np.maximum(df[kept], 1))
+    shared.destroy()
+    shared = spark.sparkContext.broadcast(words)
+    read = lambda x: np.frombuffer(bytes(x), "<i4").astype(np.int64)
+    vectors = sample.select("id", "text").mapInArrow(_vectors(shared), "id long, terms binary, counts binary").join(F.broadcast(small), "id").orderBy("id")
+    examples = [(r.id, read(r.terms), read(r.counts), int(r.toxic > 0)) for r in vectors.toLocalIterator()]  # `sample` rows
+    shared.destroy()
+    return words, Model(examples, idf, s)
+
+
 def scored(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-           fold: int = 3, held: int = 1, settings: Settings | None = None) -> DataFrame:
-    """One row per input row: id_col, held_out, score, predicted, evidence.
+           fold: int = 3, held: int = 1, settings: Settings | None = None, evidence: bool = True) -> DataFrame:
+    """One row per input row: id_col, held_out, score, predicted, evidence, text_hash.
 
     Labels are learnt only from ids whose crc32 modulo `fold` is not `held`; scores read the text alone. Of repeated
-    labels the largest counts, null ones none; a null id is not held out and has no label. Texts without terms, null
-    and empty ones included, get the calibrated rate of such examples. Without labels every score is 0. evidence
-    lists the nearest examples with their cosine and label. The sample, the vocabulary and the index are bounded by
-    the settings and pass through the driver; everything else is computed over all documents where they lie.
+    labels the largest counts, null ones none; of an id's texts the least is learnt from; a null id is not held out and
+    has no label. Texts without terms, null and empty ones included, get the calibrated rate of such examples. Without
+    labels every score is 0. evidence lists the nearest examples with their cosine and label (null if it isn't asked
+    for); text_hash tells rows of one id apart. The sample is bounded by the settings, and with it what passes through
+    the driver: its terms, its vectors and their index. Everything else is computed over all documents where they lie.
     """
     s = settings or Settings()
     spark = docs.sparkSession
     ship(spark)
-    two = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    own = labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("toxic")).where("id is not null and toxic is not null")
-    own = own.where(remainder("id", fold) != held).groupBy("id").agg(F.max("toxic").alias("toxic"))
-    lot = F.pmod(F.xxhash64(F.lit(31), "id"), F.lit(1 << 30))
-    n = own.count()
-    if n > s.sample:
-        own = own.where(lot < F.lit(int((1 << 30) * s.sample / n)))
-    picked = own.orderBy(lot, "id").limit(s.sample).toPandas()
-    small = spark.createDataFrame(picked.astype("int64"), "id long, toxic long")
-    sample = stored(two.join(F.broadcast(small), "id").dropDuplicates(["id"]), "labelled")
-    counts = {r.toxic: r["count"] for r in sample.groupBy((F.col("toxic") > 0).cast("int").alias("toxic")).count().collect()}
-    words = vocabulary(sample.withColumn("toxic", (F.col("toxic") > 0).cast("long")), counts.get(1, 0), counts.get(0, 0), s)
-    vectors = stored(two.mapInArrow(_vectors(spark.sparkContext.broadcast(words)), "id long, terms array<int>, counts array<int>"), "vectors")
-    total = vectors.count()
-    df = np.ones(len(words))
-    for r in vectors.select(F.explode("terms").alias("t")).groupBy("t").count().collect():  # one row per term
-        df[r.t] = r["count"]
-    idf = np.log((1 + total) / df)
-    rows = vectors.join(F.broadcast(small), "id").dropDuplicates(["id"]).orderBy("id").collect()  # at most s.sample
-    examples = [(r.id, np.array(r.terms, np.int64), np.array(r.counts, np.int64), int(r.toxic > 0)) for r in rows]
-    model = spark.sparkContext.broadcast(Model(examples, idf, s))
-    out = vectors.mapInArrow(_score(model), "id long, score double, evidence array<struct<id:long,cosine:double,toxic:int>>")
+    text = F.col(text_col).cast("string")
+    three = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("mark"), text.alias("text"))
+    own = labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("toxic"))
+    words, model = (spark.sparkContext.broadcast(x) for x in fitted(three.select("id", "text"), own, s, fold, held))
+    out = three.mapInArrow(_score(words, model, evidence), "id long, mark long, score double, evidence array<struct<id:long,cosine:double,toxic:int>>")
     held_out = F.coalesce(remainder("id", fold) == held, F.lit(False))
-    return out.select(F.col("id").alias(id_col), held_out.alias("held_out"), "score", (F.col("score") >= s.threshold).cast("int").alias("predicted"), "evidence")
+    return out.select(F.col("id").alias(id_col), held_out.alias("held_out"), "score", (F.col("score") >= s.threshold).cast("int").alias("predicted"), "evidence", F.col("mark").alias("text_hash"))
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", settings: Settings | None = None) -> DataFrame:
-    """The documents that are not predicted toxic, with all their columns. Rows with a null id stay."""
-    gone = scored(docs, labels, id_col, text_col, settings=settings).where("predicted = 1").select(F.col(id_col).alias("id"))
-    return without_ids(docs, id_col, gone)
+    """The rows that are not predicted toxic, with all their columns; each by its own text, whatever its id."""
+    rows = scored(docs, labels, id_col, text_col, settings=settings, evidence=False).where("predicted = 1")
+    return without_rows(docs, id_col, F.xxhash64(F.col(text_col).cast("string")), rows.select(F.col(id_col).alias("id"), F.col("text_hash").alias("mark")))
