@@ -17,6 +17,11 @@ def words(text: Column) -> Column:
     return F.filter(F.split(text, SPACE), lambda w: w != "")
 
 
+def blank(text: Column) -> Column:
+    """Whether a text holds nothing but white space of any kind; null for null."""
+    return ~text.rlike(r"(?U)\S")
+
+
 def tokens(text: Column) -> Column:
     """Lower-cased words without ASCII punctuation; a word of punctuation alone stays as an empty token."""
     return F.transform(words(text), lambda w: F.translate(F.lower(w), string.punctuation, ""))
@@ -33,7 +38,7 @@ def upper_count(text: Column) -> Column:
 
 def lines(text: Column) -> Column:
     """Lines that hold more than white space."""
-    return F.filter(F.split(text, "\n"), lambda x: F.trim(x) != "")
+    return F.filter(F.split(text, "\n"), lambda x: ~blank(x))
 
 
 def has_digit(text: Column) -> Column:

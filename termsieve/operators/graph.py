@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from termsieve.functions.text import alternation
+from termsieve.scratch import held
 
 NAMES = "array<string>"
 
@@ -54,28 +55,31 @@ def match(index: DataFrame, names: Sequence[str] | None = None, regex: str | Non
     return found.drop("hidden", "parents").join(flags, "key", "left")
 
 
-def walk(index: DataFrame, seeds: DataFrame, ignore_names: Iterable[str] = (), ignore_regex: str | None = None, max_level: int | None = None) -> DataFrame:
+def links(index: DataFrame) -> DataFrame:
+    """(_from, _to) for every visible subcategory, written out: each level of a walk joins them."""
+    return held(index.select(F.col("name").alias("_from"), F.explode("subcats_visible").alias("_to")))
+
+
+def walk(index: DataFrame, seeds: DataFrame, ignore_names: Iterable[str] = (), ignore_regex: str | None = None, max_level: int | None = None,
+         edges: DataFrame | None = None) -> DataFrame:
     """(name, seed, parent, level) of everything below the seeds (name, seed), level by level.
 
     Exclusions hold for seeds and for every level. A name keeps the row of its lowest level, there the one of the
     smallest seed and then parent. 0 and None are no limit. Each level is one equi-join with the edges and one
-    anti-join with what was seen, written out by checkpoint(), so plans don't grow and cycles end.
+    anti-join with what was seen, written out by checkpoint(), so plans don't grow and cycles end. edges: the links of
+    the index, if they are there already.
     """
-    spark = index.sparkSession
 
     def cut(df: DataFrame, c: str = "name") -> DataFrame:
         if ignore_names:
             df = df.where(~F.col(c).isin(list(ignore_names)))
         return df.where(~F.col(c).rlike(f"(?i){ignore_regex}")) if ignore_regex else df
 
-    def held(df: DataFrame) -> DataFrame:
-        return df.checkpoint() if spark.sparkContext.getCheckpointDir() else df.cache()
-
     def first(df: DataFrame) -> DataFrame:
         row = F.min(F.struct(F.coalesce("seed", F.lit("")).alias("_s"), F.coalesce("parent", F.lit("")).alias("_p"), "seed", "parent", "level"))
         return df.groupBy("name").agg(row.alias("_r")).select("name", "_r.seed", "_r.parent", "_r.level")
 
-    edges = index.select(F.col("name").alias("_from"), F.explode("subcats_visible").alias("_to"))
+    edges = links(index) if edges is None else edges
     now = held(first(cut(seeds).select("name", "seed", F.lit(None).cast("string").alias("parent"), F.lit(0).cast("long").alias("level"))))
     found, level = now, 0
     while not now.isEmpty():
@@ -115,18 +119,18 @@ class Seeds:
         return cls(tuple(Topic(r["topic"], pick(r, "seed_categories"), pick(r, "seed_re"), pick(r, "ignore_categories"), pick(r, "ignore_re"), r.get("max_level")) for r in rows))
 
 
-def topic_list(index: DataFrame, t: Topic, ignore_names: Iterable[str] = (), ignore_re: Iterable[str] = ()) -> DataFrame:
+def topic_list(index: DataFrame, t: Topic, ignore_names: Iterable[str] = (), ignore_re: Iterable[str] = (), edges: DataFrame | None = None) -> DataFrame:
     """The walk of one topic's matches, with its name."""
     seeds = match(index, t.seed_categories, alternation(t.seed_re)[4:] if t.seed_re else None)
     names, res = {*t.ignore_categories, *ignore_names}, [*t.ignore_re, *ignore_re]
-    return walk(index, seeds.select("name", "seed"), sorted(names), "|".join(res) or None, t.max_level).withColumn("topic", F.lit(t.topic))
+    return walk(index, seeds.select("name", "seed"), sorted(names), "|".join(res) or None, t.max_level, edges).withColumn("topic", F.lit(t.topic))
 
 
 def full_list(index: DataFrame, seeds: Seeds, ignore_names: Iterable[str] = (), ignore_re: Iterable[str] = ()) -> DataFrame:
     """All topics' lists; a name under several topics stays under the first one."""
-    out = None
+    out, edges = None, links(index)
     for k, t in enumerate(seeds.topics):
-        one = topic_list(index, t, ignore_names, ignore_re).withColumn("_k", F.lit(k))
+        one = topic_list(index, t, ignore_names, ignore_re, edges).withColumn("_k", F.lit(k))
         out = one if out is None else out.unionByName(one)
     best = out.groupBy("name").agg(F.min_by(F.struct("seed", "parent", "level", "topic"), "_k").alias("_r"))
     return best.select("name", "_r.*")

@@ -75,13 +75,15 @@ def context_similarity(occurrences: DataFrame) -> DataFrame:
 
 
 def at_least_own(rows: DataFrame, group_col: str, phrase_col: str, score_col: str) -> DataFrame:
-    """Phrases of a group that score at least as high as the group's own word."""
+    """Phrases of a group that score at least as high as the group's own word; all of them if it is not among them."""
     own = F.max(F.when(F.col(phrase_col) == F.col(group_col), F.col(score_col))).over(Window.partitionBy(group_col))
-    return rows.withColumn("_own", own).where(F.col(score_col) >= F.col("_own")).drop("_own")
+    return rows.withColumn("_own", own).where(F.col("_own").isNull() | (F.col(score_col) >= F.col("_own"))).drop("_own")
 
 
 def disjoint(rows: DataFrame, group_col: str, phrase_col: str, score_col: str) -> DataFrame:
-    """Per group, from the best score down, phrases that neither hold nor are held by one already taken."""
+    """Per group, from the best score down, phrases that neither hold nor are held by one already taken, and the
+    group's own word. Groups are parts of a list that was cut to a top n before.
+    """
 
     def pick(pdf: pd.DataFrame) -> pd.DataFrame:
         taken: list[str] = []
@@ -90,7 +92,7 @@ def disjoint(rows: DataFrame, group_col: str, phrase_col: str, score_col: str) -
             if not any(p in t or t in p for t in taken):
                 taken.append(p)
                 keep.append(p)
-        return pdf[pdf[phrase_col].isin(keep)]
+        return pdf[pdf[phrase_col].isin(keep) | (pdf[phrase_col] == pdf[group_col])]
 
     return rows.groupBy(group_col).applyInPandas(pick, rows.schema)
 

@@ -24,12 +24,12 @@ def contains_pii(query: Column, person: Column | None = None) -> Column:
 def flag(queries: DataFrame, allowed: DataFrame, query_col: str = "query", allowed_col: str = "word") -> DataFrame:
     """The queries with present_in_allow_list and rule.
 
-    The allow-list is matched exactly and case-sensitively; its terms pass whatever the rules say. Blank and null
-    queries are left out. The list is made distinct, so the join adds no rows, and Spark broadcasts it only while
+    The allow-list is matched exactly and case-sensitively; its terms pass whatever the rules say. Blank queries
+    are left out; null ones fall under no rule, and run_metrics() counts them as a placeholder. The list is made distinct, so the join adds no rows, and Spark broadcasts it only while
     its size is under the session's threshold.
     """
     listed = allowed.select(F.col(allowed_col).alias("_allowed")).distinct()
-    rows = queries.where(F.btrim(F.col(query_col)) != "")
+    rows = queries.where(~F.coalesce(T.blank(F.col(query_col)), F.lit(False)))
     rows = rows.join(listed, F.col(query_col) == F.col("_allowed"), "left")
     rows = rows.withColumn("present_in_allow_list", F.col("_allowed").isNotNull()).drop("_allowed")
     return rows.withColumn("rule", F.when(F.col("present_in_allow_list"), F.lit("allowed")).otherwise(F.coalesce(rule(F.col(query_col)), F.lit("clean"))))

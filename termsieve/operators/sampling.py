@@ -16,6 +16,12 @@ def lot(key: Column, seed: int = 1) -> Column:
     return F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string")).cast("binary")), 1, 4), 16, 10).cast("int")
 
 
+def fraction(key: Column, seed: int = 1) -> Column:
+    """A number of 52 bits from 0 to 1, exclusive, out of the same MD5."""
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string")).cast("binary"))
+    return (F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") + 0.5) / F.lit(float(1 << 52))
+
+
 def share(rows: DataFrame, key_col: str, fraction: float, seed: int = 1) -> DataFrame:
     """About that fraction of the rows, each kept or left by its key alone."""
     return rows.where(lot(F.col(key_col), seed) < int(fraction * _LOTS))
@@ -39,12 +45,12 @@ def stratified(rows: DataFrame, stratum_col: str, key_col: str, n: int, seed: in
 
 @dataclass(frozen=True)
 class Stratum:
-    """An interval with open or closed ends."""
+    """An interval; its ends are open unless they are said to be closed."""
 
     name: str
     start: float
     end: float
-    left: str = "closed"
+    left: str = "open"
     right: str = "open"
 
 
@@ -69,6 +75,5 @@ def weighted_draws(weights: DataFrame, name_col: str, weight_col: str, n: int, s
     w = weights.groupBy(name_col).agg(F.sum(weight_col).alias("w")).where("w > 0")
     total = w.agg(F.sum("w").alias("_t"))
     bounds = w.crossJoin(F.broadcast(total)).withColumn("hi", F.sum("w").over(order) / F.col("_t")).withColumn("lo", F.col("hi") - F.col("w") / F.col("_t"))
-    at = F.lit(0.5 / _LOTS) + lot(F.col("draw"), seed) / F.lit(float(_LOTS))
-    draws = weights.sparkSession.range(n).withColumnRenamed("id", "draw").withColumn("u", at)
+    draws = weights.sparkSession.range(n).withColumnRenamed("id", "draw").withColumn("u", fraction(F.col("draw"), seed))
     return draws.join(F.broadcast(bounds.select(name_col, "lo", "hi")), (F.col("u") >= F.col("lo")) & (F.col("u") < F.col("hi"))).select("draw", name_col)

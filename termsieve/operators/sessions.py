@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from termsieve.scratch import held
+
 
 def terminal_queries(rows: DataFrame, session_col: str, order_col: str | Column) -> DataFrame:
     """The row with the largest order of each session that has an id: a partially aggregated arg-max."""
@@ -23,19 +25,24 @@ def prefix_links(rows: DataFrame, ts_col: str, query_col: str, row_col: str, win
                  partition: Sequence[str] = ()) -> DataFrame:
     """(row, prefix_of): for each row the first later row within [t, t + window) that it is a prefix of, if any.
 
-    row_col orders rows of equal time and must rise with time. Time is cut into buckets of the window's length; a
-    row looks into its own and the next one, so the range condition becomes an equi-join on the bucket.
+    row_col orders rows of equal time and must rise with time. Longer queries are put under each of their prefixes
+    that are min_diff to max_diff characters shorter, by buckets of the window's length; a row looks for the next one
+    under its own text, in its bucket and the one after. So rows are sorted under their prefixes, never paired, and one
+    text typed very often costs no more than a sort.
     """
     w = int(round(window_s * 1_000_000))
     t = _micros(F.col(ts_col))
     base = rows.select(*partition, F.col(row_col).alias("_i"), F.col(query_col).alias("_q"), t.alias("_t"))
     base = base.withColumn("_b", F.floor(F.col("_t") / F.lit(w)))
-    left = base.withColumn("_look", F.explode(F.array("_b", F.col("_b") + 1)))
-    right = base.select(*partition, F.col("_i").alias("_j"), F.col("_q").alias("_p"), F.col("_t").alias("_u"), F.col("_b").alias("_look"))
-    gap = F.length("_p") - F.length("_q")
-    near = (F.col("_j") > F.col("_i")) & (F.col("_u") - F.col("_t") < w) & (F.col("_u") >= F.col("_t"))
-    met = left.join(right, [*partition, "_look"]).where(near & (gap >= min_diff) & (gap <= max_diff) & F.startswith("_p", F.col("_q")))
-    return met.groupBy(F.col("_i").alias(row_col)).agg(F.min("_j").alias("prefix_of"))
+    long = F.lit(False).alias("_long")
+    left = base.select(*partition, "_i", "_t", "_q", F.explode(F.array("_b", F.col("_b") + 1)).alias("_look"), long)
+    cuts = base.withColumn("_d", F.explode(F.sequence(F.lit(min_diff), F.lit(max_diff)))).where(F.length("_q") >= F.col("_d"))
+    right = cuts.select(*partition, "_i", "_t", F.substring("_q", F.lit(1), F.length("_q") - F.col("_d")), F.col("_b"), F.lit(True))
+    order = Window.partitionBy(*partition, "_look", "_q").orderBy(F.desc("_i"), "_long").rowsBetween(Window.unboundedPreceding, -1)
+    following = F.last(F.when(F.col("_long"), F.struct("_i", "_t")), ignorenulls=True).over(order)
+    met = left.union(right).where("_q IS NOT NULL").withColumn("_next", following).where("NOT _long AND _next IS NOT NULL")
+    met = met.where((F.col("_next._t") - F.col("_t") < w) & (F.col("_next._t") >= F.col("_t")))
+    return met.groupBy(F.col("_i").alias(row_col)).agg(F.min("_next._i").alias("prefix_of"))
 
 
 def full_query_roots(links: DataFrame, row_col: str = "row", rounds: int = 40) -> DataFrame:
@@ -44,7 +51,7 @@ def full_query_roots(links: DataFrame, row_col: str = "row", rounds: int = 40) -
     for _ in range(rounds):
         to = now.select(F.col("_i").alias("_r"), F.col("_r").alias("_next"))
         jumped = now.join(to, "_r", "left").select("_i", F.coalesce("_next", "_r").alias("_r"), F.col("_next").isNotNull().alias("_moved"))
-        jumped = jumped.checkpoint() if jumped.sparkSession.sparkContext.getCheckpointDir() else jumped.cache()
+        jumped = held(jumped)
         moved = jumped.where("_moved").limit(1).count()
         now = jumped.select("_i", "_r")
         if not moved:

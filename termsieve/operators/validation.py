@@ -65,6 +65,7 @@ def run_ratios(runs: DataFrame, languages: DataFrame) -> DataFrame:
     )
 
 
+#: The messages are fixed values.
 def _guard(name: str, low: float, high: float, metrics: DataFrame, metric: str) -> None:
     if not (0 < low < 1 and 0 < high < 1):
         raise ValueError(f"{name}_lower_bound and {name}_upper_bound should both be between zero (0) and one (1).")
@@ -74,6 +75,13 @@ def _guard(name: str, low: float, high: float, metrics: DataFrame, metric: str)
         raise ValueError(f'dataframe does not include target metric "{metric}"')
 
 
+def _apart(values: Column, low: Column, high: Column) -> Column:
+    """Whether there are values and all of them lie above the high bound, or all below the low one."""
+    no = F.lit(False)
+    out = F.forall(values, lambda x: F.coalesce(x > high, no)) | F.forall(values, lambda x: F.coalesce(x < low, no))
+    return F.coalesce((F.size(values) > 0) & out, no)
+
+
 def _checked(rows: DataFrame, value: str, lookback: int, window: int, low: float, high: float, today: dt.date | Column) -> DataFrame:
     """latest, n, trigger, low, high, values: of the comparison window before the test window, both (from, to]."""
     anchor = today if isinstance(today, Column) else F.lit(today)
@@ -90,10 +98,7 @@ def _checked(rows: DataFrame, value: str, lookback: int, window: int, low: float
         F.transform(F.array_sort(F.collect_list(F.when(tested, F.struct("finished_at", v.alias("v"))))), lambda x: x["v"]).alias("test_vals"),
     )
     bounds = bounds.withColumns({"low": F.element_at("_p", 1), "high": F.element_at("_p", 2)})
-    vals = F.col("test_vals")
-    no = F.lit(False)
-    out = F.forall(vals, lambda x: F.coalesce(x > F.col("high"), no)) | F.forall(vals, lambda x: F.coalesce(x < F.col("low"), no))
-    return bounds.select("latest_finished_at", "num_compared", F.coalesce((F.size(vals) > 0) & out, no).alias("alarm"), "low", "high", "test_vals")
+    return bounds.select("latest_finished_at", "num_compared", _apart(F.col("test_vals"), F.col("low"), F.col("high")).alias("alarm"), "low", "high", "test_vals")
 
 
 def range_check(metrics: DataFrame, metric: str, lookback: int, window: int, low: float, high: float, today: dt.date | Column | None = None) -> DataFrame:
@@ -111,22 +116,51 @@ def mean_check(metrics: DataFrame, metric: str, lookback: int, window: int, movi
 
 
 def report(metrics: DataFrame, checks=CHECKS, today: dt.date | Column | None = None) -> DataFrame:
-    """One row per metric with both checks' bounds, values and alarms, each with its own parameters."""
-    out = None
+    """One row per metric with both checks' bounds, values and alarms, each with its own parameters.
+
+    The metrics become rows, and one grouped aggregate gives all checks.
+    """
     for c in checks:
-        r = range_check(metrics, c.metric, c.lookback, c.range_window, c.range_low, c.range_high, today)
-        m = mean_check(metrics, c.metric, c.lookback, c.mean_window, c.moving, c.mean_low, c.mean_high, today)
-        one = r.select(
-            F.col("latest_finished_at").alias("from_sanitization_job_finished_at"), F.col("alarm").alias("range_alarm"), F.col("low").alias("range_low"),
-            F.col("high").alias("range_high"), F.col("num_compared").alias("num_ranges_compared"), F.col("test_vals").alias("range_test_vals"),
-        ).crossJoin(m.select(
-            F.col("alarm").alias("mean_alarm"), F.col("low").alias("mean_low"), F.col("high").alias("mean_high"),
-            F.col("num_compared").alias("num_moving_averages_compared"), F.col("test_vals").alias("mean_test_vals"),
-        )).select(
-            "*", F.lit(c.metric).alias("metric"), F.lit(c.lookback).alias("full_lookback_window_num_days"), F.lit(c.range_window).alias("range_test_window_num_days"),
-            F.lit(c.mean_window).alias("mean_test_window_num_days"), F.lit(c.moving).alias("moving_average_window_num_days"),
-            F.lit(c.range_low).alias("range_percentile_lower_bound"), F.lit(c.range_high).alias("range_percentile_upper_bound"),
-            F.lit(c.mean_low).alias("mean_percentile_lower_bound"), F.lit(c.mean_high).alias("mean_percentile_upper_bound"),
-        )
-        out = one if out is None else out.unionByName(one)
-    return out.withColumn("started_at", F.current_timestamp())
+        _guard("range", c.range_low, c.range_high, metrics, c.metric)
+        _guard("mean", c.mean_low, c.mean_high, metrics, c.metric)
+    anchor = today if isinstance(today, Column) else F.lit(today) if today is not None else F.current_date()
+    kinds = "metric string, range_window int, range_low double, range_high double, mean_window int, mean_low double, mean_high double, moving int, lookback int"
+    given = metrics.sparkSession.createDataFrame([tuple(getattr(c, n.split()[0]) for n in kinds.split(", ")) for c in checks], kinds)
+    names = [c.metric for c in checks]
+    rows = metrics.select("finished_at", *[F.col(m).cast("double").alias(m) for m in names]).unpivot(["finished_at"], names, "metric", "v")
+    rows = rows.join(F.broadcast(given), "metric")  # a row per metric
+    average = F.lit(None).cast("double")
+    for n in sorted({c.moving for c in checks}):
+        order = Window.partitionBy("metric").orderBy("finished_at").rowsBetween(-(n - 1), 0)
+        average = F.when(F.col("moving") == n, F.avg("v").over(order)).otherwise(average)
+    rows = rows.withColumns({"mean": average, "_day": F.to_date("finished_at")})
+    bounds = sorted({x for c in checks for x in (c.range_low, c.range_high, c.mean_low, c.mean_high)})
+    levels = F.array(*[F.lit(b) for b in bounds])
+    aggs = [F.max("finished_at").alias("from_sanitization_job_finished_at")]
+    for kind, value in (("range", "v"), ("mean", "mean")):
+        start, split = F.date_sub(anchor, F.col("lookback") + F.col(f"{kind}_window")), F.date_sub(anchor, F.col(f"{kind}_window"))
+        before, tested = (F.col("_day") > start) & (F.col("_day") <= split), (F.col("_day") > split) & (F.col("_day") <= anchor)
+        aggs += [
+            F.percentile(F.when(before, F.col(value)), levels).alias(f"_{kind}"),
+            (F.count_if(before) if kind == "range" else F.count(F.when(before, F.col(value)))).alias(f"_{kind}_n"),
+            F.transform(F.array_sort(F.collect_list(F.when(tested, F.struct("finished_at", F.col(value).alias("v"))))), lambda x: x["v"]).alias(f"_{kind}_tested"),
+        ]
+    out = given.join(rows.groupBy("metric").agg(*aggs), "metric", "left")
+    out = out.withColumn("from_sanitization_job_finished_at", F.max("from_sanitization_job_finished_at").over(Window.partitionBy(F.lit(1))))  # a row per metric
+    cols = []
+    for kind, counted in (("range", "num_ranges_compared"), ("mean", "num_moving_averages_compared")):
+        pick = lambda b, kind=kind: F.try_element_at(F.col(f"_{kind}"), F.array_position(levels, F.col(f"{kind}_{b}")).cast("int"))
+        low, high, tested = pick("low"), pick("high"), F.coalesce(f"_{kind}_tested", F.array().cast("array<double>"))
+        cols += [
+            _apart(tested, low, high).alias(f"{kind}_alarm"), low.alias(f"_{kind}_low"), high.alias(f"_{kind}_high"),
+            F.coalesce(f"_{kind}_n", F.lit(0)).alias(counted), tested.alias(f"{kind}_test_vals"),
+        ]
+    out = out.select("*", *cols)
+    return out.select(
+        "from_sanitization_job_finished_at", "range_alarm", F.col("_range_low").alias("range_low"), F.col("_range_high").alias("range_high"), "num_ranges_compared",
+        "range_test_vals", "mean_alarm", F.col("_mean_low").alias("mean_low"), F.col("_mean_high").alias("mean_high"), "num_moving_averages_compared", "mean_test_vals",
+        "metric", F.col("lookback").alias("full_lookback_window_num_days"), F.col("range_window").alias("range_test_window_num_days"),
+        F.col("mean_window").alias("mean_test_window_num_days"), F.col("moving").alias("moving_average_window_num_days"),
+        F.col("range_low").alias("range_percentile_lower_bound"), F.col("range_high").alias("range_percentile_upper_bound"),
+        F.col("mean_low").alias("mean_percentile_lower_bound"), F.col("mean_high").alias("mean_percentile_upper_bound"), F.current_timestamp().alias("started_at"),
+    )

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from termsieve.functions import text as T
 from termsieve.operators import graph, pages
 from termsieve.plans.registry import query, table
+from termsieve.scratch import held
 from termsieve.sources.readers import parse_statements
 
 #: A category graph out of regions, nations and suppliers: regions hold nations, nations hold suppliers; every
@@ -48,7 +49,8 @@ def _info(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
 
 
 def _index(spark: SparkSession, d: str) -> DataFrame:
-    return graph.category_index(*_info(spark, d))
+    """The index written out: walks and matches read it several times."""
+    return held(graph.category_index(*_info(spark, d)))
 
 
 @query(f"""WITH {SQL_GRAPH}

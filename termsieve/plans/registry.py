@@ -54,7 +54,7 @@ def sql_tokens(text: str) -> str:
 
 
 def sql_lines(text: str) -> str:
-    return f"list_filter(string_split({text}, chr(10)), lambda x: trim(x, ' ') <> '')"
+    return f"list_filter(string_split({text}, chr(10)), lambda x: regexp_matches(x, '\\S'))"
 
 
 def document_words(spark: SparkSession, d: str) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-import tempfile
+import functools
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +14,7 @@ from termsieve.operators import ner, rules, validation
 from termsieve.plans.registry import (
     SQL_ALLOWED, SQL_DICTIONARY, SQL_DOCUMENT_LINES, SQL_DOCUMENT_WORDS, benchmark_words, document_lines, document_words, part_words, query, sql_tokens, sql_words, table,
 )
+from termsieve.scratch import held, scratch_root
 from termsieve.sources.sinks import first_errors
 
 RULE = "CASE WHEN a.word IS NOT NULL THEN 'allowed' WHEN regexp_matches(q.query, '[0-9]') THEN 'number' WHEN contains(q.query, '@') THEN 'at' ELSE 'clean' END"
@@ -22,7 +23,7 @@ RULE = "CASE WHEN a.word IS NOT NULL THEN 'allowed' WHEN regexp_matches(q.query,
 @query(f"""
 WITH {SQL_DOCUMENT_WORDS}, {SQL_ALLOWED}
 SELECT lang, rule, count(*) AS n_terms, sum(length(query))::BIGINT AS n_chars, count(DISTINCT query) AS n_distinct
-FROM (SELECT q.lang, q.query, {RULE} AS rule FROM words q LEFT JOIN allowed a ON q.query = a.word WHERE trim(q.query, ' ') <> '')
+FROM (SELECT q.lang, q.query, {RULE} AS rule FROM words q LEFT JOIN allowed a ON q.query = a.word WHERE regexp_matches(q.query, '\\S'))
 GROUP BY lang, rule
 """)
 def sanitize_terms(spark: SparkSession, d: str) -> DataFrame:
@@ -68,7 +69,7 @@ def run_metrics(spark: SparkSession, d: str) -> DataFrame:
 @query(f"""
 WITH {SQL_DOCUMENT_LINES}, names AS (SELECT DISTINCT unnest({sql_tokens('p_name')}) AS word FROM part),
 w AS (SELECT doc_id, line_no, unnest({sql_tokens('query')}) AS word FROM lines),
-extra AS (SELECT DISTINCT word FROM (SELECT unnest({sql_tokens('text')}) AS word FROM benchmark WHERE item_id < 5) WHERE word <> '')
+extra AS (SELECT DISTINCT word FROM (SELECT unnest({sql_tokens('text')}) AS word FROM benchmark) WHERE word <> '')
 SELECT w.doc_id, count(DISTINCT w.line_no) AS n_hits FROM w WHERE w.word IN (SELECT word FROM names UNION SELECT word FROM extra) GROUP BY w.doc_id
 """)
 def surname_hits(spark: SparkSession, d: str) -> DataFrame:
@@ -153,19 +154,17 @@ LOOKBACK = 20
 RANGE_CHECKS = [replace(c, lookback=LOOKBACK) for c in validation.CHECKS]
 
 
-@query(f"WITH {SQL_METRICS} " + " UNION ALL ".join(_check_sql(c.metric, c.metric, LOOKBACK, c.range_window, c.range_low, c.range_high) for c in RANGE_CHECKS[:3]))
+@query(f"WITH {SQL_METRICS} " + " UNION ALL ".join(_check_sql(c.metric, c.metric, LOOKBACK, c.range_window, c.range_low, c.range_high) for c in RANGE_CHECKS))
 def range_check(spark: SparkSession, d: str) -> DataFrame:
-    metrics = validation.run_ratios(*_runs(spark, d)).cache()
-    parts = [_short(validation.range_check(metrics, c.metric, LOOKBACK, c.range_window, c.range_low, c.range_high, TODAY), c.metric) for c in RANGE_CHECKS[:3]]
-    return parts[0].union(parts[1]).union(parts[2])
+    metrics = held(validation.run_ratios(*_runs(spark, d)))
+    return functools.reduce(DataFrame.union, [_short(validation.range_check(metrics, c.metric, LOOKBACK, c.range_window, c.range_low, c.range_high, TODAY), c.metric) for c in RANGE_CHECKS])
 
 
 @query(f"WITH {SQL_METRICS} " + " UNION ALL ".join(
-    _check_sql(c.metric, f"avg({c.metric}) OVER (ORDER BY finished_at ROWS {c.moving - 1} PRECEDING)", LOOKBACK, c.mean_window, c.mean_low, c.mean_high) for c in RANGE_CHECKS[:3]))
+    _check_sql(c.metric, f"avg({c.metric}) OVER (ORDER BY finished_at ROWS {c.moving - 1} PRECEDING)", LOOKBACK, c.mean_window, c.mean_low, c.mean_high) for c in RANGE_CHECKS))
 def mean_check(spark: SparkSession, d: str) -> DataFrame:
-    metrics = validation.run_ratios(*_runs(spark, d)).cache()
-    parts = [_short(validation.mean_check(metrics, c.metric, LOOKBACK, c.mean_window, c.moving, c.mean_low, c.mean_high, TODAY), c.metric) for c in RANGE_CHECKS[:3]]
-    return parts[0].union(parts[1]).union(parts[2])
+    metrics = held(validation.run_ratios(*_runs(spark, d)))
+    return functools.reduce(DataFrame.union, [_short(validation.mean_check(metrics, c.metric, LOOKBACK, c.mean_window, c.moving, c.mean_low, c.mean_high, TODAY), c.metric) for c in RANGE_CHECKS])
 
 
 @query(f"""WITH {SQL_METRICS}, r AS ({' UNION ALL '.join(_check_sql(c.metric, c.metric, LOOKBACK, c.range_window, c.range_low, c.range_high) for c in RANGE_CHECKS)}),
@@ -173,7 +172,7 @@ m AS ({' UNION ALL '.join(_check_sql(c.metric, f'avg({c.metric}) OVER (ORDER BY
 SELECT r.metric, r.alarm AS range_alarm, r.low AS range_low, r.high AS range_high, r.num_compared AS num_ranges_compared,
   m.alarm AS mean_alarm, m.low AS mean_low, m.high AS mean_high, m.num_compared AS num_moving_averages_compared FROM r JOIN m USING (metric)""")
 def validation_report(spark: SparkSession, d: str) -> DataFrame:
-    out = validation.report(validation.run_ratios(*_runs(spark, d)).cache(), RANGE_CHECKS, TODAY)
+    out = validation.report(validation.run_ratios(*_runs(spark, d)), RANGE_CHECKS, TODAY)
     rounded = [F.round(c, 6).alias(c) for c in ("range_low", "range_high", "mean_low", "mean_high")]
     return out.select("metric", "range_alarm", "num_ranges_compared", "mean_alarm", "num_moving_averages_compared", *rounded)
 
@@ -225,12 +224,7 @@ def stream_sanitize(spark: SparkSession, d: str) -> DataFrame:
     """The same plan over a stream of files, read back from the sink."""
     from termsieve.streaming.sanitize import sanitize_stream
 
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = f"file://{tempfile.mkdtemp(prefix='termsieve-')}"
-    base = f"{folder.rstrip('/')}/stream-{spark.sparkContext.applicationId}-{dt.datetime.now().timestamp()}"
+    base = f"{scratch_root(spark)}/stream-{spark.sparkContext.applicationId}-{dt.datetime.now().timestamp()}"
     docs = spark.read.parquet(f"{d}/documents.parquet")
     expand = lambda rows: rows.select("doc_id", "lang", F.posexplode(T.lines(F.col("text"))).alias("line_no", "query"))
     source = d if "://" in d else f"file://{d}"

@@ -38,7 +38,7 @@ SQL_SURNAMES = f"surnames AS (SELECT DISTINCT unnest({sql_tokens('p_name')}) AS
 
 
 @query(f"""
-WITH {TOKENS}, {SQL_DICTIONARY}, surnames AS (SELECT DISTINCT word FROM (SELECT unnest({sql_tokens('text')}) AS word FROM benchmark WHERE item_id < 10) WHERE word <> ''),
+WITH {TOKENS}, {SQL_DICTIONARY}, surnames AS (SELECT DISTINCT word FROM (SELECT unnest({sql_tokens('text')}) AS word FROM benchmark) WHERE word <> ''),
 few AS (SELECT s.word FROM surnames s JOIN dictionary w ON starts_with(w.word, s.word) GROUP BY s.word HAVING count(*) < 5)
 SELECT DISTINCT id FROM tokens WHERE word IN (SELECT word FROM few)
 """)
@@ -57,7 +57,7 @@ def nondict_prefix(spark: SparkSession, d: str) -> DataFrame:
 
 SQL_PHRASES = """phrases AS (SELECT DISTINCT w[1] || ' ' || w[2] AS phrase FROM (SELECT string_split(lower(text), ' ') AS w FROM benchmark)
   UNION SELECT 'thing' UNION SELECT 'es de')"""
-SQL_SHORT = f"{SQL_DOCUMENT_LINES}, short AS (SELECT doc_id, line_no, lower(query) AS text FROM lines WHERE length(query) < 200)"
+SQL_SHORT = f"{SQL_DOCUMENT_LINES}, short AS (SELECT doc_id, line_no, lower(query) AS text FROM lines)"
 
 
 def _phrases(spark: SparkSession, d: str) -> DataFrame:
@@ -101,7 +101,7 @@ def phrase_containment(spark: SparkSession, d: str) -> DataFrame:
     return document_lines(spark, d).where(q.contains("thing") | q.endswith("es.") | q.rlike(pattern)).groupBy("doc_id").agg(F.count("*").alias("n"))
 
 
-SQL_NGRAMS = f"""toks AS (SELECT {sql_tokens('text')} AS t FROM (SELECT text FROM documents WHERE length(text) < 400)),
+SQL_NGRAMS = f"""toks AS (SELECT {sql_tokens('text')} AS t FROM documents),
 grams AS (SELECT unnest(list_concat(list_concat(t, list_transform(range(1, greatest(len(t), 1)), lambda i: t[i] || ' ' || t[i + 1])),
   list_transform(range(1, greatest(len(t) - 1, 1)), lambda i: t[i] || ' ' || t[i + 1] || ' ' || t[i + 2]))) AS phrase FROM toks),
 counts AS (SELECT phrase, count(*) AS n FROM grams GROUP BY phrase)"""
@@ -230,7 +230,7 @@ def terminal_query_per_session(spark: SparkSession, d: str) -> DataFrame:
 
 
 #: A typed log out of the events: the j-th event of a user types the first characters of a word.
-SQL_TYPED = """typed AS (SELECT event_id AS row, user_id, ts, substr('amazon prime video'::VARCHAR, 1, 1 + ((event_id * 7) % 11)::INTEGER) AS query FROM events WHERE event_id < 3000),
+SQL_TYPED = """typed AS (SELECT event_id AS row, user_id, ts, substr('amazon prime video'::VARCHAR, 1, 1 + ((event_id * 7) % 11)::INTEGER) AS query FROM events),
 links AS (SELECT a.row, min(b.row) AS prefix_of FROM typed a JOIN typed b ON b.user_id = a.user_id AND b.row > a.row AND b.ts >= a.ts AND b.ts - a.ts < INTERVAL 6 HOUR
   AND length(b.query) - length(a.query) BETWEEN 1 AND 3 AND starts_with(b.query, a.query) GROUP BY a.row)"""
 
@@ -258,7 +258,7 @@ def stratified_sample(spark: SparkSession, d: str) -> DataFrame:
     return sampling.stratified(table(spark, d, "documents").select("doc_id", "source"), "source", "doc_id", 5)
 
 
-STRATA = [sampling.Stratum("short", 0, 500), sampling.Stratum("middle", 500, 3000), sampling.Stratum("long", 3000, 1e9, "closed", "closed")]
+STRATA = [sampling.Stratum("short", 0, 500, "closed"), sampling.Stratum("middle", 500, 3000, "closed"), sampling.Stratum("long", 3000, 1e9, "closed", "closed")]
 
 
 @query(f"""WITH s AS (SELECT doc_id, CASE WHEN n_chars < 500 THEN 'short' WHEN n_chars < 3000 THEN 'middle' ELSE 'long' END AS stratum FROM documents)
@@ -321,7 +321,7 @@ def group_size_summary(spark: SparkSession, d: str) -> DataFrame:
     return c.agg(F.count("*").alias("n"), F.round(F.avg("c"), 6).alias("mean"), F.round(F.stddev("c"), 6).alias("sd"), F.min("c").alias("least"), F.percentile("c", F.lit(0.5)).alias("median"), F.max("c").alias("most"))
 
 
-@query(f"""WITH a AS (SELECT DISTINCT unnest({sql_words('text')}) AS word FROM benchmark), b AS (SELECT DISTINCT unnest({sql_words('text')}) AS word FROM documents WHERE doc_id < 50)
+@query(f"""WITH a AS (SELECT DISTINCT unnest({sql_words('text')}) AS word FROM benchmark), b AS (SELECT DISTINCT unnest({sql_words('text')}) AS word FROM documents)
 SELECT (SELECT count(*) FROM (SELECT word FROM a INTERSECT SELECT word FROM b)) AS n_both, (SELECT count(*) FROM (SELECT word FROM a UNION SELECT word FROM b)) AS n_any,
   (SELECT count(*) FROM (SELECT word FROM a EXCEPT SELECT word FROM b)) AS n_first_only, (SELECT min(translate(word, 'abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ', 'nopqrstuvwxyzabcdefghijklmNOPQRSTUVWXYZABCDEFGHIJKLM')) FROM a) AS first_rotated""")
 def wordlist_sets(spark: SparkSession, d: str) -> DataFrame:

@@ -8,7 +8,8 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termsieve.functions.text import null_if_none
+from termsieve.functions.text import blank, null_if_none
+from termsieve.operators.sessions import terminal_queries
 
 LOG_FIELDS = ("rid", "session_id", "sequence_no", "query", "country", "region", "dma", "form_factor", "browser", "os_family")
 LOG_SCHEMA = f"timestamp timestamp, jsonPayload struct<type:string,fields:struct<{','.join(f'{c}:string' for c in LOG_FIELDS)}>>"
@@ -35,7 +36,7 @@ def day_of_logs(logs: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
     """
     f = lambda c: F.col(f"jsonPayload.fields.{c}")
     rows = logs.where((F.col("timestamp") >= F.lit(start).cast("timestamp")) & (F.col("timestamp") < F.lit(end).cast("timestamp")))
-    rows = rows.where((F.col("jsonPayload.type") == SUGGEST) & (F.btrim(f("query")) != ""))
+    rows = rows.where((F.col("jsonPayload.type") == SUGGEST) & ~blank(f("query")))
     geo = {"country", "region", "dma"}
     rest = [(null_if_none(f(c)) if c in geo else f(c)).alias(c) for c in LOG_FIELDS[1:]]
     return rows.select("timestamp", f("rid").alias("request_id"), *rest)
@@ -50,14 +51,18 @@ def term_stats(logs: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
     """Distinct requests and blank queries of the day's suggest requests."""
     rows = logs.where((F.col("timestamp") >= F.lit(start).cast("timestamp")) & (F.col("timestamp") < F.lit(end).cast("timestamp")))
     rows = rows.where(F.col("jsonPayload.type") == SUGGEST)
-    return rows.agg(F.count_distinct("jsonPayload.fields.rid").alias("total_search_terms"), F.count_if(F.btrim("jsonPayload.fields.query") == "").alias("contained_blank"))
+    return rows.agg(F.count_distinct("jsonPayload.fields.rid").alias("total_search_terms"), F.count_if(blank(F.col("jsonPayload.fields.query"))).alias("contained_blank"))
 
 
-def research_queries(logs: DataFrame, truncate_ts: bool = True) -> DataFrame:
-    """query_timestamp (cut to the hour if asked), query, session_id, sequence_no of suggest requests."""
+def research_queries(logs: DataFrame, truncate_ts: bool = True, terminal_only: bool = False) -> DataFrame:
+    """query_timestamp (cut to the hour if asked), query, session_id, sequence_no of suggest requests.
+
+    terminal_only: the request of the highest sequence_no of each session alone; those without a session are out.
+    """
     ts = F.date_trunc("HOUR", F.col("timestamp")) if truncate_ts else F.col("timestamp")
     rows = logs.where(F.col("jsonPayload.type") == SUGGEST)
-    return rows.select(ts.alias("query_timestamp"), *[F.col(f"jsonPayload.fields.{c}").alias(c) for c in ("query", "session_id", "sequence_no")])
+    rows = rows.select(ts.alias("query_timestamp"), *[F.col(f"jsonPayload.fields.{c}").alias(c) for c in ("query", "session_id", "sequence_no")])
+    return terminal_queries(rows, "session_id", F.col("sequence_no").cast("long")) if terminal_only else rows
 
 
 def run_query(spark: SparkSession, sql: str, **args) -> DataFrame:
@@ -84,14 +89,20 @@ def fixed_width_names(spark: SparkSession, path: str) -> DataFrame:
     return cut.select(F.lower(F.col("c")[0]).alias("forename"), F.col("c")[1].cast("double").alias("pct"), F.col("c")[2].cast("double").alias("cumpct"), F.col("c")[3].cast("int").alias("rank"))
 
 
-def delimited(spark: SparkSession, path: str, schema: str, sep: str = ",", header: bool = True) -> DataFrame:
-    """CSV or TSV, plain or gzipped, with a declared schema; quotes may hold line ends."""
-    return spark.read.schema(schema).option("header", header).option("sep", sep).option("multiLine", False).option("escape", '"').csv(path)
+def delimited(spark: SparkSession, path: str, schema: str, sep: str = ",", header: bool = True, line_ends: bool = False) -> DataFrame:
+    """CSV or TSV, plain or gzipped, with a declared schema. line_ends: quotes may hold them; files aren't split then."""
+    return spark.read.schema(schema).option("header", header).option("sep", sep).option("multiLine", line_ends).option("escape", '"').csv(path)
+
+
+def labelled_queries(spark: SparkSession, path: str) -> DataFrame:
+    """query, language, category, expected_ner_removal of a labelled CSV."""
+    return delimited(spark, path, "query string, language string, category string, expected_ner_removal boolean", line_ends=True)
 
 
 def bulk_json(spark: SparkSession, path: str, schema: str, max_records: int | None = None) -> DataFrame:
-    """Records of a bulk dump of JSON lines; index lines are told by their content, not by their place."""
-    rows = spark.read.text(path).where(F.get_json_object("value", "$.index").isNull() & (F.btrim("value") != ""))
+    """Records of a bulk dump of JSON lines; an index line is one whose only key is index, wherever it stands."""
+    index = F.coalesce(F.json_object_keys("value") == F.array(F.lit("index")), F.lit(False))
+    rows = spark.read.text(path).where(~index & ~blank(F.col("value")))
     rows = rows.select(F.from_json("value", schema).alias("r")).select("r.*")
     return rows.limit(max_records) if max_records is not None else rows
 

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: The columns of a run's metadata.
 METADATA = (
     "status string, total_search_terms long, total_search_terms_analyzed long, total_search_terms_appearing_in_allow_list long, "
     "total_search_terms_removed_by_sanitization_job long, contained_blank long, contained_numbers long, contained_at long, contained_name long, "
@@ -20,13 +22,26 @@ STAMP = "%Y-%m-%d %H:%M:%S"
 
 
 def overwrite_day(rows: DataFrame, path: str, day: dt.date) -> None:
-    """Replaces one day's partition and no other: a rerun leaves the same rows."""
-    rows.withColumn("date", F.lit(day)).write.option("partitionOverwriteMode", "dynamic").partitionBy("date").mode("overwrite").parquet(path)
+    """Replaces one day's partition (column date) and no other, be it by nothing: a rerun leaves its own rows alone.
+
+    The rows are written aside, hidden from readers, and take the partition's place when they are all there.
+    """
+    spark = rows.sparkSession
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    aside, final = hadoop.Path(f"{path}/_new-{uuid.uuid4().hex}"), hadoop.Path(f"{path}/date={day.isoformat()}")
+    fs = final.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    try:
+        rows.drop("date").write.parquet(aside.toString())
+        fs.delete(final, True)
+        if not fs.rename(aside, final):
+            raise OSError(f"could not move {aside} to {final}")
+    finally:
+        fs.delete(aside, True)
 
 
 def overwrite_sample_day(rows: DataFrame, path: str, day: dt.date) -> None:
     """The raw sample's own way out; it holds sensitive rows and is kept apart from the sanitised sink."""
-    rows.withColumn("date", F.lit(day)).write.option("partitionOverwriteMode", "dynamic").partitionBy("date").mode("overwrite").parquet(path)
+    overwrite_day(rows, path, day)
 
 
 def append_metadata(spark: SparkSession, path: str, **fields) -> None:

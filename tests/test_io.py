@@ -26,7 +26,7 @@ def log(ts, query, kind=readers.SUGGEST, rid="r", country="none"):
 def logs(rows):
     at = dt.datetime.combine(DAY, dt.time(10))
     data = [
-        log(at, "two cups"), log(at, "2 cups", rid="r2"), log(at, "7up", rid="r3", country="US"), log(at, " ", rid="r4"), log(at, None, rid="r5"),
+        log(at, "two cups"), log(at, "2 cups", rid="r2"), log(at, "7up", rid="r3", country="US"), log(at, " \t", rid="r4"), log(at, None, rid="r5"),
         log(at, "maria smith", rid="r6"), log(at + dt.timedelta(days=1), "next day"), log(at, "other", kind="web.other"), log(at, "me@x", rid="r7"),
     ]
     return rows(data, readers.LOG_SCHEMA)
@@ -46,6 +46,8 @@ def test_day_of_logs(logs):
     stats = readers.term_stats(logs, DAY, DAY + dt.timedelta(days=1)).first()
     assert (stats.total_search_terms, stats.contained_blank) == (7, 1)
     assert readers.research_queries(logs).where("minute(query_timestamp) = 0").count() == 8
+    last = readers.research_queries(logs.withColumn("jsonPayload", F.col("jsonPayload").withField("fields.sequence_no", F.when(F.col("jsonPayload.fields.rid") == "r6", "12").otherwise("9"))), terminal_only=True)
+    assert [r["query"] for r in last.collect()] == ["maria smith"]
 
 
 def test_text_readers(spark, tmp_path):
@@ -64,6 +66,10 @@ def test_text_readers(spark, tmp_path):
     assert {r.title for r in got.collect()} == {"t0", "t1", "t2"}
     assert readers.bulk_json(spark, str(tmp_path / "d.json.gz"), "title string", 2).count() == 2
     (tmp_path / "l").write_text('{"a": 1}\nbroken\n')
+    (tmp_path / "p").write_text('{"index": {"_id": 1}}\n{"index": 7, "title": "payload"}\n{"title": "t"}\n')
+    assert {r.title for r in readers.bulk_json(spark, str(tmp_path / "p"), "title string").collect()} == {"payload", "t"}
+    (tmp_path / "n.csv").write_text('query,language,category,expected_ner_removal\n"anna\nlee",en,should_remove,True\n')
+    assert [tuple(r) for r in readers.labelled_queries(spark, str(tmp_path / "n.csv")).collect()] == [("anna\nlee", "en", "should_remove", True)]
     good, bad = readers.json_lines(spark, str(tmp_path / "l"), "a int")
     assert [r.a for r in good.collect()] == [1] and [r.line for r in bad.collect()] == ["broken"]
 
@@ -85,6 +91,10 @@ def test_sinks(spark, rows, tmp_path):
     sinks.overwrite_day(rows([("c",)], "q string"), path, DAY + dt.timedelta(days=1))
     sinks.overwrite_day(rows([("d",)], "q string"), path, DAY)
     assert {(r.q, r.date) for r in spark.read.parquet(path).collect()} == {("d", DAY), ("c", DAY + dt.timedelta(days=1))}
+    sinks.overwrite_day(rows([], "q string, date string"), path, DAY)
+    assert {r.q for r in spark.read.parquet(path).collect()} == {"c"}
+    sinks.overwrite_sample_day(rows([], "q string"), path, DAY + dt.timedelta(days=1))
+    assert spark.read.parquet(path).count() == 0 and not list((tmp_path / "sink").glob("_new*"))
     sinks.write_csv(rows([("x", 1)], "n string, k int"), str(tmp_path / "csv"), ["k"])
     assert spark.read.option("header", True).csv(str(tmp_path / "csv")).columns == ["k"]
     sinks.write_json_lines(rows([("x", 1)], "n string, k int"), str(tmp_path / "j"))

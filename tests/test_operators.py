@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -18,17 +20,38 @@ def runs(rows, values):
     return rows([(stamp(k), float(v)) for k, v in enumerate(values)], "finished_at timestamp, m double")
 
 
-@pytest.mark.parametrize("last, alarm", [(7, False), (3, True)])
-def test_range_check(rows, last, alarm):
-    r = validation.range_check(runs(rows, [10, 9, 9, 8, 7, 6, 5, 6, 7, 8, 6, 9, last]), "m", 12, 1, 0.2, 0.8, TODAY).first()
-    assert (r.num_compared, r.low, r.high, r.alarm, r.test_vals) == (12, 6.0, 9.0, alarm, [float(last)])
+PAST = [41.0, 44.5, 40.25, 43.0, 47.5, 42.0, 45.75, 39.5, 46.0, 44.0]
 
 
-@pytest.mark.parametrize("last, alarm, mean", [(7, False, 7.333333333333333), (3, True, 6.0)])
-def test_mean_check(rows, last, alarm, mean):
-    r = validation.mean_check(runs(rows, [10, 9, 9, 8, 7, 6, 5, 6, 7, 8, 6, 9, last]), "m", 12, 1, 3, 0.2, 0.8, TODAY).first()
-    assert (r.num_compared, r.alarm, r.test_vals) == (12, alarm, [mean])
-    assert (round(r.low, 12), round(r.high, 12)) == (6.2, 9.2)
+@pytest.mark.parametrize("last, alarm", [(43.5, False), (30.0, True), (60.0, True)])
+def test_range_check(rows, last, alarm):
+    r = validation.range_check(runs(rows, [*PAST, last]), "m", 10, 1, 0.2, 0.8, TODAY).first()
+    low, high = np.quantile(PAST, [0.2, 0.8])
+    assert (r.num_compared, r.alarm, r.test_vals) == (10, alarm, [last]) and alarm == (not low <= last <= high)
+    assert (r.low, r.high) == pytest.approx((low, high))
+
+
+@pytest.mark.parametrize("last, alarm", [(40.0, False), (10.0, True)])
+def test_mean_check(rows, last, alarm):
+    r = validation.mean_check(runs(rows, [*PAST, last]), "m", 10, 1, 3, 0.2, 0.8, TODAY).first()
+    means = [np.mean([*PAST, last][max(0, k - 2) : k + 1]) for k in range(11)]
+    low, high = np.quantile(means[:-1], [0.2, 0.8])
+    assert (r.num_compared, r.alarm) == (10, alarm) and alarm == (not low <= means[-1] <= high)
+    assert (r.low, r.high, r.test_vals[0]) == pytest.approx((low, high, means[-1]))
+
+
+def test_report_agrees_with_the_single_checks(rows):
+    checks = [validation.Check("m", 2, 0.1, 0.9, 3, 0.2, 0.8, 3, 8), validation.Check("k", 1, 0.2, 0.9, 2, 0.1, 0.7, 4, 6)]
+    df = runs(rows, [*PAST, 12.0, 50.0]).withColumn("k", F.when(F.dayofmonth("finished_at") % 3 > 0, F.col("m") * 2))
+    for table in (df, df.limit(0)):
+        got = {r.metric: r for r in validation.report(table, checks, TODAY).collect()}
+        assert set(got) == {"m", "k"}
+        for c in checks:
+            one = validation.range_check(table, c.metric, c.lookback, c.range_window, c.range_low, c.range_high, TODAY).first()
+            two = validation.mean_check(table, c.metric, c.lookback, c.mean_window, c.moving, c.mean_low, c.mean_high, TODAY).first()
+            r = got[c.metric]
+            assert (r.range_alarm, r.range_low, r.range_high, r.num_ranges_compared, r.range_test_vals, r.from_sanitization_job_finished_at) == (one.alarm, one.low, one.high, one.num_compared, one.test_vals, one.latest_finished_at)
+            assert (r.mean_alarm, r.mean_low, r.mean_high, r.num_moving_averages_compared, r.mean_test_vals) == (two.alarm, two.low, two.high, two.num_compared, two.test_vals)
 
 
 def test_checks_without_test_values_are_quiet(rows):
@@ -49,16 +72,16 @@ def test_check_errors(rows, call, message):
 
 
 def test_rules_and_metrics(rows):
-    q = rows([(x,) for x in ("2 cups", "a 2@b", "hi@x.com", "two Cups", "7up", " ", None)], "query string")
+    q = rows([(x,) for x in ("2 cups", "a 2@b", "hi@x.com", "two Cups", "7up", " ", "\t\n\u00a0", None)], "query string")
     flagged = rules.flag(q, rows([("7up",), ("7up",)], "word string"))
     got = {r["query"]: r["rule"] for r in flagged.collect()}
-    assert got == {"2 cups": "number", "a 2@b": "number", "hi@x.com": "at", "two Cups": "clean", "7up": "allowed"}
+    assert got == {"2 cups": "number", "a 2@b": "number", "hi@x.com": "at", "two Cups": "clean", "7up": "allowed", None: "clean"}
     m = rules.run_metrics(flagged, "query", rows([("cups",)], "surname string")).first()
-    assert (m.total_analyzed, m.in_allow_list, m.contained_numbers, m.contained_at, m.removed) == (5, 1, 2, 1, 3)
-    assert (m.sum_chars, m.sum_uppercase_chars, m.sum_words, m.terms_with_surname) == (8, 1, 2, 1)
+    assert (m.total_analyzed, m.in_allow_list, m.contained_numbers, m.contained_at, m.removed) == (6, 1, 2, 1, 3)
+    assert (m.sum_chars, m.sum_uppercase_chars, m.sum_words, m.terms_with_surname) == (8 + len(rules.EMPTY_QUERY), 1 + sum(c.isupper() for c in rules.EMPTY_QUERY), 3, 1)
     kept = rules.run_metrics(rows([(None, "clean")], "query string, rule string")).first()
     assert kept.sum_chars == len(rules.EMPTY_QUERY)
-    assert {r[0] for r in rules.sanitized(flagged).collect()} == {"two Cups", "7up"}
+    assert {r[0] for r in rules.sanitized(flagged).collect()} == {"two Cups", "7up", None}
 
 
 def test_language_json(rows):
@@ -93,6 +116,20 @@ def test_prefix_window_is_half_open(rows):
     assert {(r.row, r.prefix_of) for r in sessions.prefix_links(df, "ts", "query", "row", 1.0, 1, 3).collect()} == {(1, 3)}
 
 
+def test_prefix_links_follow_all_pairs(rows):
+    rng = random.Random(4)
+    data = [(k, BASE + dt.timedelta(seconds=k // 3), rng.choice(["", "a", "a", "a", "ab", "abc", "b", "bcd", "abcd"]), k % 2) for k in range(300)] + [(300, BASE, None, 0)]
+    df = rows(data, "row long, ts timestamp, query string, who int")
+    for low, high in ((1, 3), (0, 1), (2, 2)):
+        want = {}
+        for i, t, q, who in data:
+            later = [j for j, u, p, w in data if w == who and j > i and q is not None and p is not None and t <= u < t + dt.timedelta(seconds=7) and low <= len(p) - len(q) <= high and p.startswith(q)]
+            if later:
+                want[i] = min(later)
+        got = {r.row: r.prefix_of for r in sessions.prefix_links(df, "ts", "query", "row", 7.0, low, high, ["who"]).collect()}
+        assert got == want
+
+
 def test_dictionary(rows):
     words = rows([(1, 0, "ring"), (1, 1, ""), (2, 0, "ringer"), (3, 0, "ri")], "id long, pos int, word string")
     book = rows([("ring",), ("ringer",), ("rings",), ("ring",)], "word string")
@@ -114,6 +151,10 @@ def test_phrases(rows):
     assert {r.p for r in phrases.disjoint(group, "g", "p", "s").collect()} == {"ring", "blue"}
     own = phrases.at_least_own(rows([("a", "a", 0.5), ("a", "b", 0.6), ("a", "c", 0.4)], "g string, p string, s double"), "g", "p", "s")
     assert {r.p for r in own.collect()} == {"a", "b"}
+    alone = phrases.at_least_own(rows([("z", "a", 0.5), ("z", "b", 0.6)], "g string, p string, s double"), "g", "p", "s")
+    assert {r.p for r in alone.collect()} == {"a", "b"}
+    kept = phrases.disjoint(rows([("ring", "red ring", 0.9), ("ring", "ring", 0.5), ("ring", "in", 0.4)], "g string, p string, s double"), "g", "p", "s")
+    assert {r.p for r in kept.collect()} == {"red ring", "ring"}
     vec = rows([("red ring", [1.0, 0.0]), ("of", [1.0, 0.1]), ("blue", [0.9, 0.1]), ("green", [0.0, 1.0])], "phrase string, vector array<double>")
     top = phrases.similar_phrases(vec, rows([("ring", [1.0, 0.0])], "phrase string, vector array<double>"), 1, ["of"])
     assert [r.phrase for r in top.collect()] == ["blue"]
@@ -140,7 +181,10 @@ def test_samples(rows, spark):
     n = {r.n: r["count"] for r in draws.groupBy("n").count().collect()}
     assert sum(n.values()) == 2000 and 0.2 < n["a"] / 2000 < 0.3 and "c" not in n
     strata = [sampling.Stratum("x", 0, 1, "open", "closed"), sampling.Stratum("y", 0, 2)]
-    assert [r[0] for r in rows([(0.0,), (1.0,), (2.0,)], "v double").select(sampling.stratum(F.col("v"), strata)).collect()] == ["y", "x", None]
+    assert [r[0] for r in rows([(0.0,), (1.0,), (2.0,)], "v double").select(sampling.stratum(F.col("v"), strata)).collect()] == [None, "x", None]
+    assert rows([(0.0,)], "v double").select(sampling.stratum(F.col("v"), [sampling.Stratum("z", 0, 2, "closed")])).first()[0] == "z"
+    rare = sampling.weighted_draws(rows([("often", 1e6), ("rare", 2.0)], "n string, w double"), "n", "w", 3_000_000)
+    assert 0 < rare.where("n = 'rare'").count() < 30
 
 
 def test_reports(rows):
