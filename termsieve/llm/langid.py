@@ -28,8 +28,8 @@ BLOCK = 1 << 18
 
 @dataclass(frozen=True)
 class Settings:
-    """orders of n-grams, hashed to 2**bits features. sample: rows learnt from at most, a fifth of them for the
-    temperature. alpha, beta: learning rate of each coordinate; l1, l2: penalties; passes over the sample.
+    """orders of n-grams, hashed to 2**bits features. sample: rows learnt from at most, shared out evenly over the
+    languages as far as they reach, a fifth of them for the temperature. alpha, beta: learning rate of each coordinate; l1, l2: penalties; passes over the sample.
     """
 
     orders: tuple[int, ...] = (1, 2, 3)
@@ -175,6 +175,28 @@ def temperature(logits: np.ndarray, y: np.ndarray) -> float:
     return float(np.exp((a + b) / 2))
 
 
+def _sums(table: np.ndarray, f: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """The rows' sums of table[f] over stretches; a few rows of the table are gathered at a time."""
+    if len(f) <= 1 << 20:
+        return np.add.reduceat(table[f], start, axis=0)
+    out = np.zeros((len(start), table.shape[1]))
+    for k, (a, z) in enumerate(zip(start.tolist(), [*start[1:].tolist(), len(f)], strict=True)):
+        for b in range(a, z, 1 << 20):
+            out[k] += table[f[b : min(z, b + (1 << 20))]].sum(0)
+    return out
+
+
+def sample_rates(counts: list, sample: int) -> dict[str, float]:
+    """The share of each language's rows (lang, count) to learn from: equal numbers, the rest of small ones shared again."""
+    left, rates = sample, {}
+    order = sorted(((r["count"], r["lang"]) for r in counts))
+    for k, (n, lang) in enumerate(order):
+        quota = min(n, max(1, left // (len(order) - k)))
+        rates[lang] = quota / n
+        left -= quota
+    return rates
+
+
 def _predict(shared, s: Settings):
     @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -189,7 +211,7 @@ def _predict(shared, s: Settings):
                     for at, f in grams(data, s):
                         start = np.searchsorted(at, np.concatenate(([0], ends[:-1])))
                         full = np.flatnonzero(np.diff(np.concatenate((start, [len(at)]))))
-                        logits[full] += np.add.reduceat(table[f], start[full], axis=0)
+                        logits[full] += _sums(table, f, start[full])
                         total += np.diff(np.concatenate((start, [len(at)])))
                     p = softmax((logits / np.maximum(total, 1)[:, None] + bias) / heat)
                 for k in range(len(ends)):
@@ -209,18 +231,22 @@ def identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Learns from text and non-null language of rows whose crc32 of the id as text modulo `fold` is not `held`;
     predictions read the text alone, whole. Texts that are null or have no letter are `und` with score 0, and so
     is everything where there is nothing to learn from. A null id is neither held out nor learnt from. Repeated rows
-    are learnt from and predicted as often as they come. Other columns are not read.
+    are learnt from and predicted as often as they come. Other columns are not read; an empty table gives an empty one.
+    Document frequencies are counted over all rows that may be learnt from; one row per language comes to the driver.
     """
     s = settings or Settings()
     spark = docs.sparkSession
     ship(spark)
     three = docs.select(F.col(id_col).cast("long").alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
     own = three.where(F.col("id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull() & (remainder("id", fold) != held))
+    rates = sample_rates(own.groupBy("lang").count().collect(), s.sample)  # a row per language
     total, df = document_frequencies(own.select("text"), s)
     idf = np.append(np.log((1 + total) / (1 + df)) + 1, 0.0)
     lot = F.pmod(F.xxhash64(F.lit(23), "id"), F.lit(1 << 30))
-    few = own.where(lot < F.lit(int(min(1.0, s.sample / max(1, total)) * (1 << 30)) + 1))
-    rows = stored(few.mapInArrow(_counts(s), "id long, lang string, f binary, n binary"), "sample").orderBy("id").limit(s.sample).collect()
+    share = F.broadcast(spark.createDataFrame(list(rates.items()), "_lang string, _rate double"))
+    few = own.join(share, F.col("lang") == F.col("_lang")).where(lot < F.col("_rate") * F.lit(float(1 << 30))).select("id", "lang", "text")
+    few = stored(few.mapInArrow(_counts(s), "id long, lang string, f binary, n binary"), "sample")
+    rows = few.orderBy(F.xxhash64(F.lit(29), "id"), "id", "lang").limit(s.sample).collect()
     langs = sorted({r.lang for r in rows})
     examples, y = [], []
     for r in rows:

@@ -1,13 +1,15 @@
-"""Licence notices in texts by exact wording differences and conditional compression.
+"""Licence notices in texts by conditional compression, confirmed by exact wording differences.
 
-Stretches of text around a cue word are searched for every template: where a window of words holds enough of a template's
-words, the exact word differences confirm it or not. What is confirmed is compressed twice: alone, and with the template as
-zstandard raw dictionary; a notice must save bytes.
+Candidate blocks are windows of words, around a cue, that hold enough of a template's words to be its notice. A block is
+compressed alone and with the template as zstandard raw dictionary; all blocks and templates of a stretch of text are
+ranked by the share of bytes that the template saves. In that order the exact word differences confirm a block or not,
+and what is confirmed claims its words from templates ranked behind it.
 """
 
 from __future__ import annotations
 
 import difflib
+import heapq
 import math
 import re
 from collections import Counter
@@ -132,13 +134,10 @@ class Scanner:
                     out.append(f"-{' '.join(want[i1:i2])} +{' '.join(extra)}")
         return len(at) / len(want), out, at
 
-    def _placements(self, have: list[str], template: int, lo: int, hi: int) -> Iterator[tuple[float, list[str], list[int]]]:
-        """Every confirmed place of a template in have[lo:hi]; its words lie in twice their number and 16 words more."""
-        want, need, most = self.words[template], self.need[template], self.counts[template]
-        if hi - lo < need:
-            return
-        wide, end, n = 2 * len(want) + 16, lo, 0
-        seen, over = Counter(), []  # over: how many of the template's words the window from each word on holds
+    def _fullness(self, have: list[str], template: int, lo: int, hi: int) -> list[int]:
+        """How many of the template's words the window from each word of have[lo:hi] on holds: twice their number and 16 words."""
+        most, wide = self.counts[template], 2 * len(self.words[template]) + 16
+        seen, over, end, n = Counter(), [], lo, 0
         for j in range(lo, hi):
             while end < min(hi, j + wide):
                 w, end = have[end], end + 1
@@ -149,22 +148,7 @@ class Scanner:
             if have[j] in most:
                 n -= seen[have[j]] <= most[have[j]]
                 seen[have[j]] -= 1
-        j, past, first = lo, lo, lo
-        while j < hi:
-            if over[j - first] < need:
-                j += 1
-                continue
-            while j + 1 < hi and over[j + 1 - first] >= over[j - first]:
-                j += 1
-            a = max(past, j - len(want))  # a first word that comes again behind the notice has not held the window
-            share, rest, at = self.differences(have[a : min(hi, j + 2 * wide)], template)
-            if share >= self.s.confirm:
-                at = [a + k for k in at]
-                yield from self._placements(have, template, past, at[0])
-                yield share, rest, at
-                past = j = at[-1] + 1
-            else:
-                j += 1 + len(want) // 8
+        return over
 
     def notices(self, block: str) -> list[tuple[int, int, str, float, float, list[str]]]:
         """(start, end, license, saved, similarity, differences) of all confirmed notices, the closest first.
@@ -175,10 +159,42 @@ class Scanner:
         found = [(m.start(), m.end(), m.group().lower()) for m in WORD.finditer(block)]
         have = [w for _, _, w in found]
         counted = Counter(have)
-        places = []
-        for k, want in enumerate(self.words):
-            if sum(min(n, counted[w]) for w, n in self.counts[k].items()) >= self.need[k]:
-                places += [(len(rest), -share, -len(want), k, at, rest) for share, rest, at in self._placements(have, k, 0, len(have))]
+        fullness: dict[tuple[int, int], tuple[int, list[int]]] = {}
+        ranked: list[tuple[float, int, int, int, int, int, int]] = []
+
+        def rank(k: int, lo: int, hi: int, j: int) -> None:
+            """Puts the next candidate block of a template, from word j on, in its place; the region it lies in is lo to hi."""
+            need = self.need[k]
+            if hi - j < need:
+                return
+            if (k, hi) not in fullness:
+                fullness[k, hi] = lo, self._fullness(have, k, lo, hi)
+            first, over = fullness[k, hi]
+            while j < hi and over[j - first] < need:
+                j += 1
+            while j + 1 < hi and over[j + 1 - first] >= over[j - first]:
+                j += 1
+            if j < hi:
+                n = len(self.words[k])  # a first word that comes again behind the notice has not held the window
+                a, z = max(lo, j - n), min(hi, j + 4 * n + 32)
+                heapq.heappush(ranked, (-self.saved(block[found[a][0] : found[z - 1][1]], k), k, lo, hi, j, a, z))
+
+        for k, most in enumerate(self.counts):
+            if sum(min(n, counted[w]) for w, n in most.items()) >= self.need[k]:
+                rank(k, 0, len(have), 0)
+        places, exact = [], set()
+        while ranked:
+            _, k, lo, hi, j, a, z = heapq.heappop(ranked)
+            share, rest, at = self.differences(have[a:z], k)
+            if share < self.s.confirm:
+                rank(k, lo, hi, j + 1 + len(self.words[k]) // 8)
+                continue
+            at = [a + i for i in at]
+            if rest or not exact.issuperset(at):
+                places.append((len(rest), -share, -len(self.words[k]), k, at, rest))
+                exact.update(at if not rest else ())
+            rank(k, lo, at[0], lo)
+            rank(k, at[-1] + 1, hi, at[-1] + 1)
         out, claimed, spans = [], set(), {}
         for _, share, n, k, at, rest in sorted(places):
             name, start, end = self.templates[k][0], found[at[0]][0], found[at[-1]][1]
@@ -217,7 +233,8 @@ def scanned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", set
     """One row per notice found: id_col, start, end, license, saved, similarity, exact, differences, notice.
 
     start and end count code points. differences lists template words that are missing (-) and other words in their
-    place (+). Null texts and texts without a cue have no rows; repeated rows and null ids are scanned like others.
+    place (+). Null and empty texts and texts without a cue have no rows; repeated rows and null ids are scanned like
+    others. Very long texts are scanned whole, a stretch around cues at a time. An empty table gives an empty one.
     Other columns are not read. Nothing is shuffled.
     """
     ship(docs.sparkSession)

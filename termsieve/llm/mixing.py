@@ -174,11 +174,18 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     pass more than what lies behind. Rows whose bucket lies wholly on one side are repeated where they lie; only
     those of the one bucket around that word are joined with what they take. A pass that ends inside a document
     gives its first words, joined by single spaces (n_chars, if there is such a column, counts their characters).
-    Documents that the mix does not reach, and those without words, are left out. Repeated rows of one document
-    around that word share what they take, rounded down.
+    Documents that the mix does not reach, and those without words (null and empty texts), are left out. Null is a
+    source of its own. Repeated rows of one document around that word share what they take, rounded down; rows with a
+    null id are one document there. An empty table gives an empty one. No column's name matters but the three given
+    and n_chars.
     """
     s = settings or Settings()
-    m = _lay_out(docs, id_col, text_col, source_col, s)
+    # Numbered names inside: no column of the documents can clash with a working one.
+    place = {c.lower(): f"column{i}" for i, c in enumerate(docs.columns)}
+    inner = docs.toDF(*place.values())
+    own = inner.columns
+    identity, text, source = (place[c.lower()] for c in (id_col, text_col, source_col))
+    m = _lay_out(inner, identity, text, source, s)
     blocks = {i: max(1, -(-n // m.grains[i])) for i, (_, n, _) in enumerate(m.plan)}
     slots = {r.part: r.slots for r in m.times.groupBy("part").agg(F.sum("times").alias("slots")).collect()}  # a row per source
     cuts = [(i, name, slots.get(i, 0) // blocks[i], slots.get(i, 0) % blocks[i] * m.grains[i]) for i, (name, _, _) in enumerate(m.plan)]
@@ -186,20 +193,20 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     around = m.starts.join(cut, (F.col("part") == F.col("_part")) & (F.col("before") <= F.col("_cut")) & (F.col("_cut") < F.col("before") + F.col("words")))
     at = {r._part: r.bucket for r in around.select("_part", "bucket").collect()}  # at most a row per source
     cut = docs.sparkSession.createDataFrame([(*c, at.get(c[0], -1)) for c in cuts], "_part int, _name string, _passes long, _cut long, _at long")
-    rows = docs.withColumn("_bucket", _bucket(F.col(id_col), m.buckets, s)).join(F.broadcast(cut) if len(cuts) <= 10_000 else cut, F.col(source_col).eqNullSafe(F.col("_name")))
-    rows = rows.where(F.col(text_col).rlike(WORD))
+    rows = inner.withColumn("_bucket", _bucket(F.col(identity), m.buckets, s)).join(F.broadcast(cut) if len(cuts) <= 10_000 else cut, F.col(source).eqNullSafe(F.col("_name")))
+    rows = rows.where(F.col(text).rlike(WORD))
     passes = F.col("_passes") + F.when(F.col("_bucket") < F.col("_at"), 1).otherwise(0)
     whole = rows.where("_bucket <> _at").withColumn("_n", passes).where("_n > 0").withColumn("_pass", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n"))))
     edge = m.placed.join(F.broadcast(cut.select("_part", "_at")) if len(cuts) <= 10_000 else cut.select("_part", "_at"), (F.col("part") == F.col("_part")) & (F.col("bucket") == F.col("_at")))
     share = _taken(m, edge.select("id", "size", "part", "source_size", "target", "grain", "start")).groupBy(F.col("id").alias("_id")).agg(
         F.expr("sum(taken) div count(*)").alias("_taken"), F.max("size").alias("_size")).where("_taken > 0")
-    both = rows.where("_bucket = _at").join(stored(share, "taken"), F.col(id_col).eqNullSafe(F.col("_id")))
+    both = rows.where("_bucket = _at").join(stored(share, "taken"), F.col(identity).eqNullSafe(F.col("_id")))
     both = both.withColumn("_pass", F.explode(F.sequence(F.lit(1).cast("long"), F.expr("(_taken + _size - 1) div _size"))))
     left = F.least(F.col("_size"), F.col("_taken") - (F.col("_pass") - 1) * F.col("_size"))
-    words = F.slice(F.regexp_extract_all(F.col(text_col), F.lit(f"({WORD})"), F.lit(1)), F.lit(1), left.cast("int"))
+    words = F.slice(F.regexp_extract_all(F.col(text), F.lit(f"({WORD})"), F.lit(1)), F.lit(1), left.cast("int"))
     both = both.withColumn("_short", F.when(left < F.col("_size"), F.concat_ws(" ", words)))
-    changed = {text_col: F.coalesce("_short", F.col(text_col))}
-    if "n_chars" in docs.columns:
-        changed["n_chars"] = F.coalesce(F.length("_short").cast("long"), F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
-    parts = both.select(*[changed[c].alias(c) if c in changed else F.col(c) for c in docs.columns])
-    return whole.select(*docs.columns).union(parts)
+    changed = {text: F.coalesce("_short", F.col(text))}
+    if (n_chars := place.get("n_chars")) is not None:
+        changed[n_chars] = F.coalesce(F.length("_short").cast("long"), F.col(n_chars)).cast(inner.schema[n_chars].dataType)
+    parts = both.select(*[changed[c].alias(c) if c in changed else F.col(c) for c in own])
+    return whole.select(*own).union(parts).toDF(*docs.columns)

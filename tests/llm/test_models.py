@@ -37,6 +37,21 @@ def test_languages_of_held_out_rows(rows, spoken):
     assert all(0 <= r.score <= 1 for r in got.values()) and 0.8 < np.mean([got[i].score for i in held]) < 1
 
 
+def test_rare_languages_are_learnt(rows):
+    rng = random.Random(8)
+    data = [(i, prose("xx", rng, 12), "xx", 0.0) for i in range(1500)] + [(5000 + i, prose("yy", rng, 12), "yy", 0.0) for i in range(12)]
+    got = langid.identified(rows(data, KIND), settings=langid.Settings(sample=100)).collect()
+    assert all(r.lang_pred == ("yy" if r.doc_id >= 5000 else "xx") for r in got)
+    assert langid.sample_rates([{"lang": "a", "count": 10}, {"lang": "b", "count": 1000}, {"lang": "c", "count": 500}], 100) == {"a": 1.0, "c": 0.09, "b": 0.045}
+
+
+def test_long_texts_are_summed_in_parts():
+    rng = np.random.default_rng(2)
+    table, f, start = rng.random((50, 3)).astype(np.float32), rng.integers(0, 50, 2_500_000), np.array([0, 10, 2_200_000])
+    want = [table[f[a:z]].astype(float).sum(0) for a, z in ((0, 10), (10, 2_200_000), (2_200_000, len(f)))]
+    assert np.allclose(langid._sums(table, f, start), want, rtol=1e-3)
+
+
 def test_language_edge_cases(rows, spoken):
     odd = [(1001, None, "xx", 0.0), (1002, "", None, 0.0), (1003, "123 !?", "yy", 0.0), (None, spoken[0][1], None, 0.0), (1004, "ka " * 200_000, None, 0.0)]
     got = {r.doc_id: (r.lang_pred, r.score) for r in langid.identified(rows(spoken + odd, KIND)).collect()}

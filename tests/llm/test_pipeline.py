@@ -76,6 +76,37 @@ def test_stages(spark, folder):
     assert out.where("start = 0").count() == sum(map(len, mixed.values()))
 
 
+KIND = "doc_id long, text string, lang string, source string, n_chars long, _own int, _mark string"
+
+
+def test_stages_stand_odd_rows(spark, folder, tmp_path):
+    """Nulls in any column, empty and long texts, ties, repeated rows, clashing columns and empty tables."""
+    path, docs = folder
+    odd = [(9001, None, None, None, None), (9002, "", "en", "s1", 0), (9003, "", "en", None, 0), (None, "a text of no id at all", None, "s1", 1), (None, None, None, None, None),
+           (9004, "long " * 120_000, "en", "s2", 600_000), (9005, "one row twice here", "en", "s3", 18), (9005, "one row twice here", "en", "s3", 18)]
+    table = spark.createDataFrame([(*r, 1, "m") for r in docs[:150] + odd], KIND)
+    now = table
+    for name, stage in corpus_pipeline.STAGES:
+        before, now = now, stage(spark, now, path)
+        if name != "packing":
+            assert now.columns == table.columns and all(r._own == 1 and r._mark == "m" for r in now.collect())
+        if name == "exact dedup":
+            kept = [(r.doc_id, r.text) for r in now.where("doc_id is null or doc_id > 9000").collect()]
+            assert sorted(i for i, _ in kept if i) == [9003, 9004, 9005] and [t for i, t in kept if i is None] == ["a text of no id at all"]
+        if name == "near dedup":
+            assert now.count() >= before.count() - 5 and now.where("doc_id is null").count() == 1
+    rows = now.collect()
+    assert sum(r.length for r in rows) > 100_000 and {r.doc_id for r in rows} >= {None, 9004}
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, table.limit(0), path).collect() == []
+
+
+def test_pipeline_of_an_empty_table(spark, tmp_path):
+    spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
 def test_run_and_queries(spark, folder, tables):
     assert corpus_pipeline.run(spark, folder[0]).count() > 0
     assert [int(re.match(r"op(\d+)_", q)[1]) for q in registry.queries()] == list(range(1, 11))

@@ -247,6 +247,22 @@ def test_mixing_edge_cases(rows):
     assert [r.taken for r in mixing.mixed(df.where("doc_id = 2")).collect()] == [0]
 
 
+def test_mix_keeps_clashing_columns(rows):
+    names = ("_bucket", "_n", "_pass", "_short", "_part", "_name", "_passes", "_cut", "_at", "_taken", "_size", "_id", "id", "size", "part", "column0")
+    data = [(i, None if i % 13 == 0 else "w " * (i % 40), None if i % 5 == 0 else f"s{i % 3}", *[7] * len(names)) for i in range(200)] + [(None, "a b c", "s1", *[7] * len(names)), (3, "w w w", "s0", *[7] * len(names))]
+    docs = rows(data, ", ".join(["doc_id long", "Text string", "source string", *[f"{n} int" for n in names]]))
+    out = mixing.mix(docs, text_col="text")
+    assert out.columns == docs.columns
+    got = out.collect()
+    assert got and all(set(r[3:]) == {7} and r.Text for r in got)
+    taken = {r.doc_id: r.taken for r in mixing.mixed(docs, text_col="Text").where("doc_id > 3").collect()}
+    words = Counter()
+    for r in got:
+        words[r.doc_id] += len(r.Text.split())
+    assert all(words[i] == n for i, n in taken.items())
+    assert mixing.mix(docs.limit(0), text_col="Text").collect() == []
+
+
 def test_tiny_sources_beside_a_large_one(rows):
     s = mixing.Settings(slots=64)  # blocks of some 3000 words
     sizes = {"a": 200_000, "b": 3, "c": 200, "d": 400, "e": 800, "f": 1600, "g": 9000}
