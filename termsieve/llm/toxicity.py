@@ -188,9 +188,13 @@ def _spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 
 class BlockMaxIndex:
-    """Unit vectors of examples as postings by term, cut into stretches of one block with the stretch's maximum."""
+    """Unit vectors of examples as postings by term, cut into stretches of one block with the stretch's maximum.
 
-    def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], n_terms: int, block: int) -> None:
+    The longest lists, each held by a sixty-fourth of the examples or more, are kept as dense rows instead, which score
+    many queries at once; they come first, and the blocks' bounds start from what they gave.
+    """
+
+    def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], n_terms: int, block: int, dense: int = 1024) -> None:
         chief = [int(t[w.argmax()]) if len(t) else -1 for t, w in vectors]  # examples with the same chief term share blocks
         self.order, self.block = np.argsort(chief, kind="stable").astype(np.int32), block
         self.blocks = max(1, -(-len(vectors) // block))
@@ -198,6 +202,15 @@ class BlockMaxIndex:
         t = np.concatenate([vectors[i][0] for i in self.order] or nothing)
         w = np.concatenate([vectors[i][1] for i in self.order] or nothing).astype(np.float32)
         e = np.repeat(np.arange(len(vectors), dtype=np.int32), [len(vectors[i][0]) for i in self.order])
+        length = np.bincount(t, minlength=n_terms)
+        long = np.argsort(-length, kind="stable")[:dense]
+        long = long[length[long] >= max(1, len(vectors) / 64)]
+        self.row = np.full(n_terms, -1, np.int32)
+        self.row[long] = np.arange(len(long))
+        self.dense = np.zeros((len(long), self.blocks * block), np.float32)
+        there = self.row[t] >= 0
+        self.dense[self.row[t[there]], e[there]] = w[there]
+        t, w, e = t[~there], w[~there], e[~there]
         by = np.argsort(t, kind="stable")
         t, self.weights, self.examples = t[by], w[by], e[by]
         new = np.ones(len(t), bool)
@@ -208,32 +221,38 @@ class BlockMaxIndex:
         self.top = np.maximum.reduceat(self.weights, start) if len(start) else np.empty(0, np.float32)
         self.first = np.searchsorted(t[start], np.arange(n_terms + 1)).astype(np.int32)
 
-    def _scores(self, stretches: np.ndarray, weights: np.ndarray) -> np.ndarray:
-        sizes = (self.starts[stretches + 1] - self.starts[stretches]).astype(np.int64)
-        at = _spread(self.starts[stretches].astype(np.int64), sizes)
-        return np.bincount(self.examples[at], np.repeat(weights, sizes) * self.weights[at], len(self.order))
+    def nearest(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int) -> list[list[tuple[float, int]]]:
+        """For each query the k examples of the highest cosine above 0, exactly; ties go to the one first in block order."""
+        out = []
+        for a in range(0, len(queries), 64):
+            part = queries[a : a + 64]
+            q = np.zeros((len(part), len(self.dense)), np.float32)
+            for n, (t, w) in enumerate(part):
+                row = self.row[t]
+                q[n, row[row >= 0]] = w[row >= 0]
+            out += [self._nearest(t, w, score, k) for (t, w), score in zip(part, q @ self.dense, strict=True)]
+        return out
 
-    def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, without: int = -1) -> list[tuple[float, int]]:
-        """The k examples of the highest cosine above 0, exactly; ties go to the one first in block order."""
+    def _nearest(self, terms: np.ndarray, weights: np.ndarray, score: np.ndarray, k: int) -> list[tuple[float, int]]:
+        """score: what the dense rows gave each example."""
+        rest = self.row[terms] < 0
+        terms, weights = terms[rest], weights[rest]
         sizes = (self.first[terms + 1] - self.first[terms]).astype(np.int64)
         every, w = _spread(self.first[terms].astype(np.int64), sizes), np.repeat(weights, sizes)
         where = self.where[every]
-        bound = np.bincount(where, w * self.top[every], self.blocks)
-        some = bound >= (np.sort(bound)[-4] if self.blocks > 4 else 0.0)
-        score = self._scores(every[some[where]], w[some[where]])
-        if without >= 0:
-            score[self.order == without] = 0
-        found = np.sort(score)[-k:]
-        least = found[0] if len(found) == k else 0.0
-        rest = ~some & (bound > 0) & (bound >= least - 1e-6)
-        if rest.any():
-            more = self._scores(every[rest[where]], w[rest[where]])
-            if without >= 0:
-                more[self.order == without] = 0
-            score += more
-        near = np.flatnonzero(score > 0)
-        near = near[np.lexsort((near, -score[near]))[:k]]
-        return [(float(score[i]), int(self.order[i])) for i in near]
+        best = score.reshape(self.blocks, self.block).max(1)
+        bound = best + np.bincount(where, w * self.top[every], self.blocks)
+        least = np.partition(score, -k)[-k] if len(score) > k else 0.0
+        some = (bound > 0) & (bound >= least - 1e-6)  # no other block holds one of the k best
+        hit = some[where]
+        every, w = every[hit], w[hit]
+        sizes = (self.starts[every + 1] - self.starts[every]).astype(np.int64)
+        at = _spread(self.starts[every].astype(np.int64), sizes)
+        total = score + np.bincount(self.examples[at], np.repeat(w, sizes) * self.weights[at], len(score))
+        near = np.flatnonzero((total > 0) & (total >= least - 1e-6))
+        near = near[some[near // self.block]]
+        near = near[np.lexsort((near, -total[near]))[:k]]
+        return [(float(total[i]), int(self.order[i])) for i in near]
 
 
 Example = tuple[int | None, np.ndarray, np.ndarray, int]
@@ -264,15 +283,18 @@ class Votes:
         w = (1 + np.log(counts)) * self.weight[terms]
         return w / (np.sqrt(w @ w) or 1.0)
 
-    def vote(self, terms: np.ndarray, counts: np.ndarray) -> tuple[float, list[tuple[float, int]]]:
-        """The distance-weighted share of toxic neighbours, and the neighbours."""
-        near = self.index.nearest(terms, self.unit(terms, counts), self.s.k) if len(terms) and len(self.ids) else []
-        up, down = self.s.prior * self.rate, self.s.prior
-        for c, i in near:
-            w = 1.0 / (1.05 - min(1.0, c))
-            up += w * self.labels[i]
-            down += w
-        return up / down, near
+    def votes(self, texts: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[float, list[tuple[float, int]]]]:
+        """The distance-weighted share of toxic neighbours of each text (terms, counts), and the neighbours."""
+        found = self.index.nearest([(t, self.unit(t, n)) for t, n in texts], self.s.k) if len(self.ids) else [[] for _ in texts]
+        out = []
+        for near in found:
+            up, down = self.s.prior * self.rate, self.s.prior
+            for c, i in near:
+                w = 1.0 / (1.05 - min(1.0, c))
+                up += w * self.labels[i]
+                down += w
+            out.append((up / down, near))
+        return out
 
 
 class Model:
@@ -284,13 +306,12 @@ class Model:
         for f in range(s.folds if len(examples) >= 2 * s.folds else 0):
             others = Votes([x for k, x in enumerate(examples) if k % s.folds != f], idf, s)
             own = examples[f :: s.folds]
-            votes += [others.vote(t, n)[0] for _, t, n, _ in own]
+            votes += [v for v, _ in others.votes([(t, n) for _, t, n, _ in own])]
             labels += [y for *_, y in own]
         self.line = _platt(np.array(votes), np.array(labels, float))
 
-    def score(self, terms: np.ndarray, counts: np.ndarray) -> tuple[float, list[tuple[float, int]]]:
-        vote, near = self.votes.vote(terms, counts)
-        return self.calibrated(vote), near
+    def scores(self, texts: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[float, list[tuple[float, int]]]]:
+        return [(self.calibrated(vote), near) for vote, near in self.votes.votes(texts)]
 
     def calibrated(self, vote: float) -> float:
         if self.line is None:
@@ -346,15 +367,15 @@ def _score(words, shared, evidence: bool):
             for first, raw in T.blocks(T.utf8(batch.column(2)), BLOCK):
                 owner, term, n = counted(raw, words.value)
                 at = np.searchsorted(owner, np.arange(len(raw) + 1)).tolist()
-                found = []
-                for a, z in zip(at[:-1], at[1:], strict=True):
-                    key = hashlib.blake2b(term[a:z].tobytes() + n[a:z].tobytes(), digest_size=16).digest()
-                    if key not in known:
-                        if len(known) >= REMEMBERED:
-                            known.clear()
-                        score, near = model.score(term[a:z], n[a:z])
-                        known[key] = score, [{"id": ids[i], "cosine": min(1.0, c), "toxic": int(labels[i])} for c, i in near] if evidence else None
-                    found.append(known[key])
+                texts = [(term[a:z], n[a:z]) for a, z in zip(at[:-1], at[1:], strict=True)]
+                keys = [hashlib.blake2b(t.tobytes() + c.tobytes(), digest_size=16).digest() for t, c in texts]
+                fresh = dict(zip(reversed(keys), reversed(texts), strict=True))
+                if len(known) >= REMEMBERED:
+                    known.clear()
+                fresh = {x: y for x, y in fresh.items() if x not in known}
+                for x, (score, near) in zip(fresh, model.scores(list(fresh.values())), strict=True):
+                    known[x] = score, [{"id": ids[i], "cosine": min(1.0, c), "toxic": int(labels[i])} for c, i in near] if evidence else None
+                found = [known[x] for x in keys]
                 part = batch.slice(first, len(raw))
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([x for x, _ in found], pa.float64()), pa.array([x for _, x in found], kind)], ["id", "mark", "score", "evidence"])
 

@@ -78,14 +78,14 @@ def test_block_max_search_is_exact():
     dense = np.zeros((500, 60))
     for i, (t, w) in enumerate(examples):
         dense[i, t] = w
-    index = toxicity.BlockMaxIndex(examples, 60, 16)
-    for _ in range(100):
-        t, w = vector()
+    sparse, index = toxicity.BlockMaxIndex(examples, 60, 16, dense=0), toxicity.BlockMaxIndex(examples, 60, 16, dense=7)
+    queries = [vector() for _ in range(100)]
+    for (t, w), near, again in zip(queries, index.nearest(queries, 10), sparse.nearest(queries, 10), strict=True):
         q = np.zeros(60)
         q[t] = w
-        near = index.nearest(t, w, 10)
+        assert np.allclose([c for c, _ in near], [c for c, _ in again])
         best = np.sort((dense @ q)[dense @ q > 0])[::-1][:10]
-        assert np.allclose([c for c, _ in near], best) and all(np.isclose(dense[i] @ q, c) for c, i in near)
+        assert np.allclose([c for c, _ in near], best, atol=1e-6) and all(np.isclose(dense[i] @ q, c, atol=1e-6) for c, i in near)
 
 
 @pytest.fixture(scope="module")
