@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from typing import Protocol
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from termsieve.functions import text as T
 from termsieve.operators.rules import rule
 
 
@@ -19,38 +20,75 @@ class PersonDetector(Protocol):
     def detect(self, texts: pd.Series) -> pd.DataFrame: ...
 
 
-#: Titles and some common forenames.
+#: Titles, and frequent words by language that are no part of a name.
 TITLES = ("mr", "mrs", "ms", "dr", "prof", "sir", "herr", "frau", "señor", "señora", "monsieur", "madame")
+STOP_WORDS = {
+    "en": ("the", "and", "of", "to", "in", "is", "that", "for", "with", "on", "near", "how", "what", "where", "who", "my", "best", "vs", "from", "at"),
+    "de": ("der", "die", "und", "das", "ist", "ein", "nicht", "mit", "zu", "den", "wie", "wo", "für", "im", "von", "wer", "was", "auf", "bei", "kaufen"),
+    "fr": ("le", "la", "les", "et", "des", "en", "un", "une", "est", "que", "pour", "du", "où", "comment", "avec", "dans", "qui", "sur", "pas", "cher"),
+    "es": ("el", "la", "los", "de", "que", "y", "en", "un", "una", "es", "para", "con", "como", "donde", "las", "del", "por", "quien", "mejor", "al"),
+}
+#: A short list of common forenames, for use without a list of one's own.
 FORENAMES = (
     "james", "mary", "robert", "patricia", "john", "jennifer", "michael", "linda", "david", "elizabeth", "william", "barbara",
     "richard", "susan", "joseph", "jessica", "thomas", "sarah", "maria", "anna", "peter", "hans", "klaus", "jürgen", "josé",
-    "juan", "carlos", "lucía", "pierre", "jean", "marie", "claire", "hillary", "emma", "sophie", "paul",
+    "juan", "carlos", "lucía", "pierre", "jean", "marie", "claire", "emma", "sophie", "paul",
 )
-#: Frequent short words by language.
-STOP_WORDS = {
-    "en": ("the", "and", "of", "to", "in", "is", "that", "for", "with", "on"), "de": ("der", "die", "und", "das", "ist", "ein", "nicht", "mit", "zu", "den"),
-    "fr": ("le", "la", "les", "et", "des", "en", "un", "une", "est", "que"), "es": ("el", "la", "los", "de", "que", "y", "en", "un", "una", "es"),
-}
 
 
-class GazetteerDetector:
-    """A forename or title before a capitalised word is a person; the language is the one of most short words.
+def language(text: Column) -> Column:
+    """struct(language, score): the language of most of a text's frequent words, and their share of its words.
 
-    It makes no claim to a trained model's recall.
+    Texts without any are English with score 0 (null texts: null), which the report of languages leaves out.
     """
+    own = T.words(F.lower(text))
 
-    NAME = re.compile(rf"(?i:\b(?:{'|'.join(FORENAMES)}|(?:{'|'.join(TITLES)})\.?))\s+[^\W\d_][\w'-]+")
+    def count(words: Sequence[str]) -> Column:
+        return F.size(F.filter(own, lambda w: w.isin(*words)))
 
-    def detect(self, texts: pd.Series) -> pd.DataFrame:
-        rows = []
-        for t in texts:
-            text = t or ""
-            words = re.findall(r"\w+", text.lower())
-            counts = {k: sum(w in v for w in words) for k, v in STOP_WORDS.items()}
-            best = max(counts, key=lambda k: (counts[k], k == "en"))
-            found = self.NAME.search(text)
-            rows.append((bool(found), best, counts[best] / max(1, len(words)), 0.9 if found else 0.0, any(len(w) > 3 and w.isalpha() for w in words)))
-        return pd.DataFrame(rows, columns=["has_person", "language", "score", "confidence", "has_noun"])
+    best = F.array_max(F.array(*[F.struct(count(v).alias("n"), F.lit(k == "en").alias("first"), F.lit(k).alias("language")) for k, v in STOP_WORDS.items()]))
+    return F.struct(best["language"].alias("language"), F.try_divide(best["n"].cast("double"), F.size(own).cast("double")).alias("score"))
+
+
+def gazetteer(text: Column, forenames: Sequence[str] = FORENAMES) -> Column:
+    """The answers of a detector, by built-in functions alone: a forename or title before a word that is no frequent one.
+
+    It makes no claim to a trained model's recall; give names_by_lists() lists of forenames, surnames and words for more.
+    """
+    names = "|".join([*(re.escape(n) for n in forenames), *(rf"{t}\.?" for t in TITLES)])
+    other = "|".join(sorted({w for v in STOP_WORDS.values() for w in v}))
+    person = F.coalesce(text.rlike(rf"(?iu)(?<![\p{{L}}\p{{N}}])(?:{names})\s+(?!(?:{other})(?![\p{{L}}'-]))\p{{L}}[\p{{L}}'-]+"), F.lit(False))
+    spoken = language(F.coalesce(text, F.lit("")))
+    return F.struct(
+        person.alias("has_person"), spoken["language"].alias("language"), F.coalesce(spoken["score"], F.lit(0.0)).alias("score"),
+        F.when(person, 0.9).otherwise(0.0).alias("confidence"), F.coalesce(text.rlike(r"(?u)\p{L}{4,}"), F.lit(False)).alias("has_noun"),
+    )
+
+
+def names_by_lists(rows: DataFrame, query_col: str, forenames: DataFrame, surnames: DataFrame, words: DataFrame) -> DataFrame:
+    """The rows with person: whether two neighbouring words are a name.
+
+    They are one if the first is a forename and the second a surname or no dictionary word, or if the second is a
+    surname that is no dictionary word and the first is a forename or neither a dictionary word nor a frequent one.
+    forenames, surnames and words are lists in lower case (columns forename, surname, word) of any size: all
+    look-ups are equi-joins of the queries' distinct words. Null and empty queries hold no name; repeated rows stay.
+    """
+    frequent = sorted({w for v in STOP_WORDS.values() for w in v})
+    own = F.filter(F.transform(T.words(F.lower("_q")), lambda w: F.regexp_replace(w, r"(?u)^[^\p{L}]+|('s)?[^\p{L}]*$", "")), lambda w: w != "")
+    terms = rows.select(F.col(query_col).alias("_q")).where(F.col(query_col).isNotNull()).distinct().withColumn("_w", own)
+    every = terms.select(F.explode("_w").alias("_word")).distinct()
+    for name, table, column in (("f", forenames, "forename"), ("s", surnames, "surname"), ("d", words, "word")):
+        listed = table.select(F.lower(column).alias("_word")).distinct().withColumn(f"_{name}", F.lit(True))
+        every = every.join(listed, "_word", "left").withColumn(f"_{name}", F.coalesce(f"_{name}", F.lit(False)))
+    kinds = every.select("_word", F.struct("_f", "_s", (F.col("_d") | F.col("_word").isin(frequent)).alias("_d"), F.col("_word").isin(frequent).alias("_o")).alias("_k"))
+    placed = terms.select("_q", F.posexplode("_w").alias("_i", "_word")).join(kinds, "_word")
+    after = placed.select("_q", (F.col("_i") - 1).alias("_i"), F.col("_k").alias("_n"))
+    pair = placed.join(after, ["_q", "_i"])
+    second = F.col("_n._s") | ~F.col("_n._d")
+    person = (F.col("_k._f") & second & ~F.col("_n._o")) | (F.col("_n._s") & ~F.col("_n._d") & ~F.col("_k._d"))
+    hit = pair.where(person).select("_q").distinct().withColumn("person", F.lit(True))
+    out = rows.join(hit, F.col(query_col) == F.col("_q"), "left").drop("_q")
+    return out.withColumn("person", F.coalesce("person", F.lit(False)))
 
 
 class SpacyDetector:
@@ -67,15 +105,19 @@ class SpacyDetector:
         rows = []
         for doc in self._nlp.pipe(texts.fillna("").tolist()):
             person = any(e.label_ == "PERSON" and e.text for e in doc.ents)
-            rows.append((person, doc.lang_, 1.0, 1.0 if person else 0.0, any(t.pos_ == "NOUN" for t in doc)))
+            spoken = doc._.language if doc.has_extension("language") else None  # a language pipe's answer, if there is one
+            score = doc._.language_score if doc.has_extension("language_score") else 0.0
+            rows.append((person, spoken, score, 1.0 if person else 0.0, any(t.pos_ == "NOUN" for t in doc)))
         return pd.DataFrame(rows, columns=["has_person", "language", "score", "confidence", "has_noun"])
 
 
 SCHEMA = "has_person boolean, language string, score double, confidence double, has_noun boolean"
 
 
-def annotate(detector: PersonDetector) -> Callable:
-    """A vectorised function of a text column with the detector's answers as a struct."""
+def annotate(detector: PersonDetector | None = None) -> Callable:
+    """A function of a text column with the detector's answers as a struct; without a detector the gazetteer's."""
+    if detector is None:
+        return lambda c: gazetteer(F.col(c) if isinstance(c, str) else c)
 
     @F.pandas_udf(SCHEMA)
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -89,7 +131,7 @@ def flag_names(rows: DataFrame, query_col: str, detector: PersonDetector | None
     """The rows with rule: number, at or name, else clean. The model sees only rows that no cheap rule decides."""
     ruled = rows.withColumn("rule", rule(F.col(query_col)))
     cheap = ruled.where(F.col("rule").isNotNull())
-    model = annotate(detector or GazetteerDetector())
+    model = annotate(detector)
     rest = ruled.where(F.col("rule").isNull()).withColumn("_m", model(F.col(query_col)))
     rest = rest.withColumn("rule", F.when(F.col("_m.has_person"), "name").otherwise("clean")).drop("_m")
     return cheap.unionByName(rest)

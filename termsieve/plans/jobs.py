@@ -1,4 +1,4 @@
-"""The two jobs from the command line: a day's sanitising run, and the drift validation."""
+"""The jobs from the command line: a day's sanitising run, its metrics, and the drift validation."""
 
 from __future__ import annotations
 
@@ -12,6 +12,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from termsieve.operators import ner, rules, sampling, validation
+from termsieve.scratch import held
 from termsieve.sources import readers, sinks
 
 
@@ -46,14 +47,14 @@ def sanitize_day(spark: SparkSession, logs, suggestions, surnames, run_date: str
         stats = readers.term_stats(logs, start, end).first()
         rows = readers.day_of_logs(logs, start, end)
         flagged = rules.flag(rows, readers.allow_list(suggestions))
-        cheap = flagged.where("rule <> 'clean'")
-        named = ner.flag_names(flagged.where("rule = 'clean'").drop("rule"), "query", detector)
-        flagged = cheap.unionByName(named).cache()
-        clean = rules.sanitized(flagged)
+        model = ner.annotate(detector)  # sees only what no cheap rule decides, and once
+        seen = flagged.where("rule = 'clean'").withColumn("_m", model("query"))
+        seen = seen.select(*rows.columns, "present_in_allow_list", F.when(F.col("_m.has_person"), "name").otherwise("clean").alias("rule"), "_m.language", "_m.score")
+        flagged = held(flagged.where("rule <> 'clean'").unionByName(seen, allowMissingColumns=True))
+        clean = rules.sanitized(flagged).drop("language", "score")
         sinks.overwrite_day(clean, sink, start)
         m = rules.run_metrics(flagged, "query", surnames).first()
-        model = ner.annotate(detector or ner.GazetteerDetector())
-        spoken = flagged.where("rule = 'clean'").withColumn("_m", model("query")).select("query", "_m.language", "_m.score")
+        spoken = flagged.where("rule = 'clean'")
         languages = {r.language_code: r.search_term_count for r in rules.language_counts(spoken, "query", "language", "score").collect()}
         fields = {
             "total_search_terms": stats.total_search_terms, "contained_blank": stats.contained_blank, "total_search_terms_analyzed": m.total_analyzed,
@@ -71,10 +72,29 @@ def sanitize_day(spark: SparkSession, logs, suggestions, surnames, run_date: str
     return fields
 
 
+def record_metrics(spark: SparkSession, metadata: str, languages: str, metrics: str) -> int:
+    """Feeds the validation: language counts and ratios of the successful runs that the tables don't have yet.
+
+    languages (job_start_time, language_code, search_term_count) and metrics are tables and created if need be; a rerun
+    adds nothing. Returns the number of runs added. A run without languages has no ratios.
+    """
+    stamp = lambda c: F.to_timestamp(c).alias(c)
+    runs = spark.read.parquet(metadata).where("status = 'SUCCESS'").withColumns({"started_at": stamp("started_at"), "finished_at": stamp("finished_at")})
+    if spark.catalog.tableExists(metrics):
+        runs = runs.join(spark.table(readers.checked_name(metrics)).select("finished_at").distinct(), "finished_at", "left_anti")
+    runs = held(runs)
+    text = runs.select(F.col("started_at").alias("job_start_time"), "approximate_language_proportions_json")
+    spoken = held(rules.explode_language_json(text, "approximate_language_proportions_json"))
+    ratios = held(validation.run_ratios(runs, spoken))
+    spoken.write.mode("append").saveAsTable(readers.checked_name(languages))
+    ratios.write.mode("append").saveAsTable(readers.checked_name(metrics))
+    return ratios.count()
+
+
 def validate(spark: SparkSession, metrics: str, destination: str, today: dt.date | None = None) -> int:
     """Checks the eight metrics of the newest runs and appends the report; returns the number of alarms."""
     rows = spark.table(readers.checked_name(metrics)).orderBy("finished_at")
-    report = validation.report(rows, today=today).cache()
+    report = held(validation.report(rows, today=today))
     sinks.append_report(report, destination)
     return report.where(F.col("range_alarm") | F.col("mean_alarm")).count()
 
@@ -86,6 +106,9 @@ def main(args: list[str] | None = None) -> None:
     run.add_argument("--run_date", default="latest")
     for name in ("logs", "suggestions", "surnames", "sink", "sample_sink", "metadata"):
         run.add_argument(f"--{name}", required=True)
+    feed = jobs.add_parser("metrics")
+    for name in ("metadata", "languages", "metrics"):
+        feed.add_argument(f"--{name}", required=True)
     check = jobs.add_parser("validate")
     check.add_argument("--metrics", required=True)
     check.add_argument("--destination", required=True)
@@ -93,6 +116,8 @@ def main(args: list[str] | None = None) -> None:
     spark = SparkSession.builder.appName(f"termsieve-{a.job}").getOrCreate()
     if a.job == "validate":
         validate(spark, a.metrics, a.destination)
+    elif a.job == "metrics":
+        record_metrics(spark, a.metadata, a.languages, a.metrics)
     else:
         logs = spark.read.schema(readers.LOG_SCHEMA).parquet(a.logs)
         names = readers.surnames(spark, a.surnames)

@@ -122,6 +122,17 @@ def test_job(spark, rows, logs, tmp_path):
     with pytest.raises(Exception):  # noqa: B017
         jobs.sanitize_day(spark, logs.drop("jsonPayload"), suggestions, names, "2024-03-01", path("sink"), path("sample"), path("meta"))
     assert {r.status for r in spark.read.parquet(path("meta")).collect()} == {"SUCCESS", "FAILURE"}
+    names = [f"termsieve_{n}" for n in ("languages", "metrics")]
+    try:
+        sinks.append_metadata(spark, path("meta"), status="SUCCESS", started_at=dt.datetime(2024, 3, 2, 1), finished_at=dt.datetime(2024, 3, 2, 2), total_search_terms_analyzed=10,
+                              total_search_terms_removed_by_sanitization_job=4, sum_words_all_search_terms=25, languages={"en": 6, "de": 2})
+        assert jobs.record_metrics(spark, path("meta"), *names) >= 1 and jobs.record_metrics(spark, path("meta"), *names) == 0
+        row = spark.table(names[1]).where("avg_words_all_search_terms = 2.5").first()
+        assert (row.pct_sanitized_search_terms, row.pct_terms_non_english, row.pct_uppercase_chars_all_search_terms) == (0.4, 0.25, None)
+        assert jobs.validate(spark, names[1], path("report"), dt.date(2024, 3, 3)) >= 0 and spark.read.parquet(path("report")).count() == 8
+    finally:
+        for n in names:
+            spark.sql(f"DROP TABLE IF EXISTS {n}")
 
 
 def test_report(spark, rows, tmp_path):
