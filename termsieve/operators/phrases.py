@@ -44,8 +44,9 @@ def _runs(text: Column, length: Column, n: int) -> Column:
 def misspellings(counts: DataFrame, keyphrases: DataFrame, max_distance: int) -> DataFrame:
     """Counted phrases within an edit distance of a keyphrase.
 
-    Candidates share one of max_distance + 1 pieces of the keyphrase, at a place that edits can have moved it to: an
-    equi-join instead of all pairs. Keyphrases shorter than that many characters are compared by length instead.
+    Candidates share one of max_distance + 1 pieces of the keyphrase: an equi-join instead of all pairs. Keyphrases
+    shorter than that many characters are joined by length instead. Phrases of a length that no keyphrase can come to
+    are out before they are cut up; the keyphrases' lengths, from a list that a user gives, go into the plan.
     """
     k = max_distance + 1
     key = keyphrases.select(F.col("phrase").alias("keyphrase")).distinct().withColumn("_n", F.length("keyphrase"))
@@ -54,11 +55,14 @@ def misspellings(counts: DataFrame, keyphrases: DataFrame, max_distance: int) ->
     cut = cut.withColumns({"_at": start.cast("int"), "_len": (F.expr(f"(_i + 1) * _n div {k}") - start).cast("int")})
     cut = cut.select("keyphrase", "_n", F.substring("keyphrase", F.col("_at") + 1, F.col("_len")).alias("_piece"), "_at", "_len")
     lens = [r[0] for r in cut.select("_len").distinct().collect()]
-    rows = counts.withColumn("_m", F.length("phrase"))
+    near_to = lambda n: range(max(0, n - max_distance), n + max_distance + 1)
+    allowed = sorted({m for r in key.select("_n").distinct().collect() for m in near_to(r[0])})
+    rows = counts.withColumn("_m", F.length("phrase")).where(F.col("_m").isin(allowed))
     pieces = F.array(*[_runs(F.col("phrase"), F.col("_m"), n) for n in lens]) if lens else F.array().cast("array<array<string>>")
     grams = rows.select("phrase", "n", "_m", F.explode(F.array_distinct(F.flatten(pieces))).alias("_piece"))
     long = grams.join(cut.select("keyphrase", "_n", "_piece").distinct(), "_piece").select("phrase", "n", "_m", "keyphrase", "_n")
-    short = rows.join(key.where(F.col("_n") < k), F.abs(F.col("_m") - F.col("_n")) <= max_distance).select("phrase", "n", "_m", "keyphrase", "_n")
+    lengths = key.where(F.col("_n") < k).withColumn("_m", F.explode(F.sequence(F.greatest(F.lit(0), F.col("_n") - max_distance), F.col("_n") + max_distance)))
+    short = rows.join(lengths, "_m").select("phrase", "n", "_m", "keyphrase", "_n")
     near = long.union(short).where(F.abs(F.col("_m") - F.col("_n")) <= max_distance).distinct()
     return near.where(F.levenshtein("phrase", "keyphrase", max_distance) >= 0).select("keyphrase", "phrase", "n", F.levenshtein("phrase", "keyphrase").cast("long").alias("distance"))
 

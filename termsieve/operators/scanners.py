@@ -17,6 +17,8 @@ PATTERNS = {
     "US_SSN": (r"[0-9]{3}-[0-9]{2}-[0-9]{4}", 0.5),
     "IBAN_CODE": (r"[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}", 0.5),
 }
+#: What a text must hold for a pattern to be tried on it.
+NEEDS = {"EMAIL": "@", "PHONE_NUMBER": "+", "US_SSN": "-"}
 CONFIRMED = 1.0
 ENTITY = "array<struct<type:string,text:string,score:double>>"
 
@@ -42,7 +44,8 @@ def scan(text: Column, entities: Sequence[str] | None = None, exclude: Sequence[
     parts = []
     for kind, (pattern, score) in PATTERNS.items():
         if kind not in exclude and (entities is None or kind in entities):
-            parts.append(F.transform(F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(1)), _entity(kind, score)))
+            found = F.transform(F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(1)), _entity(kind, score))
+            parts.append(F.when(text.contains(NEEDS[kind]), found).otherwise(F.array().cast(ENTITY)) if kind in NEEDS else found)
     every = F.flatten(F.array(*parts)) if parts else F.array().cast(ENTITY)
     return F.when(F.size(every) > 0, every)
 
