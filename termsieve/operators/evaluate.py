@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from termsieve.operators.sampling import fraction
+
 
 def value_counts(rows: DataFrame, cols: Sequence[str], keep_null: bool = True) -> DataFrame:
     kept = rows if keep_null else rows.dropna(subset=list(cols))
@@ -31,8 +33,7 @@ def recall_interval(rows: DataFrame, flag: Column, draws: int, size: int, seed:
     """
     rate = rows.agg(F.avg(flag.cast("int")).alias("rate"))
     spark = rows.sparkSession
-    u = F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    one = spark.range(draws * size).withColumns({"draw": F.expr(f"id div {size}"), "u": u})
+    one = spark.range(draws * size).withColumns({"draw": F.expr(f"id div {size}"), "u": fraction(F.col("id"), seed)})
     per = one.crossJoin(F.broadcast(rate)).groupBy("draw").agg(F.avg((F.col("u") < F.col("rate")).cast("int")).alias("recall"), F.first("rate").alias("rate"))
     return per.agg(F.first("rate").alias("recall"), F.percentile("recall", F.lit(low)).alias("low"), F.percentile("recall", F.lit(high)).alias("high"))
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Iterator, Sequence
 from typing import Protocol
 
@@ -36,6 +35,11 @@ FORENAMES = (
 )
 
 
+#: All frequent words, the beginning of a name's word, and what is taken off a word's ends.
+FREQUENT = tuple(sorted({w for v in STOP_WORDS.values() for w in v}))
+WORD, EDGES = r"^\p{L}[\p{L}'-]", r"^[^\p{L}]+|[^\p{L}]+$"
+
+
 def language(text: Column) -> Column:
     """struct(language, score): the language of most of a text's frequent words, and their share of its words.
 
@@ -55,9 +59,12 @@ def gazetteer(text: Column, forenames: Sequence[str] = FORENAMES) -> Column:
 
     It makes no claim to a trained model's recall; give names_by_lists() lists of forenames, surnames and words for more.
     """
-    names = "|".join([*(re.escape(n) for n in forenames), *(rf"{t}\.?" for t in TITLES)])
-    other = "|".join(sorted({w for v in STOP_WORDS.values() for w in v}))
-    person = F.coalesce(text.rlike(rf"(?iu)(?<![\p{{L}}\p{{N}}])(?:{names})\s+(?!(?:{other})(?![\p{{L}}'-]))\p{{L}}[\p{{L}}'-]+"), F.lit(False))
+    own = T.words(text)
+    rest = F.greatest(F.size(own) - 1, F.lit(0))
+    bare = lambda w: F.regexp_replace(F.lower(w), EDGES, "")
+    name = lambda w: bare(w).isin(*forenames, *TITLES)
+    other = lambda w: w.rlike(WORD) & ~bare(w).isin(*FREQUENT)
+    person = F.coalesce(F.exists(F.zip_with(F.slice(own, F.lit(1), rest), F.slice(own, F.lit(2), rest), lambda a, b: name(a) & other(b)), lambda x: x), F.lit(False))
     spoken = language(F.coalesce(text, F.lit("")))
     return F.struct(
         person.alias("has_person"), spoken["language"].alias("language"), F.coalesce(spoken["score"], F.lit(0.0)).alias("score"),
@@ -73,14 +80,13 @@ def names_by_lists(rows: DataFrame, query_col: str, forenames: DataFrame, surnam
     forenames, surnames and words are lists in lower case (columns forename, surname, word) of any size: all
     look-ups are equi-joins of the queries' distinct words. Null and empty queries hold no name; repeated rows stay.
     """
-    frequent = sorted({w for v in STOP_WORDS.values() for w in v})
     own = F.filter(F.transform(T.words(F.lower("_q")), lambda w: F.regexp_replace(w, r"(?u)^[^\p{L}]+|('s)?[^\p{L}]*$", "")), lambda w: w != "")
     terms = rows.select(F.col(query_col).alias("_q")).where(F.col(query_col).isNotNull()).distinct().withColumn("_w", own)
     every = terms.select(F.explode("_w").alias("_word")).distinct()
     for name, table, column in (("f", forenames, "forename"), ("s", surnames, "surname"), ("d", words, "word")):
         listed = table.select(F.lower(column).alias("_word")).distinct().withColumn(f"_{name}", F.lit(True))
         every = every.join(listed, "_word", "left").withColumn(f"_{name}", F.coalesce(f"_{name}", F.lit(False)))
-    kinds = every.select("_word", F.struct("_f", "_s", (F.col("_d") | F.col("_word").isin(frequent)).alias("_d"), F.col("_word").isin(frequent).alias("_o")).alias("_k"))
+    kinds = every.select("_word", F.struct("_f", "_s", (F.col("_d") | F.col("_word").isin(*FREQUENT)).alias("_d"), F.col("_word").isin(*FREQUENT).alias("_o")).alias("_k"))
     placed = terms.select("_q", F.posexplode("_w").alias("_i", "_word")).join(kinds, "_word")
     after = placed.select("_q", (F.col("_i") - 1).alias("_i"), F.col("_k").alias("_n"))
     pair = placed.join(after, ["_q", "_i"])

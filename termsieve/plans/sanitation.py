@@ -210,9 +210,19 @@ def rule_counts(spark: SparkSession, d: str) -> DataFrame:
     return flagged.groupBy("doc_id").agg(F.count("*").alias("n_lines"), F.count_if(F.col("rule") == "number").alias("n_number"), F.count_if(F.col("rule") == "at").alias("n_at"))
 
 
-@query()
+_LISTED = "[" + ", ".join(f"'{n}'" for n in (*ner.FORENAMES, *ner.TITLES)) + "]"
+_FREQUENT = "[" + ", ".join(f"'{w}'" for w in ner.FREQUENT) + "]"
+_EDGES, _WORD = ner.EDGES.replace("'", "''"), ner.WORD.replace("'", "''")
+
+
+@query(f"""
+WITH {SQL_DOCUMENT_LINES}, cut AS (SELECT doc_id, line_no, query, {sql_words('query')} AS w FROM lines),
+bare AS (SELECT *, list_transform(w, lambda x: regexp_replace(lower(x), '{_EDGES}', '', 'g')) AS b FROM cut)
+SELECT doc_id, line_no::INTEGER AS line_no, CASE WHEN regexp_matches(query, '[0-9]') THEN 'number' WHEN contains(query, '@') THEN 'at'
+  WHEN len(list_filter(range(1, len(w)), lambda i: list_contains({_LISTED}, b[i]) AND regexp_matches(w[i + 1], '{_WORD}') AND NOT list_contains({_FREQUENT}, b[i + 1]))) > 0 THEN 'name' ELSE 'clean' END AS rule
+FROM bare
+""")
 def person_flag(spark: SparkSession, d: str) -> DataFrame:
-    """Rows only: the name rule needs a model."""
     return ner.flag_names(document_lines(spark, d), "query").select("doc_id", "line_no", "rule")
 
 

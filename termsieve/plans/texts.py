@@ -85,6 +85,10 @@ def lot_sql(key: str, seed: int = 1) -> str:
     return LOT.format(seed=seed, key=key)
 
 
+def fraction_sql(key: str, seed: int = 1) -> str:
+    return f"((('0x' || substr(md5('{seed}:' || {key}), 1, 13))::BIGINT + 0.5) / 4503599627370496.0)"
+
+
 @query(f"""WITH {SQL_SHORT}, {SQL_PHRASES} SELECT doc_id, line_no::INTEGER AS line_no, text FROM short s WHERE {HOLDS}
 ORDER BY {lot_sql("(s.doc_id || '/' || s.line_no)")}, s.doc_id, s.line_no LIMIT 20""")
 def phrase_samples(spark: SparkSession, d: str) -> DataFrame:
@@ -284,10 +288,12 @@ def recall_by_group(spark: SparkSession, d: str) -> DataFrame:
     return evaluate.rates(rows, F.col("toxic") == 1, ["lang", "quality"]).withColumn("rate", F.round("rate", 6))
 
 
-@query()
+@query(f"""WITH r AS (SELECT avg((quality = 1)::INTEGER) AS rate FROM labels), p AS (SELECT k // 1000 AS draw, any_value(rate) AS rate, avg((u < rate)::INTEGER) AS recall
+  FROM (SELECT range AS k, {fraction_sql('range')} AS u FROM range(1000000)), r GROUP BY draw)
+SELECT round(any_value(rate), 6) AS recall, round(quantile_cont(recall, 0.025), 6) AS low, round(quantile_cont(recall, 0.975), 6) AS high FROM p""")
 def recall_ci(spark: SparkSession, d: str) -> DataFrame:
-    """Rows only: repeated sampling."""
-    return evaluate.recall_interval(table(spark, d, "labels"), F.col("quality") == 1, 1000, 1000)
+    out = evaluate.recall_interval(table(spark, d, "labels"), F.col("quality") == 1, 1000, 1000)
+    return out.select(*[F.round(c, 6).alias(c) for c in ("recall", "low", "high")])
 
 
 #: Templates of this library's own; the second one comes twice.
@@ -300,9 +306,10 @@ def context_cross(spark: SparkSession, d: str) -> DataFrame:
     return evaluate.contexts(table(spark, d, "nation").select("n_name"), "n_name", templates, "template").select("n_name", "query")
 
 
-@query()
+@query(f"""WITH w AS (SELECT c_mktsegment, count(*) AS w FROM customer GROUP BY c_mktsegment),
+b AS (SELECT c_mktsegment, (sum(w) OVER (ORDER BY c_mktsegment) - w) / sum(w) OVER () AS lo, sum(w) OVER (ORDER BY c_mktsegment) / sum(w) OVER () AS hi FROM w)
+SELECT draw, c_mktsegment FROM (SELECT range AS draw, {fraction_sql('range')} AS u FROM range(1000)) JOIN b ON u >= lo AND u < hi""")
 def weighted_names(spark: SparkSession, d: str) -> DataFrame:
-    """Rows only: draws with replacement."""
     w = table(spark, d, "customer").groupBy("c_mktsegment").agg(F.count("*").alias("w"))
     return sampling.weighted_draws(w, "c_mktsegment", "w", 1000)
 
