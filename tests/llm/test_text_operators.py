@@ -71,7 +71,7 @@ def test_licences_are_found(rows):
 
 
 def test_licence_names():
-    names = {"Apache-2.0", "MIT", "GPL-3.0", "GPL-2.0", "LGPL-3.0", "AGPL-3.0", "MPL-2.0", "BSD-3-Clause", "ISC", "CC-BY-4.0", "CC-BY-SA-4.0", "CC-BY-NC-4.0", "CC-BY-ND-4.0", "CC0-1.0", "Unlicense"}
+    names = {"Apache-2.0", "MIT", "GPL-3.0", "GPL-2.0", "LGPL-3.0", "LGPL-2.1", "AGPL-3.0", "MPL-2.0", "EPL-2.0", "BSD-2-Clause", "BSD-3-Clause", "ISC", "CC-BY-4.0", "CC-BY-SA-4.0", "CC-BY-NC-4.0", "CC-BY-ND-4.0", "CC0-1.0", "Unlicense"}
     assert {name for name, _ in licenses.TEMPLATES} == names
     mozilla = "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."
     scan = licenses.Scanner(licenses.Settings())
