@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from termsieve.llm.runtime import add_vectors, ship, stored, tidied
+from termsieve.llm.runtime import ship, stored, summed, tidied
 from termsieve.llm.toxicity import remainder
 
 U32 = np.uint32
@@ -99,13 +99,9 @@ def _presence(s: Settings):
 
 
 def document_frequencies(texts: DataFrame, s: Settings) -> tuple[int, np.ndarray]:
-    """Rows, and rows that hold each feature, over all of `texts`: a vector per partition, added up in 16 tasks."""
-    kind = "rows long, df binary"
-    part = texts.mapInArrow(_presence(s), kind).repartition(16).mapInArrow(add_vectors, kind)
-    rows, df = 0, np.zeros(1 << s.bits, np.int64)
-    for r in part.collect():  # at most 16 vectors of fixed length
-        rows, df = rows + r["rows"], df + np.frombuffer(bytes(r["df"]), "<i8")
-    return rows, df
+    """Rows, and rows that hold each feature, over all of `texts`: a vector per partition, added up by a tree of tasks."""
+    rows, df = summed(texts.mapInArrow(_presence(s), "rows long, df binary"))
+    return rows, np.zeros(1 << s.bits, np.int64) if df is None else df
 
 
 def _counts(s: Settings):

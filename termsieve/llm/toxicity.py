@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from termsieve.llm import text as T
 from termsieve.llm.idfilter import without_rows
-from termsieve.llm.runtime import add_vectors, ship, stored, tidied
+from termsieve.llm.runtime import ship, stored, summed, tidied
 
 PREFIXES = (4, 6)
 PART = np.array([not chr(b).isalnum() if b < 128 else False for b in range(256)])
@@ -399,10 +399,8 @@ def fitted(docs: DataFrame, labels: DataFrame, s: Settings, fold: int, held: int
     sample = stored(docs.join(F.broadcast(small), "id").groupBy("id", "toxic").agg(F.min("text").alias("text")), "labelled")
     words = Lookup(vocabulary(sample))
     shared = spark.sparkContext.broadcast(words)
-    total, df = 0, np.zeros(len(words.keys), np.int64)
-    parts = docs.select("text").mapInArrow(_frequencies(shared), "rows long, df binary").repartition(16).mapInArrow(add_vectors, "rows long, df binary")
-    for r in parts.collect():  # at most 16 vectors of the vocabulary's length
-        total, df = total + r["rows"], df + np.frombuffer(bytes(r["df"]), "<i8")
+    total, df = summed(docs.select("text").mapInArrow(_frequencies(shared), "rows long, df binary"))
+    df = np.zeros(len(words.keys), np.int64) if df is None else df
     kept = df <= max(s.stop * total, 10)
     words, idf = Lookup(words.keys[kept]), np.log((1 + total) / np.maximum(df[kept], 1))
     shared.destroy()
