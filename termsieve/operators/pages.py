@@ -20,19 +20,31 @@ def blocked_categories(pages: DataFrame, blocklist: DataFrame, id_col: str = "pa
     return hit.groupBy(id_col).agg(F.array_sort(F.collect_list("name")).alias("blocked"))
 
 
-def holding_any(pages: DataFrame, text_col: str, needles: DataFrame, needle_col: str = "needle", most: int = 10_000) -> DataFrame:
-    """Pages whose text holds one of the needles as a substring.
+def holding_any(pages: DataFrame, text_col: str, needles: DataFrame, needle_col: str = "needle", most: int = 1000) -> DataFrame:
+    """Pages whose text holds one of the needles as a substring; null needles and texts match nothing, '' every text.
 
-    Up to `most` needles go to every task as one list; more are joined in a plan that Spark chooses.
+    Up to `most` needles are literals of the plan. Of longer lists each needle is looked up by its beginning, an
+    equi-join with the texts' runs of as many characters as the shortest needle has (12 at most), and confirmed.
     """
-    short = needles.select(needle_col).distinct().limit(most + 1).collect()
+    own = needles.select(F.col(needle_col).alias("_needle")).where("_needle IS NOT NULL").distinct()
+    short = own.limit(most + 1).collect()  # `most` + 1 rows
     if len(short) <= most:
         test = F.lit(False)
         for i in range(0, len(short), 200):
             some = F.array(*[F.lit(r[0]) for r in short[i : i + 200]])
             test = test | F.exists(some, lambda n: F.contains(F.col(text_col), n))
         return pages.where(test)
-    return pages.join(needles.select(F.col(needle_col).alias("_needle")).distinct(), F.contains(F.col(text_col), F.col("_needle")), "left_semi")
+    size = min(12, own.agg(F.min(F.length("_needle"))).first()[0])
+    if not size:
+        return pages.where(F.col(text_col).isNotNull())
+    cols = pages.columns
+    keyed = pages.withColumns({"_k1": F.xxhash64(*cols), "_k2": F.xxhash64(F.lit(1), *cols)})
+    starts = F.when(F.length(text_col) >= size, F.sequence(F.lit(1), F.length(text_col) - size + 1)).otherwise(F.array().cast("array<int>"))
+    runs = F.array_distinct(F.transform(starts, lambda i: F.substring(F.col(text_col), i, F.lit(size))))
+    begun = keyed.select("_k1", "_k2", F.explode(runs).alias("_run")).join(own.withColumn("_run", F.substring("_needle", 1, size)), "_run")
+    maybe = begun.select("_k1", "_k2", "_needle").distinct()
+    hit = keyed.select("_k1", "_k2", F.col(text_col).alias("_text")).distinct().join(maybe, ["_k1", "_k2"]).where(F.contains("_text", "_needle"))
+    return keyed.join(hit.select("_k1", "_k2").distinct(), ["_k1", "_k2"], "left_semi").select(*cols)
 
 
 def title_flags(pages: DataFrame, title_col: str, lists: dict[str, DataFrame]) -> DataFrame:

@@ -243,6 +243,11 @@ def test_pages(rows):
     assert [tuple(r) for r in pages.blocked_categories(p, block).collect()] == [(1, ["b"])]
     needles = rows([("img1",), ("img2",)], "needle string")
     assert {r.page_id for r in pages.holding_any(p, "text", needles).collect()} == {r.page_id for r in pages.holding_any(p, "text", needles, most=1).collect()} == {1}
+    texts = rows([(k, "".join(random.Random(k).choices("abc", k=30))) for k in range(60)] + [(60, None), (61, ""), (61, "")], "page_id int, text string")
+    many = rows([("".join(random.Random(900 + k).choices("abc", k=k % 4 + 5)),) for k in range(12)] + [(None,)], "needle string")
+    ids = lambda df: sorted(r.page_id for r in df.collect())
+    assert ids(pages.holding_any(texts, "text", many)) == ids(pages.holding_any(texts, "text", many, most=2)) and 0 < pages.holding_any(texts, "text", many).count() < 60
+    assert pages.holding_any(texts, "text", rows([("",), ("zz",)], "needle string"), most=1).count() == pages.holding_any(texts, "text", rows([("",)], "needle string")).count() == 62
     flags = pages.title_flags(p, "title", {"x": rows([("T1",), ("T1",)], "title string")})
     assert {r.page_id: r.x for r in flags.collect()} == {1: True, 2: False, 3: False}
 
