@@ -132,15 +132,14 @@ class Encoder:
         import regex
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
-        self.tokenizer = Tokenizer.from_file(file)
-        self.tokenizer.encode_special_tokens = True
+        self.file, self.whole = file, None
         self.model = Tokenizer.from_file(file)
         self.model.encode_special_tokens = True
         self.model.normalizer = normalizers.Sequence([])
         self.model.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         self.letters = _byte_letters()
         self.pieces = regex.compile(PIECES).findall
-        vocabulary = self.tokenizer.get_vocab()
+        vocabulary = self.model.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.stops = self.ends.copy()
         for token, i in vocabulary.items():
@@ -154,7 +153,11 @@ class Encoder:
         self.lower[65:91] += 32
 
     def _ids(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        """The ids of a text by the whole tokenizer, which few words need."""
+        if self.whole is None:
+            self.whole = type(self.model).from_file(self.file)
+            self.whole.encode_special_tokens = True
+        return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _piece_ids(self, pieces: list[str]) -> list[bytes]:
         """The ids of each piece: lower-case, composed and without white space, encoded many at once."""
@@ -290,7 +293,7 @@ def boundaries(ids: np.ndarray, last: np.ndarray, stops: np.ndarray, s: Settings
 
 
 #: Tokens that a task lays out at once.
-LAYOUT = 1 << 19
+LAYOUT = 1 << 18
 _OUT = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 

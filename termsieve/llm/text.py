@@ -21,7 +21,7 @@ BASE = U64(0x9E3779B97F4A7C15)
 BASE_INV = U64(pow(int(BASE), -1, 2**64))
 STEP = _RNG.integers(1, 2**63, 16, dtype=np.int64).astype(U64) * U64(2) + U64(1)
 #: Bytes of text hashed at once; a longer text is a block of its own.
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 _BLANK = re.compile(rb"[ \t\n\x0b\f\r]")
 _powers: list[np.ndarray] = []
 
