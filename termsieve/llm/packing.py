@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from termsieve.llm import text as T
 from termsieve.llm.runtime import ship, tidied
 
-#: Words that a worker remembers with their ids, in about 35 bytes each; the half unused for longest is forgotten beyond.
+#: Pieces that a worker remembers with their ids, in about 45 bytes each; the half unused for longest is forgotten beyond.
 REMEMBERED = 1 << 20
 
 
@@ -46,17 +46,22 @@ class Settings:
     anywhere: float = 64.0
 
 
-#: Byte values of the hash that verifies a word.
+#: Byte values of the second hash of a long word.
 OTHER = T.mix(T.BYTE) | T.U64(1)
 #: The tokenizer's own pre-tokens: contractions, runs of letters, single digits, runs of anything else.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Kinds of bytes. A word with an odd one isn't cut into pieces here: apostrophes, controls, and characters from U+0080
+#: on but for the letters from U+00C0 to U+00FF, which all begin with LATIN.
+BLANK, LETTER, MARK, DIGIT, ODD, LATIN = 0, 1, 2, 3, 4, 0xC3
 
 
-def _byte_letters() -> dict[int, str]:
-    """The letter that stands for each byte in the vocabulary: printable Latin-1 for itself, others from U+0100 on."""
-    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
-    rest = [b for b in range(256) if b not in plain]
-    return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(rest)}
+def _kinds() -> np.ndarray:
+    """The kind of each byte; the second byte of a character goes by its first."""
+    kinds = np.full(256, ODD, np.uint8)
+    for b in range(33, 127):
+        kinds[b] = LETTER if chr(b).isalpha() else DIGIT if chr(b).isdigit() else MARK
+    kinds[ord("'")], kinds[LATIN], kinds[T.SPACE] = ODD, LETTER, BLANK
+    return kinds
 
 
 def _byte_letters() -> dict[int, str]:
@@ -66,66 +71,110 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(rest)}
 
 
+def _spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The indices of stretches in a row."""
+    ends = np.cumsum(sizes)
+    return np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
+
+
 class Memory:
-    """Token ids of words by a 64-bit hash in sorted flat arrays, verified by 32 further bits."""
+    """Token ids of pieces by two 64-bit numbers, in flat arrays behind a table of slots that is at most half full."""
 
     def __init__(self, limit: int, kind: type) -> None:
-        self.limit, self.now = limit, 0
-        self.keys, self.checks = np.empty(0, T.U64), np.empty(0, np.uint32)
+        self.limit, self.now, self.count, self.filled = limit, 0, 0, 0
+        self.one, self.two = np.empty(0, T.U64), np.empty(0, T.U64)
         self.starts, self.sizes, self.used = (np.empty(0, np.int32) for _ in range(3))
         self.pool = np.empty(0, kind)
-
-    def find(self, keys: np.ndarray, checks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(place, whether it is there) of distinct words."""
-        at = np.searchsorted(self.keys, keys)
-        inside = np.minimum(at, max(0, len(self.keys) - 1))
-        there = (self.keys[inside] == keys) & (self.checks[inside] == checks) if len(self.keys) else np.zeros(len(keys), bool)
-        self.used[at[there]] = self.now
-        return at, there
-
-    def add(self, keys: np.ndarray, checks: np.ndarray, ids: list[bytes]) -> None:
-        """Remembers words, sorted by key, that are not there; one with another word's key takes its place."""
-        if len(self.keys) + len(keys) > self.limit:
-            self._forget()
-        sizes = np.fromiter(map(len, ids), np.int32, len(ids)) // 4
-        starts = (np.cumsum(sizes) - sizes + len(self.pool)).astype(np.int32)
-        self.pool = np.concatenate((self.pool, np.frombuffer(b"".join(ids), "<u4").astype(self.pool.dtype)))
-        at = np.searchsorted(self.keys, keys)
-        same = np.flatnonzero(self.keys[np.minimum(at, len(self.keys) - 1)] == keys) if len(self.keys) else []
-        if len(same):
-            old = at[same]
-            self.checks[old], self.starts[old], self.sizes[old], self.used[old] = checks[same], starts[same], sizes[same], self.now
-            new = np.setdiff1d(np.arange(len(keys)), same)
-            at, keys, checks, starts, sizes = at[new], keys[new], checks[new], starts[new], sizes[new]
-        self.keys, self.checks = np.insert(self.keys, at, keys), np.insert(self.checks, at, checks)
-        self.starts, self.sizes, self.used = np.insert(self.starts, at, starts), np.insert(self.sizes, at, sizes), np.insert(self.used, at, self.now)
-
-    def _forget(self) -> None:
-        """Keeps the half used last, and whatever the block at hand uses."""
-        keep = (self.used > np.median(self.used)) | (self.used == self.now)
-        sizes, starts = self.sizes[keep], self.starts[keep]
-        ends = np.cumsum(sizes)
-        self.pool = self.pool[np.repeat(starts - (ends - sizes), sizes) + np.arange(sizes.sum())]
-        self.keys, self.checks, self.used = self.keys[keep], self.checks[keep], self.used[keep]
-        self.starts, self.sizes = (ends - sizes).astype(np.int32), sizes
+        self._deal(1 << 12)
+
+    def _deal(self, slots: int) -> None:
+        """A table of so many slots, a power of two, for what is there."""
+        self.slots, self.shift = np.full(slots, -1, np.int32), T.U64(65 - slots.bit_length())
+        self._place(np.arange(self.count, dtype=np.int32))
+
+    def _slot(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+        return (T.mix(one * T.BASE + two) >> self.shift).astype(np.int64)
+
+    def _place(self, new: np.ndarray) -> None:
+        """Puts places into the first free slots from their own on."""
+        slot = self._slot(self.one[new], self.two[new])
+        while len(new):
+            free = self.slots[slot] < 0
+            self.slots[slot[free]] = new[free]
+            left = self.slots[slot] != new
+            new, slot = new[left], (slot[left] + 1) & (len(self.slots) - 1)
+
+    def find(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+        """The places of pieces, -1 for those that are not there."""
+        slot = self._slot(one, two)
+        place = self.slots[slot]
+        open_ = np.flatnonzero((place >= 0) & ((self.one[place] != one) | (self.two[place] != two))) if self.count else []
+        slot = slot[open_]
+        while len(open_):
+            slot = (slot + 1) & (len(self.slots) - 1)
+            place[open_] = own = self.slots[slot]
+            more = (own >= 0) & ((self.one[own] != one[open_]) | (self.two[own] != two[open_]))
+            open_, slot = open_[more], slot[more]
+        self.used[place[place >= 0]] = self.now
+        return place
+
+    def add(self, one: np.ndarray, two: np.ndarray, sizes: np.ndarray, ids: np.ndarray) -> None:
+        """Remembers distinct pieces that are not there, with their ids in a row."""
+        count, filled = self.count + len(one), self.filled + len(ids)
+        if count > len(self.one):
+            for name in ("one", "two", "starts", "sizes", "used"):
+                self._grow(name, count)
+        if filled > len(self.pool):
+            self._grow("pool", filled)
+        new = slice(self.count, count)
+        self.one[new], self.two[new], self.sizes[new], self.used[new] = one, two, sizes, self.now
+        self.starts[new] = np.cumsum(sizes) - sizes + self.filled
+        self.pool[self.filled : filled] = ids
+        places = np.arange(self.count, count, dtype=np.int32)
+        self.count, self.filled = count, filled
+        if 2 * count > len(self.slots):
+            self._deal(1 << (2 * count - 1).bit_length())
+        else:
+            self._place(places)
+
+    def _grow(self, name: str, least: int) -> None:
+        old = getattr(self, name)
+        grown = np.empty(max(least, len(old) + len(old) // 4), old.dtype)
+        grown[: len(old)] = old
+        setattr(self, name, grown)
+
+    def forget(self, room: int) -> bool:
+        """Where so many pieces more would pass the limit, keeps the half used last; whether it did."""
+        if not self.count or not room or self.count + room <= self.limit:
+            return False
+        used = self.used[: self.count]
+        keep = np.flatnonzero(used > np.median(used))
+        self.pool = self.pool[_spread(self.starts[keep], self.sizes[keep])]
+        for name in ("one", "two", "sizes", "used"):
+            setattr(self, name, getattr(self, name)[keep])
+        self.starts = (np.cumsum(self.sizes) - self.sizes).astype(np.int32)
+        self.count, self.filled = len(keep), len(self.pool)
+        self._deal(len(self.slots))
+        return True
 
     def ids(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of words by their places, in a row, and where each word's ids end."""
-        sizes = self.sizes[places].astype(np.int64)
-        ends = np.cumsum(sizes)
-        return self.pool[np.repeat(self.starts[places] - (ends - sizes), sizes) + np.arange(sizes.sum())].astype("<u4"), ends
+        """The ids of pieces by their places, in a row, and where each one's ids end."""
+        sizes = self.sizes[places]
+        return self.pool[_spread(self.starts[places], sizes)].astype("<u4"), np.cumsum(sizes)
 
 
 class Encoder:
-    """Token ids of whole texts, through memory of the words seen so far.
+    """Token ids of whole texts, through memory of the pieces seen so far.
 
     The tokenizer composes and lower-cases, splits into pieces that never reach across white space, and encodes each
-    piece by itself with one word-end token, its last; so the ids of a text are those of its words in a row. The
-    words of a block of texts are cut and hashed at once, and the distinct ones looked up; those that are new are
-    encoded, many at once, by the tokenizer's model alone, or by all of it where its other steps would change them.
+    piece by itself with one word-end token, its last; so the ids of a text are those of its pieces in a row. The
+    pieces of a block of texts are cut at once where bytes tell how, and looked up. Words whose pieces other rules
+    decide are looked up whole. Those that are new are encoded, many at once, by the tokenizer's model alone, or by
+    all of it where its other steps would change them.
     """
 
-    TAIL = b".,;:!?"
+    #: Pieces encoded in one call.
+    MANY = 4000
 
     def __init__(self, file: str) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -147,10 +196,10 @@ class Encoder:
                 self.ends[i] = True
                 self.stops[i] = len(token) > 4 and set(token[:-4]) <= set(".!?")
         self.memory = Memory(REMEMBERED, np.uint16 if len(self.ends) <= 1 << 16 else np.uint32)
-        self.tail, self.plain, self.lower = np.zeros(256, bool), np.zeros(256, bool), np.arange(256, dtype=np.uint8)
-        self.tail[list(self.TAIL)] = True
-        self.plain[[b for b in range(128) if chr(b).isalnum()]] = True
+        self.kinds, self.lower = _kinds(), np.arange(256, dtype=np.uint8)
         self.lower[65:91] += 32
+        self.doubled = np.array([list(self.letters[max(b, 128)].encode()) for b in range(256)], np.uint8)
+        self.masks = np.array([(1 << 8 * n) - 1 for n in range(9)], T.U64)
 
     def _ids(self, text: str) -> bytes:
         """The ids of a text by the whole tokenizer, which few words need."""
@@ -159,16 +208,20 @@ class Encoder:
             self.whole.encode_special_tokens = True
         return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def _joined_ids(self, joined: str) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of pieces in the vocabulary's letters with a space between, and where each one's ids end."""
+        ids = np.array(self.model.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4")
+        return ids, np.flatnonzero(self.ends[ids]) + 1
+
     def _piece_ids(self, pieces: list[str]) -> list[bytes]:
         """The ids of each piece: lower-case, composed and without white space, encoded many at once."""
         out: list[bytes] = []
-        for i in range(0, len(pieces), 4000):
-            part = pieces[i : i + 4000]
+        for i in range(0, len(pieces), self.MANY):
+            part = pieces[i : i + self.MANY]
             joined = " ".join(part)
             if not joined.isascii():
                 joined = " ".join([p if p.isascii() else p.encode().decode("latin-1").translate(self.letters) for p in part])
-            ids = np.array(self.model.encode(joined, add_special_tokens=False).ids, "<u4")
-            last = np.flatnonzero(self.ends[ids]) + 1
+            ids, last = self._joined_ids(joined)
             if len(last) != len(part):  # some piece isn't one to the tokenizer
                 out += [self._ids(r) for r in part]
                 continue
@@ -181,8 +234,6 @@ class Encoder:
     def _split(self, word: str) -> list[str] | None:
         """The pieces of a word as the tokenizer sees them; None where its rules need the word as it is."""
         if word.isascii():
-            if word.isalpha():
-                return [word.lower()]
             return self.pieces(word.lower()) if word.isprintable() else None
         if not word.isprintable() or "\u03a3" in word or not unicodedata.is_normalized("NFC", word):
             return None
@@ -196,45 +247,94 @@ class Encoder:
         known = dict(zip(pieces, self._piece_ids(pieces), strict=True))
         return [self._ids(w) if x is None else known[x[0]] if len(x) == 1 else b"".join([known[p] for p in x]) for w, x in zip(fresh, parts, strict=True)]
 
-    def _words(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The bytes with the ASCII words among them lower-cased, and start and end of every word.
-
-        Marks behind a letter or digit of ASCII are a word of their own.
-        """
-        starts, ends = T.runs(data)
-        low = self.lower[data]
-        high = np.concatenate(([0], np.cumsum(data > 127, dtype=np.int64)))
-        if high[-1]:  # case and composition depend on each other in other words
-            odd = np.zeros(len(data) + 1, np.int8)
-            mixed = high[ends] > high[starts]
-            odd[starts[mixed]], odd[ends[mixed]] = 1, -1
-            low = np.where(np.cumsum(odd[:-1], dtype=np.int8) > 0, data, low)
-        kept = np.maximum.accumulate(np.where(self.tail[data], -1, np.arange(len(data))))
-        core = kept[ends - 1] + 1
-        core = np.where((core > starts) & (core < ends) & self.plain[data[np.maximum(core - 1, 0)]], core, ends)
-        cut = np.flatnonzero(core < ends)
-        return low, np.insert(starts, cut + 1, core[cut]), np.insert(core, cut + 1, ends[cut])
+    def _plain(self, low: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """The numbers of ids of pieces that bytes tell, and their ids in a row, both in parts."""
+        counts, found = [], []
+        for i in range(0, len(starts), self.MANY):
+            first, size = starts[i : i + self.MANY], sizes[i : i + self.MANY]
+            data = low[_spread(first, size + 1)]  # each with the byte behind it
+            data[np.cumsum(size + 1) - 1] = 32
+            high = data > 127
+            if high.any():  # two bytes for each
+                at = np.flatnonzero(high)
+                data = np.repeat(data, 1 + high)
+                at += np.arange(len(at))
+                data[at], data[at + 1] = self.doubled[data[at]].T
+            ids, last = self._joined_ids(data.tobytes().decode())
+            if len(last) != len(first):  # some piece isn't one to the tokenizer
+                each = [np.frombuffer(self._ids(low[a : a + n].tobytes().decode()), "<u4") for a, n in zip(first.tolist(), size.tolist(), strict=True)]
+                ids, last = np.concatenate(each), np.cumsum([len(x) for x in each])
+            counts.append(np.diff(last, prepend=0))
+            found.append(ids)
+        return counts, found
+
+    def _cut(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The bytes, in lower case but for odd words, start and size of every piece or odd word, and whether it is odd."""
+        kinds, low = self.kinds[data], self.lower[data]
+        latin = np.flatnonzero(data == LATIN) + 1
+        if len(latin):
+            second = data[latin]
+            letter = (second != 0x97) & (second != 0xB7)  # the signs of multiplication and division
+            kinds[latin] = np.where(letter, LETTER, ODD)
+            low[latin] = np.where(letter & (second < 0x9F), second + 32, second)
+        odd = np.flatnonzero(kinds == ODD)
+        if len(odd):  # their case, composition and pieces depend on more than single bytes
+            begin, end = T.runs(data)
+            word = np.searchsorted(begin, odd, "right") - 1
+            word = word[np.diff(word, prepend=-1) > 0]
+            inside = _spread(begin[word], end[word] - begin[word])
+            kinds[inside], low[inside] = ODD, data[inside]
+        edge = kinds[1:] != kinds[:-1]
+        edge |= kinds[1:] == DIGIT
+        edges = np.concatenate(([0], np.flatnonzero(edge) + 1, [len(data)]))
+        kind = kinds[edges[:-1]]
+        kept = np.flatnonzero(kind != BLANK)
+        starts = edges[kept]
+        return low, starts, edges[kept + 1] - starts, kind[kept] == ODD
+
+    def _numbers(self, low: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Two 64-bit numbers for each span of bytes: up to 15 bytes and their number, or else 120 bits of hashes."""
+        eights = np.ndarray(len(low) + 8, "<u8", np.concatenate((low, np.zeros(16, np.uint8))), strides=(1,))
+        one = eights[starts] & self.masks[np.minimum(sizes, 8)]
+        two = sizes.astype(T.U64) << T.U64(56)
+        more = np.flatnonzero(sizes > 8)
+        two[more] |= eights[starts[more] + 8] & self.masks[np.minimum(sizes[more] - 8, 7)]
+        long = np.flatnonzero(sizes > 15)
+        if len(long):
+            size = sizes[long]
+            part, ends = low[_spread(starts[long], size)], np.cumsum(size)
+            one[long] = T.span_hashes(part, ends - size, ends, T.BYTE)
+            two[long] = T.span_hashes(part, ends - size, ends, OTHER) | T.U64(255 << 56)
+        return one, two
 
     def block(self, raw: list[bytes]) -> list[np.ndarray]:
         """The ids of each text of a block."""
         data = np.frombuffer(b"\n".join(raw) + b"\n", np.uint8)
-        low, starts, ends = self._words(data)
-        keys, checks = T.span_hashes(low, starts, ends, T.BYTE), (T.span_hashes(low, starts, ends, OTHER) >> T.U64(32)).astype(np.uint32)
-        while True:
-            key, first, word = np.unique(keys, return_index=True, return_inverse=True)
-            other = checks != checks[first][word]
-            if not other.any():
-                break
-            keys = keys + other
+        low, starts, sizes, odd = self._cut(data)
+        one, two = self._numbers(low, starts, sizes)
         memory = self.memory
         memory.now += 1
-        _, there = memory.find(key, checks[first])
-        fresh = np.flatnonzero(~there)
+        place = memory.find(one, two)
+        fresh = np.flatnonzero(place < 0)
+        if memory.forget(len(fresh)):
+            place = memory.find(one, two)
+            fresh = np.flatnonzero(place < 0)
         if len(fresh):
-            text = low.tobytes()
-            spans = zip(starts[first[fresh]].tolist(), ends[first[fresh]].tolist(), strict=True)
-            memory.add(key[fresh], checks[first[fresh]], self._learned([text[a:b].decode() for a, b in spans]))
-        ids, stops = memory.ids(np.searchsorted(memory.keys, key)[word])
+            order = fresh[np.lexsort((two[fresh], one[fresh]))]
+            first = np.ones(len(order), bool)
+            first[1:] = (one[order[1:]] != one[order[:-1]]) | (two[order[1:]] != two[order[:-1]])
+            new = order[first]
+            plain, words = new[~odd[new]], new[odd[new]]
+            counts, ids = self._plain(low, starts[plain], sizes[plain])
+            if len(words):
+                text = low.tobytes()
+                found = self._learned([text[a : a + n].decode() for a, n in zip(starts[words].tolist(), sizes[words].tolist(), strict=True)])
+                counts.append(np.fromiter(map(len, found), np.int64, len(found)) // 4)
+                ids.append(np.frombuffer(b"".join(found), "<u4"))
+            new = np.concatenate((plain, words))
+            memory.add(one[new], two[new], np.concatenate(counts), np.concatenate(ids))
+            place[fresh] = memory.find(one[fresh], two[fresh])
+        ids, stops = memory.ids(place)
         at = np.searchsorted(starts, np.concatenate(([0], np.cumsum([len(r) + 1 for r in raw]))))
         bounds = np.concatenate(([0], stops))[at]
         return [ids[a:z] for a, z in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]

@@ -12,6 +12,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from termsieve.llm import licenses, line_dedup, mixing, packing, sharding
@@ -342,3 +343,31 @@ def test_packs_round_trip(rows):
     padding = sum(4096 - n for n in lengths if n & (n - 1))
     assert padding <= 0.02 * sum(lengths)
     assert packing.packed(df.limit(0)).collect() == []
+
+
+def test_packing_remembers_pieces_not_words():
+    from tokenizers import Tokenizer
+
+    encoder = packing.Encoder(packing.tokenizer_file())
+    texts = [" ".join(f"Word{n}{mark}" for n in range(k, k + 500)) for k in range(0, 20_000, 500) for mark in (".", "***", "-a")]
+    got = [ids.tolist() for ids in encoder.texts(pa.array(texts))]
+    assert len(encoder.memory.pool) < 1000  # letters, ten digits and marks, each learnt once
+    tokenizer = Tokenizer.from_file(packing.tokenizer_file())
+    assert got == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_packing_encodes_as_the_tokenizer_does_however_little_it_remembers(monkeypatch):
+    from tokenizers import Tokenizer
+
+    rng = random.Random(10)
+    some = [*"abzAZ09 '.,!-_\t\n\x00\x1c\x7f\xa0", *"éÉßÞ×÷ÿªº²ŒœΣσǅİſ中😀٣\u0301\u0338\u200b", "'s", "'LL", "l'été", " ", " ", "abcdefghijklmno", "éééééééé"]
+    texts = ["".join(rng.choice(some) for _ in range(rng.randrange(60))) for _ in range(4000)]
+    texts += [*ODD, "a", "a\x00", "a\x00\x00", *("a" * n for n in range(7, 18)), "é.1" * 9000]
+    tokenizer = Tokenizer.from_file(packing.tokenizer_file())
+    tokenizer.encode_special_tokens = True
+    want = [tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+    for remembered in (packing.REMEMBERED, 1000, 1):
+        monkeypatch.setattr(packing, "REMEMBERED", remembered)
+        encoder = packing.Encoder(packing.tokenizer_file())
+        parts = [pa.array(texts[i : i + 200], pa.string()) for i in range(0, len(texts), 200)]
+        assert [ids.tolist() for part in parts for ids in encoder.texts(part)] == want
