@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from termsieve.llm.idfilter import split, without_rows
-from termsieve.llm.runtime import free_name, ship, shuffle_partitions, stored
+from termsieve.llm.runtime import free_name, ship, shuffle_partitions, stored, tidied
 from termsieve.llm.text import utf8
 
 SLOTS = 4
@@ -117,6 +117,7 @@ class CuckooIndex:
         return (e for e in self.entries if e is not None)
 
 
+@tidied
 def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         found = [hashlib.sha256((t or b"").lower()).digest() for t in utf8(batch.column(1))]
@@ -138,6 +139,7 @@ def _batch(entries: list[list]) -> pa.RecordBatch:
 def _fold(limit: int | None):
     """Merges rows (digest, keep_id, group_size, drop) of a task; rows with drop delete the digest at the end."""
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index, dropped = CuckooIndex(), []
         for batch in batches:

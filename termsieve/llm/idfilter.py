@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from termsieve.llm.runtime import free_name, ship, stored
+from termsieve.llm.runtime import free_name, ship, stored, tidied
 
 #: Bits of a filter: 16 an id, this many at most. A full filter only lets more rows through to the exact join.
 MAX_BITS = 1 << 26
@@ -34,6 +34,7 @@ def may_hold(words: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 
 
 def _passing(shared, place: int, held: bool):
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             hit = may_hold(shared.value, batch.column(place).to_numpy())

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from termsieve.llm import text as T
 from termsieve.llm.runtime import ship, tidied
 
-#: Pieces that a worker remembers with their ids, in about 45 bytes each; the half unused for longest is forgotten beyond.
+#: Pieces that a worker remembers with their ids, in about 40 bytes each; the half unused for longest is forgotten beyond.
 REMEMBERED = 1 << 20
 
 
@@ -83,7 +83,7 @@ class Memory:
     def __init__(self, limit: int, kind: type) -> None:
         self.limit, self.now, self.count, self.filled = limit, 0, 0, 0
         self.one, self.two = np.empty(0, T.U64), np.empty(0, T.U64)
-        self.starts, self.sizes, self.used = (np.empty(0, np.int32) for _ in range(3))
+        self.starts, self.used = np.zeros(1, np.int32), np.empty(0, np.int32)
         self.pool = np.empty(0, kind)
         self._deal(1 << 12)
 
@@ -121,14 +121,11 @@ class Memory:
     def add(self, one: np.ndarray, two: np.ndarray, sizes: np.ndarray, ids: np.ndarray) -> None:
         """Remembers distinct pieces that are not there, with their ids in a row."""
         count, filled = self.count + len(one), self.filled + len(ids)
-        if count > len(self.one):
-            for name in ("one", "two", "starts", "sizes", "used"):
-                self._grow(name, count)
-        if filled > len(self.pool):
-            self._grow("pool", filled)
+        for name, least in (("one", count), ("two", count), ("used", count), ("starts", count + 1), ("pool", filled)):
+            self._grow(name, least)
         new = slice(self.count, count)
-        self.one[new], self.two[new], self.sizes[new], self.used[new] = one, two, sizes, self.now
-        self.starts[new] = np.cumsum(sizes) - sizes + self.filled
+        self.one[new], self.two[new], self.used[new] = one, two, self.now
+        self.starts[self.count + 1 : count + 1] = np.cumsum(sizes) + self.filled
         self.pool[self.filled : filled] = ids
         places = np.arange(self.count, count, dtype=np.int32)
         self.count, self.filled = count, filled
@@ -139,9 +136,10 @@ class Memory:
 
     def _grow(self, name: str, least: int) -> None:
         old = getattr(self, name)
-        grown = np.empty(max(least, len(old) + len(old) // 4), old.dtype)
-        grown[: len(old)] = old
-        setattr(self, name, grown)
+        if least > len(old):
+            grown = np.empty(max(least, len(old) + len(old) // 4), old.dtype)
+            grown[: len(old)] = old
+            setattr(self, name, grown)
 
     def forget(self, room: int) -> bool:
         """Where so many pieces more would pass the limit, keeps the half used last; whether it did."""
@@ -149,18 +147,20 @@ class Memory:
             return False
         used = self.used[: self.count]
         keep = np.flatnonzero(used > np.median(used))
-        self.pool = self.pool[_spread(self.starts[keep], self.sizes[keep])]
-        for name in ("one", "two", "sizes", "used"):
+        sizes = self.starts[keep + 1] - self.starts[keep]
+        self.pool = self.pool[_spread(self.starts[keep], sizes)]
+        for name in ("one", "two", "used"):
             setattr(self, name, getattr(self, name)[keep])
-        self.starts = (np.cumsum(self.sizes) - self.sizes).astype(np.int32)
+        self.starts = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
         self.count, self.filled = len(keep), len(self.pool)
         self._deal(len(self.slots))
         return True
 
     def ids(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of pieces by their places, in a row, and where each one's ids end."""
-        sizes = self.sizes[places]
-        return self.pool[_spread(self.starts[places], sizes)].astype("<u4"), np.cumsum(sizes)
+        starts = self.starts[places]
+        sizes = self.starts[places + 1] - starts
+        return self.pool[_spread(starts, sizes)].astype("<u4"), np.cumsum(sizes)
 
 
 class Encoder:
@@ -179,16 +179,15 @@ class Encoder:
     def __init__(self, file: str) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         import regex
-        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+        from tokenizers import Tokenizer, pre_tokenizers
 
-        self.file, self.whole = file, None
-        self.model = Tokenizer.from_file(file)
-        self.model.encode_special_tokens = True
-        self.model.normalizer = normalizers.Sequence([])
+        self.whole = Tokenizer.from_file(file)
+        self.whole.encode_special_tokens = True
+        self.model = Tokenizer(self.whole.model)  # shared, not copied
         self.model.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         self.letters = _byte_letters()
         self.pieces = regex.compile(PIECES).findall
-        vocabulary = self.model.get_vocab()
+        vocabulary = self.whole.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.stops = self.ends.copy()
         for token, i in vocabulary.items():
@@ -203,9 +202,6 @@ class Encoder:
 
     def _ids(self, text: str) -> bytes:
         """The ids of a text by the whole tokenizer, which few words need."""
-        if self.whole is None:
-            self.whole = type(self.model).from_file(self.file)
-            self.whole.encode_special_tokens = True
         return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _joined_ids(self, joined: str) -> tuple[np.ndarray, np.ndarray]:
@@ -473,6 +469,7 @@ def _pack(s: Settings):
         for batch in batches:
             for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.texts(batch.column(1)), strict=True):
                 yield from layout.add(doc_id, np.concatenate((ids, end)))
+            del batch  # before the next one comes
         if (out := layout.flush(True)) is not None:
             yield out
 

@@ -70,16 +70,23 @@ def discard(spark: SparkSession, tables: Iterable[DataFrame | str]) -> None:
 
 
 def tidied(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
-    """A task function after which the worker gives the memory that it has freed back to the machine."""
+    """A task function around which the worker gives the memory that it has freed back to the machine.
+
+    Before it, because Spark takes an earlier task's broadcast values out only when the next task begins.
+    """
+
+    def give_back() -> None:
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # another C library than glibc
+            ctypes.CDLL(None).malloc_trim(0)
 
     @functools.wraps(run)
     def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         try:
             yield from run(batches)
         finally:
-            pa.default_memory_pool().release_unused()
-            with contextlib.suppress(OSError, AttributeError):  # another C library than glibc
-                ctypes.CDLL(None).malloc_trim(0)
+            give_back()
 
     return wrapped
 

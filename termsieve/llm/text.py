@@ -7,7 +7,7 @@ Each word gets a 64-bit polynomial hash of its UTF-8 bytes, computed for a whole
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -45,12 +45,14 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0], _powers[1]
 
 
-def utf8(column: pa.Array) -> list[bytes | None]:
-    """The texts of an Arrow column as UTF-8, without decoding them."""
-    return column.cast(pa.binary()).to_pylist()
+def utf8(column: pa.Array) -> Iterator[bytes | None]:
+    """The texts of an Arrow column as UTF-8, without decoding them; few are copied at a time."""
+    column = column.cast(pa.binary())
+    for i in range(0, len(column), 64):
+        yield from column.slice(i, 64).to_pylist()
 
 
-def batches(texts: list[bytes | None], limit: int = BLOCK) -> Iterator[list[bytes]]:
+def batches(texts: Iterable[bytes | None], limit: int = BLOCK) -> Iterator[list[bytes]]:
     """Runs of consecutive texts of about `limit` bytes; a longer text is a run of its own."""
     held, size = [], 0
     for t in texts:
@@ -64,7 +66,7 @@ def batches(texts: list[bytes | None], limit: int = BLOCK) -> Iterator[list[byte
         yield held
 
 
-def blocks(texts: list[bytes | None], limit: int = BLOCK) -> Iterator[tuple[int, list[bytes]]]:
+def blocks(texts: Iterable[bytes | None], limit: int = BLOCK) -> Iterator[tuple[int, list[bytes]]]:
     """The same in lower case, each with the index of its first text."""
     first = 0
     for raw in batches(texts, limit):
